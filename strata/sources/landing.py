@@ -27,12 +27,17 @@ def read_envelopes(spark: SparkSession, path: str, streaming: bool = False,
     return r.json(path).withColumn("file_name", F.col("_metadata.file_name"))
 
 
+def _bad() -> "F.Column":
+    """A line is rejected when it does not parse or names no source."""
+    return F.col("_corrupt_record").isNotNull() | F.col("source").isNull()
+
+
 def accepted(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    return df.filter(~_bad()).drop("_corrupt_record")
 
 
 def rejected(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("_corrupt_record").isNotNull()).select("_corrupt_record", "file_name")
+    return df.filter(_bad()).select("_corrupt_record", "source", "file_name")
 
 
 def write_envelopes(df: DataFrame, path: str, mode: str = "append") -> None:

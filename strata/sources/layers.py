@@ -81,7 +81,10 @@ class Layers:
             w = df.write.mode("errorifexists")
             parts = list(partition_by.get(name, ()))
             if parts:
-                w = w.partitionBy(*parts)
+                # contiguous runs of partition values per task (few files per
+                # folder); the row hash lets a hot partition value span tasks
+                df = df.repartitionByRange(*parts, F.xxhash64(*df.columns))
+                w = df.write.mode("errorifexists").partitionBy(*parts)
             w.parquet(path)
             staged[name] = (path, df, parts)
         for name, (path, df, parts) in staged.items():

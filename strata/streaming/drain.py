@@ -23,6 +23,7 @@ def first_wins_batch(layers: Layers, table: str, keys: Sequence[str], order: Seq
                      reject_table: str | None = None):
     """A ``foreachBatch`` function appending first-wins rows to ``table``."""
     def run(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # read the micro-batch files once for both splits
         good = landing.accepted(batch).drop("file_name")
         if reject_table is not None:
             bad = landing.rejected(batch).withColumn("batch_id", F.lit(batch_id))
@@ -33,9 +34,10 @@ def first_wins_batch(layers: Layers, table: str, keys: Sequence[str], order: Seq
         if not layers.exists(table):
             first = loads.pick_one(good, keys, order, keep="first")
             layers.full_refresh({table: first}, allow_empty=True)
-            return
-        ins = loads.append_first_wins(good, layers.read(table), keys, order)
-        layers.append(table, ins.checkpoint(eager=True))
+        else:
+            ins = loads.append_first_wins(good, layers.read(table), keys, order)
+            layers.append(table, ins.checkpoint(eager=True))
+        batch.unpersist()
     return run
 
 
