@@ -61,14 +61,20 @@ def rates_at(sat: DataFrame, code_col: str, date_col: str, load_col: str,
     at = sat.join(F.broadcast(fx_date), sat[date_col] == fx_date[date_alias], "inner")
     aggs = []
     for code, prefix in picks.items():
+        cond = F.col(code_col) == F.lit(code)
         for v in value_cols:
-            cond = F.col(code_col) == F.lit(code)
             aggs.append(F.max_by(F.when(cond, F.col(v)),
                                  F.when(cond, F.struct(F.col(load_col)))).alias(f"{prefix}_{v}"))
+        # presence differs from a NULL value: the reference's per-code CTE
+        # has no row at all when the code is absent
+        aggs.append(F.coalesce(F.bool_or(cond), F.lit(False)).alias(f"{prefix}{PRESENT}"))
     picked = at.agg(*aggs)
     return fx_date.crossJoin(picked)
 
 
+PRESENT = "_present"
+
+
 def convert(price, rate, nominal, scale: int = 6) -> Column:
     """``round(price / (rate / nominal), scale)``; NULL when rate is NULL or 0
     or price is NULL (D5)."""
@@ -79,13 +85,18 @@ def convert(price, rate, nominal, scale: int = 6) -> Column:
 
 def snapshot(overview_df: DataFrame, rates_row: DataFrame, on_missing: str = "empty") -> DataFrame:
     """Attach the one-row rate DataFrame to every overview row.  The
-    reference cross-joins one-row CTEs, so a missing currency empties the mart
+    reference cross-joins one-row CTEs, so a missing currency (its
+    ``*_present`` flag from :func:`rates_at` is false) empties the mart
     (trap T11, ``on_missing='empty'``); ``'null'`` keeps rows with NULL rates.
     ``rates_row`` is one row by construction, so broadcasting it is safe."""
+    flags = [c for c in rates_row.columns if c.endswith(PRESENT)]
     if on_missing == "empty":
-        return overview_df.crossJoin(F.broadcast(rates_row))
+        ok = rates_row
+        for c in flags:
+            ok = ok.filter(F.col(c))
+        return overview_df.crossJoin(F.broadcast(ok.drop(*flags)))
     if on_missing == "null":
-        return overview_df.join(F.broadcast(rates_row), F.lit(True), "left")
+        return overview_df.join(F.broadcast(rates_row.drop(*flags)), F.lit(True), "left")
     raise ValueError(on_missing)
 
 

@@ -39,10 +39,13 @@ def fk_orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
             .join(parent.select(F.col(parent_key).alias(child_key)).distinct(), child_key, "left_anti"))
 
 
-def report(checks: Mapping[str, DataFrame]) -> DataFrame:
-    """(test_name, failures, status) for every check (Q7)."""
+def report(checks: Mapping[str, DataFrame], counted: Sequence[DataFrame] = ()) -> DataFrame:
+    """(test_name, failures, status) for every check (Q7).  ``checks`` map a
+    test name to its failing rows; ``counted`` are frames that already hold
+    (test_name, failures) rows, e.g. from :func:`not_null_counts`."""
     parts = [df.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("test_name"), "failures")
              for name, df in checks.items()]
+    parts += [c.select("test_name", "failures") for c in counted]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -93,7 +93,7 @@ def fx_rates(spark, sf):
 
 
 def q_mart_fx_rate(spark, sf):
-    return fx_rates(spark, sf)
+    return fx_rates(spark, sf).drop("usd_present", "eur_present")
 
 
 def q_mart_snapshot(spark, sf):

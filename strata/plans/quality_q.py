@@ -48,16 +48,18 @@ def q_dq_fk_orphans(spark, sf):
 def q_dq_report(spark, sf):
     t = Tables(spark, sf)
     ov = q_mart_overview(spark, sf)
-    checks = {f"not_null_{c}": ov.filter(F.col(c).isNull()) for c in OVERVIEW_COLS}
-    checks.update({
+    # all not-null tests of a table in one aggregation pass
+    nn = quality.not_null_counts(ov, OVERVIEW_COLS, "mart_overview").select(
+        F.concat(F.lit("not_null_"), "column_name").alias("test_name"), F.col("n_null").alias("failures"))
+    checks = {
         "unique_lineitem_order_line": quality.unique(t.lineitem, ["l_orderkey", "l_linenumber", "l_partkey",
                                                                  "l_suppkey", "l_shipdate"]),
         "unique_orders_custkey": quality.unique(t.orders, ["o_custkey"]),
         "non_negative_acctbal": quality.non_negative(t.customer, "c_acctbal"),
         "pct_change_bounds": quality.bounds(q_pct_change(spark, sf), "pct_change", -50, 50),
-    })
+    }
     checks.update(_fk_checks(spark, sf))
-    return quality.report(checks)
+    return quality.report(checks, counted=[nn])
 
 
 QUERIES = {

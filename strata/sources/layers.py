@@ -75,8 +75,6 @@ class Layers:
         partition_by = partition_by or {}
         staged = {}
         for name, df in tables.items():
-            if not allow_empty and df.isEmpty():
-                raise EmptyInput(f"refusing to publish empty table {name}")
             path = self._new_path(name)
             w = df.write.mode("errorifexists")
             parts = list(partition_by.get(name, ()))
@@ -86,6 +84,10 @@ class Layers:
                 df = df.repartitionByRange(*parts, F.xxhash64(*df.columns))
                 w = df.write.mode("errorifexists").partitionBy(*parts)
             w.parquet(path)
+            # emptiness is checked on the written version (footers only), so
+            # the input plan runs once; nothing is switched if it is refused
+            if not allow_empty and self.spark.read.schema(df.schema).parquet(path).isEmpty():
+                raise EmptyInput(f"refusing to publish empty table {name}")
             staged[name] = (path, df, parts)
         for name, (path, df, parts) in staged.items():
             t = self.table(name)

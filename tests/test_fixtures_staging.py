@@ -92,8 +92,9 @@ def test_object_map_rates_and_snapshot(spark):
     no_eur = sat.filter(F.col("char_code") != "EUR")
     one2 = marts.rates_at(no_eur, "char_code", "rate_date", "load_seq", {"USD": "usd", "EUR": "eur"},
                           ["rate", "nominal"], marts.latest_value_date(no_eur, "rate_date"))
-    assert one2.collect()[0].eur_rate is None
-    assert marts.snapshot(ov, one2.filter(F.col("eur_rate").isNotNull())).count() == 0
+    r2 = one2.collect()[0]
+    assert r2.eur_rate is None and r2.eur_present is False and r2.usd_present is True
+    assert marts.snapshot(ov, one2).count() == 0
     assert marts.snapshot(ov, one2, on_missing="null").count() == 1
 
 
