@@ -84,9 +84,9 @@ def stage_weather(raw: DataFrame) -> DataFrame:
 def run_staging(layers: Layers, raw: DataFrame) -> None:
     sec, md = stage_market(raw)
     tables = {"stg_moex_securities": sec, "stg_moex_marketdata": md, "stg_cbr_fx_rates": stage_fx(raw)}
-    weather = stage_weather(raw)
-    if not weather.isEmpty():
-        tables["stg_moscow_weather_daily"] = weather
+    # the weather feed is optional: stage it only when it has landed
+    if not raw.filter(F.col("source") == WEATHER_SOURCE).isEmpty():
+        tables["stg_moscow_weather_daily"] = stage_weather(raw)
     layers.full_refresh(tables, allow_empty=True)
 
 

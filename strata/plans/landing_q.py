@@ -55,8 +55,9 @@ def q_landing_load_counts(spark, sf):
 
 
 def q_key_hash(spark, sf):
+    # the binary hash is shown as lower-case hex so both engines print it alike
     return messages(spark, sf).select("id", "source", "endpoint",
-                                      key_hash("endpoint").alias("endpoint_hash"))
+                                      F.lower(F.hex(key_hash("endpoint"))).alias("endpoint_hash_hex"))
 
 
 def q_snapshot_replace(spark, sf):
@@ -198,7 +199,7 @@ SELECT (SELECT COUNT(*) FROM events WHERE ts >= TIMESTAMP '{REPLAY_FROM}') AS re
        (SELECT COUNT(*) FROM ({_FIRST_WINS}) i) AS inserted,
        (SELECT COUNT(*) FROM events WHERE ts >= TIMESTAMP '{REPLAY_FROM}')
        - (SELECT COUNT(*) FROM ({_FIRST_WINS}) i) AS skipped""",
-    "key_hash": f"""SELECT id, source, endpoint, unhex(md5(COALESCE(endpoint, ''))) AS endpoint_hash
+    "key_hash": f"""SELECT id, source, endpoint, lower(hex(unhex(md5(COALESCE(endpoint, ''))))) AS endpoint_hash_hex
 FROM {_MSG} m""",
     "snapshot_replace": f"""
 SELECT id, source, endpoint, value FROM {_MSG} m WHERE source <> 'error'

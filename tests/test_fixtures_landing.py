@@ -140,3 +140,18 @@ def test_change_stream_apply(spark):
     stream = spark.readStream.schema("value string").text(f"{base}/in")
     apply_change_stream(spark, stream, layers, "cust", f"{base}/ck", ["id"], "value", CDC_ROW)
     assert [tuple(r) for r in layers.read("cust").collect()] == [(1, "c")]
+
+
+def test_continuous_drain(spark):
+    base = scratch_path(spark, "t-cont")
+    layers = Layers(spark, f"{base}/tables", prefix=f"ct_{uuid.uuid4().hex[:6]}_")
+    _write_lines(spark, f"{base}/in", _a1_lines())
+    q = drain(spark, f"{base}/in", layers, "raw", f"{base}/ckpt", available_now=False)
+    try:
+        q.processAllAvailable()
+        _write_lines(spark, f"{base}/in", [json.dumps({"source": "C", "endpoint": "u1", "payload": "9",
+                                                       "kafka_offset": 7, "loaded_at": "2025-01-02T00:00:00"})])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(r.kafka_offset for r in layers.read("raw").collect()) == [0, 2, 3, 7]

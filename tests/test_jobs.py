@@ -51,3 +51,12 @@ def test_missing_reference_currency_empties_snapshot(spark):
     jobs.run_all(layers, _raw(spark, with_eur=False), as_of="2025-01-03", load_dts="2025-01-10 10:00:00")
     assert layers.read("dm_security_snapshot").count() == 0
     assert layers.read("dm_moex_share_overview").count() == 3
+
+
+def test_weather_feed_optional(spark):
+    layers = Layers(spark, prefix=f"e2w_{uuid.uuid4().hex[:6]}_")
+    raw = _raw(spark).filter(F.col("source") != jobs.WEATHER_SOURCE)
+    report = jobs.run_all(layers, raw, as_of="2025-01-03", load_dts="2025-01-10 10:00:00")
+    assert not layers.exists("stg_moscow_weather_daily") and not layers.exists("hub_city")
+    assert layers.read("hub_calendar").count() == 2  # FX day + run date
+    assert {r.status for r in report.collect()} <= {"pass", "fail"}
