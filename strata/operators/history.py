@@ -52,6 +52,14 @@ def scd2(df: DataFrame, keys: Sequence[str], order: str, attrs: Sequence[str],
 
 
 OPEN_END = "2999-12-31"
+BUCKETS = ("day", "week", "month", "quarter", "year")
+
+
+def _bucket(c: str, bucket: str) -> Column:
+    """Start date of the bucket holding date column ``c``."""
+    if bucket not in BUCKETS:
+        raise ValueError(f"bucket must be one of {BUCKETS}")
+    return F.col(c) if bucket == "day" else F.trunc(c, bucket)
 
 
 def interval_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str], at: str,
@@ -65,8 +73,9 @@ def interval_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str], at: str,
     default) its range overlaps *inside the facts' own date range* (a one-row
     min/max aggregate, so open-ended ranges stay finite); the join is then an
     equi join on (keys, bucket) followed by the BETWEEN filter.  A fact meets
-    only the versions overlapping its own month instead of every version of
-    its key, so a hot key with a long history stays linear.
+    only the versions overlapping its own bucket instead of every version of
+    its key, so a hot key with a long history stays linear.  Pick a finer
+    ``bucket`` ('week', 'day') when versions are short compared to a month.
     """
     keys = list(keys)
     dim_cols = list(dim_cols) if dim_cols is not None else [
@@ -80,10 +89,10 @@ def interval_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str], at: str,
          .withColumn("_s", F.greatest("_vf", "_lo"))
          .withColumn("_e", F.least("_vt", "_hi"))
          .filter(F.col("_s") <= F.col("_e"))
-         .withColumn("_b", F.explode(F.sequence(F.trunc("_s", bucket), F.trunc("_e", bucket),
+         .withColumn("_b", F.explode(F.sequence(_bucket("_s", bucket), _bucket("_e", bucket),
                                                 F.expr(f"interval 1 {bucket}"))))
          .drop("_lo", "_hi", "_s", "_e"))
-    f = fact.withColumn("_at", fact_at).withColumn("_b", F.trunc("_at", bucket))
+    f = fact.withColumn("_at", fact_at).withColumn("_b", _bucket("_at", bucket))
     cond = [f[k] == d[k] for k in keys] + [f["_b"] == d["_b"],
                                            f["_at"] >= d["_vf"], f["_at"] <= d["_vt"]]
     j = f.join(d, on=cond, how="left")

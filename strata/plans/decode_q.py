@@ -14,6 +14,7 @@ from strata.operators.keyed import latest_per
 from strata.plans import messages as M
 from strata.sources.tables import Tables
 
+# The reference's weather bands (upper edges and names).
 REGIME_EDGES = [0, 10, 20, 28]
 REGIME_LABELS = ["freezing", "cold", "mild", "warm", "hot"]
 

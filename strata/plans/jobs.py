@@ -17,9 +17,11 @@ from strata.operators import decode, history, marts, quality, vault
 from strata.operators.keyed import latest, latest_per, pick_preferred
 from strata.sources.layers import Layers
 
-# Fixed values of the three feeds: source labels, preferred board, base
-# currency, reference currencies, city, weather bands.
+# Fixed values of the three feeds: landed source labels, record sources of
+# the staged layers, preferred board, base currency row, reference
+# currencies, city, weather band edges and names.
 MARKET_SOURCE, FX_SOURCE, WEATHER_SOURCE = "MOEX_ISS", "CBR_DAILY", "OPEN_METEO"
+MARKET_STG, FX_STG, WEATHER_STG, LINK_SOURCE = "MOEX_STG", "CBR_STG", "OPEN_METEO_STG", "MOEX+CBR"
 PREFERRED_BOARD = "TQBR"
 BASE_CURRENCY = ("RUB", 1, 1, "Russian Ruble")
 REFERENCE_CODES = {"USD": "usd", "EUR": "eur"}
@@ -97,25 +99,25 @@ def build_vault(layers: Layers, as_of: str, load_dts: str) -> None:
     optional and skipped when its staging table is absent."""
     ts = F.to_timestamp(F.lit(load_dts))
     sec, md, fx = (layers.read(n) for n in ("stg_moex_securities", "stg_moex_marketdata", "stg_cbr_fx_rates"))
-    hub_security = vault.load_hub(sec, {"secid": "secid"}, "security_hk", "MOEX_STG", ts)
-    hub_currency = vault.load_hub(fx, {"char_code": "char_code"}, "currency_hk", "CBR_STG", ts)
-    hub_calendar = vault.load_calendar(fx, "rate_date", as_of, "CBR_STG", ts)
+    hub_security = vault.load_hub(sec, {"secid": "secid"}, "security_hk", MARKET_STG, ts)
+    hub_currency = vault.load_hub(fx, {"char_code": "char_code"}, "currency_hk", FX_STG, ts)
+    hub_calendar = vault.load_calendar(fx, "rate_date", as_of, FX_STG, ts)
     out = {}
     has_weather = layers.exists("stg_moscow_weather_daily")
     if has_weather:
         w = layers.read("stg_moscow_weather_daily")
         extra = w.select(hash_key("weather_date").alias("date_hk"), F.col("weather_date").alias("business_date"),
-                         ts.alias("load_dts"), F.lit("OPEN_METEO_STG").alias("record_source"))
+                         ts.alias("load_dts"), F.lit(WEATHER_STG).alias("record_source"))
         hub_calendar = vault.extend_hub(hub_calendar, extra, "business_date")
         city = w.sparkSession.range(1).select(F.lit(CITY).alias("city_code"))
-        out["hub_city"] = vault.load_hub(city, {"city_code": "city_code"}, "city_hk", "OPEN_METEO_STG", ts)
+        out["hub_city"] = vault.load_hub(city, {"city_code": "city_code"}, "city_hk", WEATHER_STG, ts)
         staged = w.select(hash_key(F.lit(CITY)).alias("city_hk"), hash_key("weather_date").alias("date_hk"))
         out["link_city_date"] = vault.link_from_members(staged, ["city_hk", "date_hk"], "link_city_date_hk",
-                                                        "OPEN_METEO_STG", ts)
+                                                        WEATHER_STG, ts)
         out["sat_city_weather"] = vault.load_sat(
             w, {"city_hk": hash_key(F.lit(CITY)), "date_hk": hash_key("weather_date")},
             ["temperature_max_c", "temperature_min_c", "precipitation_mm", "wind_speed_max_ms",
-             "weather_regime", "is_precipitation_day"], "OPEN_METEO_STG", ts)
+             "weather_regime", "is_precipitation_day"], WEATHER_STG, ts)
     # link: every security x base currency x run date (both right sides are
     # filtered to one row of a hub, so broadcasting them is bounded)
     base = hub_currency.filter(F.col("char_code") == BASE_CURRENCY[0]).select("currency_hk")
@@ -124,17 +126,17 @@ def build_vault(layers: Layers, as_of: str, load_dts: str) -> None:
     out.update({
         "hub_security": hub_security, "hub_currency": hub_currency, "hub_calendar": hub_calendar,
         "link_security_currency_date": vault.link_from_members(
-            members, ["security_hk", "currency_hk", "date_hk"], "link_hk", "MOEX+CBR", ts),
+            members, ["security_hk", "currency_hk", "date_hk"], "link_hk", LINK_SOURCE, ts),
         "sat_security_profile": vault.load_sat(sec, {"security_hk": hash_key("secid")},
                                                ["shortname", "boardid", "lot_size", "secname", "regnumber"],
-                                               "MOEX_STG", ts),
+                                               MARKET_STG, ts),
         "sat_security_market": vault.load_sat(
             md, {"security_hk": hash_key("secid"), "date_hk": hash_key(F.to_date(F.lit(as_of)))},
-            ["last_price", "prev_price", "market_price_24h", "num_trades", "value_total"], "MOEX_STG", ts,
+            ["last_price", "prev_price", "market_price_24h", "num_trades", "value_total"], MARKET_STG, ts,
             extra={"pct_change": pct_change("last_price", "prev_price", 4).cast("decimal(18,4)")}),
         "sat_currency_rate": vault.load_sat(
             fx, {"currency_hk": hash_key("char_code"), "date_hk": hash_key("rate_date")},
-            ["nominal", "rate"], "CBR_STG", ts),
+            ["nominal", "rate"], FX_STG, ts),
     })
     layers.full_refresh(out, allow_empty=True)
 
