@@ -67,3 +67,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+GIB = 1024 ** 3
+
+
+def cluster_conf(input_bytes: int, total_cores: int, shuffle_partition_bytes: int = GIB // 2,
+                 split_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Settings for a large cluster, to apply when the session is built.
+
+    * scan splits of ``split_bytes`` (parquet row groups are read in parallel
+      within a file);
+    * the first shuffle of a job starts with enough partitions that each holds
+      about ``shuffle_partition_bytes`` of the *input* (an upper bound of
+      what a pre-aggregated shuffle carries), never fewer than two per core,
+      and AQE coalesces what turns out smaller;
+    * AQE splits skewed shuffle partitions of joins at five times the median.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // shuffle_partition_bytes))
+    parts = min(parts, 200_000)
+    conf = dict(CORE_CONF)
+    conf.update({
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 ** 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 ** 2),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+    })
+    return conf

@@ -23,3 +23,12 @@ def test_hashes(spark):
     import hashlib
     assert r.d == hashlib.md5(b"a||1").hexdigest()
     assert bytes(r.k) == hashlib.md5(b"").digest()
+
+
+def test_cluster_conf_sizes():
+    from strata.session import cluster_conf
+    c = cluster_conf(100 * 1024 ** 4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 200_000
+    c = cluster_conf(10 * 1024 ** 3, 64)
+    assert int(c["spark.sql.shuffle.partitions"]) == 128
+    assert c["spark.sql.session.timeZone"] == "UTC"
