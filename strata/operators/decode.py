@@ -118,16 +118,14 @@ def jsonstat_flatten(df: DataFrame, payload: str, keep: Sequence[str] = ()) -> D
     j = df.select(*keep, F.from_json(F.col(payload), JSONSTAT_DDL).alias("_j"))
     j = j.select(*keep, "_j.id", "_j.size", "_j.dimension",
                  F.explode("_j.value").alias("_k", "value"))
-    n = F.size("id")
-
-    def code(d, i):
-        stride = F.aggregate(F.slice(F.col("size"), i + 2, F.greatest(n - i - 1, F.lit(0))),
-                             F.lit(1).cast("bigint"), lambda a, x: a * x)
-        pos = (F.col("_k").cast("bigint") / stride).cast("bigint") % F.get(F.col("size"), i)
-        inv = F.map_from_entries(F.transform(
-            F.map_entries(F.col("dimension")[d]["category"]["index"]),
-            lambda e: F.struct(e["value"].cast("bigint"), e["key"])))
-        return F.struct(d.alias("k"), F.element_at(inv, pos).alias("v"))
-
-    dims = F.map_from_entries(F.transform(F.col("id"), code))
+    # exact integer maths: stride of dimension i = product of the later sizes
+    dims = F.expr("""
+        map_from_entries(transform(id, (d, i) -> struct(
+            d AS k,
+            element_at(
+                map_from_entries(transform(map_entries(dimension[d].category.index),
+                                           e -> struct(CAST(e.value AS BIGINT), e.key))),
+                (CAST(_k AS BIGINT) div aggregate(slice(size, i + 2, greatest(size(id) - i - 1, 0)),
+                                                  CAST(1 AS BIGINT), (a, x) -> a * x))
+                % element_at(size, i + 1)) AS v)))""")
     return j.select(*keep, F.col("_k").cast("bigint").alias("flat_index"), dims.alias("dims"), "value")

@@ -30,6 +30,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.driver.memory": "16g",
         "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024),
+        # local disk only: skip the .crc side file written next to every file
+        "spark.hadoop.fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
+        "spark.hadoop.fs.file.impl.disable.cache": "true",
     })
     conf.update(extra or {})
     for k, v in conf.items():
