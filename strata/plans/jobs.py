@@ -94,9 +94,20 @@ def run_staging(layers: Layers, raw: DataFrame) -> None:
 
 # Vault ---------------------------------------------------------------------
 
-def build_vault(layers: Layers, as_of: str, load_dts: str) -> None:
+HUB_KEYS = {"hub_security": "secid", "hub_currency": "char_code", "hub_calendar": "business_date",
+            "hub_city": "city_code", "link_security_currency_date": "link_hk", "link_city_date": "link_city_date_hk"}
+SAT_KEYS = {"sat_security_profile": ["security_hk"], "sat_security_market": ["security_hk", "date_hk"],
+            "sat_currency_rate": ["currency_hk", "date_hk"], "sat_city_weather": ["city_hk", "date_hk"]}
+
+
+def build_vault(layers: Layers, as_of: str, load_dts: str, incremental: bool = False) -> None:
     """Hubs, links and satellites in dependency order; the weather source is
-    optional and skipped when its staging table is absent."""
+    optional and skipped when its staging table is absent.
+
+    ``incremental=False`` rebuilds every table (the reference truncates and
+    reloads).  ``incremental=True`` keeps history: hubs and links receive
+    only keys they lack (first writer keeps its row), satellites only rows
+    whose hashdiff differs from the key's latest stored row (V9)."""
     ts = F.to_timestamp(F.lit(load_dts))
     sec, md, fx = (layers.read(n) for n in ("stg_moex_securities", "stg_moex_marketdata", "stg_cbr_fx_rates"))
     hub_security = vault.load_hub(sec, {"secid": "secid"}, "security_hk", MARKET_STG, ts)
@@ -138,7 +149,20 @@ def build_vault(layers: Layers, as_of: str, load_dts: str) -> None:
             fx, {"currency_hk": hash_key("char_code"), "date_hk": hash_key("rate_date")},
             ["nominal", "rate"], FX_STG, ts),
     })
-    layers.full_refresh(out, allow_empty=True)
+    if not incremental:
+        layers.full_refresh(out, allow_empty=True)
+        return
+    fresh = {n: df for n, df in out.items() if not layers.exists(n)}
+    if fresh:
+        layers.full_refresh(fresh, allow_empty=True)
+    for name, df in out.items():
+        if name in fresh:
+            continue
+        if name in HUB_KEYS:
+            layers.insert_if_absent(name, df, [HUB_KEYS[name]])
+        else:
+            new_rows = vault.changed_rows(layers.read(name), df, SAT_KEYS[name])
+            layers.append(name, new_rows.checkpoint(eager=True))
 
 
 # Marts, history, facts, tests ----------------------------------------------------

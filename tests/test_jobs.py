@@ -60,3 +60,25 @@ def test_weather_feed_optional(spark):
     assert not layers.exists("stg_moscow_weather_daily") and not layers.exists("hub_city")
     assert layers.read("hub_calendar").count() == 2  # FX day + run date
     assert {r.status for r in report.collect()} <= {"pass", "fail"}
+
+
+def test_incremental_vault_keeps_history(spark):
+    layers = Layers(spark, prefix=f"inc_{uuid.uuid4().hex[:6]}_")
+    raw = _raw(spark)
+    jobs.run_staging(layers, raw)
+    jobs.build_vault(layers, "2025-01-03", "2025-01-10 10:00:00", incremental=True)
+    n_market = layers.read("sat_security_market").count()
+    n_hub = layers.read("hub_security").count()
+    # same input again: nothing changes
+    jobs.build_vault(layers, "2025-01-03", "2025-01-10 11:00:00", incremental=True)
+    assert layers.read("sat_security_market").count() == n_market
+    assert layers.read("hub_security").count() == n_hub
+    # AAA's last price moves: exactly one new market row, profiles unchanged
+    moved = raw.withColumn("payload", F.regexp_replace("payload", "273.10", "280.00"))
+    jobs.run_staging(layers, moved)
+    jobs.build_vault(layers, "2025-01-03", "2025-01-10 12:00:00", incremental=True)
+    sm = layers.read("sat_security_market")
+    assert sm.count() == n_market + 1
+    assert layers.read("sat_security_profile").count() == 3
+    latest = sm.orderBy(F.col("load_dts").desc()).first()
+    assert latest.last_price == D("280.000000") and latest.pct_change == D("12.0000")
