@@ -198,7 +198,7 @@ def build_weather_dimension(layers: Layers) -> None:
 
 def refresh_facts(layers: Layers, as_of: str) -> None:
     """Liquidity and movers facts: first run loads all, later runs replace the
-    run-date partition (delete + insert of that day)."""
+    run date's rows (delete + insert of that day) inside its month partition."""
     snap = layers.read("dm_security_snapshot")
     facts = {
         "fct_moex_liquidity": snap.filter(F.col("value_total").isNotNull()).select(
@@ -209,10 +209,7 @@ def refresh_facts(layers: Layers, as_of: str) -> None:
     }
     for name, df in facts.items():
         df = df.checkpoint(eager=True)  # read from the table it may replace a day of
-        if not layers.exists(name):
-            layers.full_refresh({name: df}, partition_by={name: ["trade_date"]}, allow_empty=True)
-        else:
-            layers.replace_partition(name, df, "trade_date", as_of)
+        layers.refresh_day(name, df, "trade_date", as_of)
 
 
 def weather_snapshot(layers: Layers) -> DataFrame:

@@ -79,15 +79,15 @@ def q_incremental_refresh(spark, sf):
     o = Tables(spark, sf).orders
     layers = Layers(spark, prefix=f"fct_{uuid.uuid4().hex[:8]}_")
     # first run: whole history, but from finished orders only (a stale load)
-    layers.full_refresh({"liquidity": liquidity_fact(o.filter(F.col("o_orderstatus") == "F"))},
-                        partition_by={"liquidity": ["trade_date"]}, allow_empty=True)
+    layers.refresh_day("liquidity", liquidity_fact(o.filter(F.col("o_orderstatus") == "F")),
+                       "trade_date", AS_OF_DAY)
     # incremental run: the run day is replaced by its full recomputation.
     # The day is a half-open range on the raw timestamp, so the filter is
     # pushed into the parquet scan and only that day's row groups are read.
     lo = F.to_timestamp(F.lit(AS_OF_DAY)).cast("timestamp_ntz")
     day = o.filter((F.col("o_orderdate") >= lo) & (F.col("o_orderdate") < lo + F.expr("INTERVAL 1 DAY")))
-    layers.replace_partition("liquidity", liquidity_fact(day), "trade_date", AS_OF_DAY)
-    return layers.read("liquidity")
+    layers.refresh_day("liquidity", liquidity_fact(day), "trade_date", AS_OF_DAY)
+    return layers.read("liquidity").drop("trade_date_month")
 
 
 def q_fact_view(spark, sf):

@@ -108,6 +108,30 @@ def test_partition_refresh_empty_day_empties_it(spark):
     assert sorted((r.k, r.v) for r in layers.read("f").collect()) == [(7, 70)]
 
 
+def test_refresh_day_in_month_partition(spark):
+    layers = Layers(spark, prefix=f"rd_{uuid.uuid4().hex[:6]}_")
+
+    def rows(*t):
+        return spark.createDataFrame(list(t), "k int, v int, d string").withColumn("d", F.to_date("d"))
+
+    def got():
+        return sorted((r.k, r.v, str(r.d)) for r in layers.read("f").drop("d_month").collect())
+
+    layers.refresh_day("f", rows((1, 10, "2025-01-01"), (2, 20, "2025-01-02"), (3, 30, "2025-02-02")),
+                       "d", "2025-01-02")
+    assert got() == [(1, 10, "2025-01-01"), (2, 20, "2025-01-02"), (3, 30, "2025-02-02")]
+    # the run day's rows are replaced; other days of its month and other months stay,
+    # rows of other days in the incremental input are ignored
+    new = rows((7, 70, "2025-01-02"), (8, 80, "2025-01-02"), (9, 90, "2025-01-01"))
+    layers.refresh_day("f", new, "d", "2025-01-02")
+    layers.refresh_day("f", new, "d", "2025-01-02")  # idempotent
+    assert got() == [(1, 10, "2025-01-01"), (3, 30, "2025-02-02"), (7, 70, "2025-01-02"), (8, 80, "2025-01-02")]
+    # an empty run day empties that day only; a day in a new month adds its partition
+    layers.refresh_day("f", new.limit(0), "d", "2025-01-02")
+    layers.refresh_day("f", rows((5, 50, "2025-03-09")), "d", "2025-03-09")
+    assert got() == [(1, 10, "2025-01-01"), (3, 30, "2025-02-02"), (5, 50, "2025-03-09")]
+
+
 CDC_ROW = "id int, name string"
 
 
