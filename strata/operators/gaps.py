@@ -1,9 +1,9 @@
 """Calendar gaps: which days / months / years have no landed data, per
 entity, between a floor and a ceiling (swapped when inverted).
 
-The spine is built per entity by ``explode(sequence(lo, hi))`` next to a
-one-row bounds frame (so its broadcast is bounded), then the present keys
-are removed with a left-anti join.  Nothing is collected: gap sets stay
+The spine is built per entity by ``explode(sequence(lo, hi))`` with the
+bounds as a scalar subquery (one aggregate, inlined as a value), then the
+present keys are removed with a left-anti join.  Nothing is collected: gap sets stay
 DataFrames and are joined by their consumers."""
 
 from __future__ import annotations
@@ -14,21 +14,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _bounds(d: DataFrame, col: str, floor=None, ceiling=None) -> DataFrame:
+def _bounds(d: DataFrame, col: str, floor=None, ceiling=None) -> Column:
+    """Scalar (lo, hi) struct: the floor/ceiling, or the data's min/max date,
+    swapped when inverted.  A scalar subquery: aggregated once per query and
+    inlined as a value, so the spine needs no join with it."""
     lo = F.to_date(F.lit(floor)) if floor is not None else F.min(col)
     hi = F.to_date(F.lit(ceiling)) if ceiling is not None else F.max(col)
     b = d.agg(lo.alias("_a"), hi.alias("_b"))
-    return b.select(F.least("_a", "_b").alias("_lo"), F.greatest("_a", "_b").alias("_hi"))
+    return b.select(F.struct(F.least("_a", "_b").alias("lo"), F.greatest("_a", "_b").alias("hi"))).scalar()
 
 
-def _spine(d: DataFrame, keys: Sequence[str], bounds: DataFrame, step: str, name: str,
-           fmt: Column | None = None) -> DataFrame:
+def _spine(d: DataFrame, keys: Sequence[str], bounds: Column, step: str, name: str) -> DataFrame:
     ents = d.select(*keys).distinct() if keys else d.sparkSession.range(1).select()
-    lo, hi = F.col("_lo"), F.col("_hi")
+    lo, hi = bounds["lo"], bounds["hi"]
     if step == "month":
         lo, hi = F.trunc(lo, "month"), F.trunc(hi, "month")
     seq = F.sequence(lo, hi, F.expr(f"interval 1 {step}"))
-    return ents.crossJoin(F.broadcast(bounds)).select(*keys, F.explode(seq).alias(name))
+    return ents.select(*keys, F.explode(seq).alias(name))
 
 
 def missing_dates(df: DataFrame, keys: Sequence[str], date_col: str, floor=None, ceiling=None,

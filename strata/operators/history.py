@@ -70,8 +70,8 @@ def interval_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str], at: str,
     coalesce(valid_to, open_end)`` (D7), without a per-key nested loop.
 
     Each dimension row is copied to the ``bucket`` periods (months by
-    default) its range overlaps *inside the facts' own date range* (a one-row
-    min/max aggregate, so open-ended ranges stay finite); the join is then an
+    default) its range overlaps *inside the facts' own date range* (a scalar
+    min/max subquery, so open-ended ranges stay finite); the join is then an
     equi join on (keys, bucket) followed by the BETWEEN filter.  A fact meets
     only the versions overlapping its own bucket instead of every version of
     its key, so a hot key with a long history stays linear.  Pick a finer
@@ -81,17 +81,17 @@ def interval_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str], at: str,
     dim_cols = list(dim_cols) if dim_cols is not None else [
         c for c in dim.columns if c not in keys and c not in (valid_from, valid_to)]
     fact_at = F.to_date(F.col(at))
-    bounds = fact.agg(F.min(fact_at).alias("_lo"), F.max(fact_at).alias("_hi"))
+    # the facts' date range as a scalar subquery: aggregated once, inlined
+    bounds = fact.select(F.struct(F.min(fact_at).alias("lo"), F.max(fact_at).alias("hi"))).scalar()
     vt = F.coalesce(F.col(valid_to), F.to_date(F.lit(open_end)))
     d = (dim.select(*keys, F.col(valid_from).alias("_vf"), vt.alias("_vt"),
                     *[F.col(c).alias(f"_d_{c}") for c in dim_cols])
-         .crossJoin(F.broadcast(bounds))  # one row by construction
-         .withColumn("_s", F.greatest("_vf", "_lo"))
-         .withColumn("_e", F.least("_vt", "_hi"))
+         .withColumn("_s", F.greatest("_vf", bounds["lo"]))
+         .withColumn("_e", F.least("_vt", bounds["hi"]))
          .filter(F.col("_s") <= F.col("_e"))
          .withColumn("_b", F.explode(F.sequence(_bucket("_s", bucket), _bucket("_e", bucket),
                                                 F.expr(f"interval 1 {bucket}"))))
-         .drop("_lo", "_hi", "_s", "_e"))
+         .drop("_s", "_e"))
     f = fact.withColumn("_at", fact_at).withColumn("_b", _bucket("_at", bucket))
     cond = [f[k] == d[k] for k in keys] + [f["_b"] == d["_b"],
                                            f["_at"] >= d["_vf"], f["_at"] <= d["_vt"]]

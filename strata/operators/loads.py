@@ -33,10 +33,9 @@ def append_first_wins(batch: DataFrame, target_keys: DataFrame, keys: Sequence[s
 
 def load_counts(batch: DataFrame, inserted: DataFrame) -> DataFrame:
     """One row: messages read, rows inserted, rows skipped."""
-    n_in = batch.agg(F.count(F.lit(1)).alias("read"))
-    n_ins = inserted.agg(F.count(F.lit(1)).alias("inserted"))
-    return (n_in.crossJoin(n_ins)
-            .withColumn("skipped", F.col("read") - F.col("inserted")))
+    n_ins = inserted.agg(F.count(F.lit(1))).scalar()
+    return (batch.agg(F.count(F.lit(1)).alias("read"))
+            .select("read", n_ins.alias("inserted"), (F.col("read") - n_ins).alias("skipped")))
 
 
 def replace_by_source(target: DataFrame, new: DataFrame, source_col: str, source) -> DataFrame:

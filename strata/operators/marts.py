@@ -46,8 +46,8 @@ def overview(profile_latest: DataFrame, market_latest: DataFrame, on: str) -> Da
 
 
 def latest_value_date(sat: DataFrame, date_col: str, alias: str = "fx_date") -> DataFrame:
-    """One-row DataFrame with MAX(date) over the satellite (D3); joined later,
-    never collected."""
+    """One-row DataFrame with MAX(date) over the satellite (D3); used as a
+    scalar subquery later, never collected."""
     return sat.agg(F.max(date_col).alias(alias))
 
 
@@ -57,8 +57,10 @@ def rates_at(sat: DataFrame, code_col: str, date_col: str, load_col: str,
     """Reference-rate pick (D4): for each code in ``picks`` (code -> prefix),
     the newest load at the latest date, all codes in one aggregation pass
     with ``max_by(...) FILTER (WHERE code = ...)``.  An absent code gives
-    NULLs.  The result is a single row (its size is bounded by construction)."""
-    at = sat.join(F.broadcast(fx_date), sat[date_col] == fx_date[date_alias], "inner")
+    NULLs.  The result is a single row (its size is bounded by construction).
+    The date is a scalar subquery, so the satellite is filtered, not joined."""
+    fx = fx_date.select(date_alias).scalar()
+    at = sat.filter(F.col(date_col) == fx)
     aggs = []
     for code, prefix in picks.items():
         cond = F.col(code_col) == F.lit(code)
@@ -68,8 +70,7 @@ def rates_at(sat: DataFrame, code_col: str, date_col: str, load_col: str,
         # presence differs from a NULL value: the reference's per-code CTE
         # has no row at all when the code is absent
         aggs.append(F.coalesce(F.bool_or(cond), F.lit(False)).alias(f"{prefix}{PRESENT}"))
-    picked = at.agg(*aggs)
-    return fx_date.crossJoin(picked)
+    return at.agg(*aggs).select(fx.alias(date_alias), "*")
 
 
 PRESENT = "_present"
@@ -88,16 +89,21 @@ def snapshot(overview_df: DataFrame, rates_row: DataFrame, on_missing: str = "em
     reference cross-joins one-row CTEs, so a missing currency (its
     ``*_present`` flag from :func:`rates_at` is false) empties the mart
     (trap T11, ``on_missing='empty'``); ``'null'`` keeps rows with NULL rates.
-    ``rates_row`` is one row by construction, so broadcasting it is safe."""
+    ``rates_row`` is one row by construction; it is attached as a scalar
+    subquery (computed once, inlined as a value -- no join, no broadcast),
+    and a second row would fail the query instead of multiplying the mart."""
+    if on_missing not in ("empty", "null"):
+        raise ValueError(on_missing)
     flags = [c for c in rates_row.columns if c.endswith(PRESENT)]
+    vals = [c for c in rates_row.columns if c not in flags]
+    r = rates_row.select(F.struct(*rates_row.columns)).scalar()
+    out = overview_df.select("*", *[r[c].alias(c) for c in vals])
     if on_missing == "empty":
-        ok = rates_row
+        ok = F.lit(True)
         for c in flags:
-            ok = ok.filter(F.col(c))
-        return overview_df.crossJoin(F.broadcast(ok.drop(*flags)))
-    if on_missing == "null":
-        return overview_df.join(F.broadcast(rates_row.drop(*flags)), F.lit(True), "left")
-    raise ValueError(on_missing)
+            ok = ok & F.coalesce(r[c], F.lit(False))
+        out = out.filter(ok)
+    return out
 
 
 def layer_counts(tables: Mapping[str, DataFrame], layer: str = "layer") -> DataFrame:

@@ -129,11 +129,13 @@ def build_vault(layers: Layers, as_of: str, load_dts: str, incremental: bool = F
             w, {"city_hk": hash_key(F.lit(CITY)), "date_hk": hash_key("weather_date")},
             ["temperature_max_c", "temperature_min_c", "precipitation_mm", "wind_speed_max_ms",
              "weather_regime", "is_precipitation_day"], WEATHER_STG, ts)
-    # link: every security x base currency x run date (both right sides are
-    # filtered to one row of a hub, so broadcasting them is bounded)
-    base = hub_currency.filter(F.col("char_code") == BASE_CURRENCY[0]).select("currency_hk")
-    run_day = hub_calendar.filter(F.col("business_date") == F.to_date(F.lit(as_of))).select("date_hk")
-    members = hub_security.select("security_hk").crossJoin(F.broadcast(base)).crossJoin(F.broadcast(run_day))
+    # link: every security x base currency x run date.  Both are one hub row
+    # picked by its unique business key: scalar subqueries, and a missing
+    # one leaves the link empty as the reference's inner joins do
+    base = hub_currency.filter(F.col("char_code") == BASE_CURRENCY[0]).select("currency_hk").scalar()
+    run_day = hub_calendar.filter(F.col("business_date") == F.to_date(F.lit(as_of))).select("date_hk").scalar()
+    members = (hub_security.select("security_hk", base.alias("currency_hk"), run_day.alias("date_hk"))
+               .filter(F.col("currency_hk").isNotNull() & F.col("date_hk").isNotNull()))
     out.update({
         "hub_security": hub_security, "hub_currency": hub_currency, "hub_calendar": hub_calendar,
         "link_security_currency_date": vault.link_from_members(

@@ -59,9 +59,11 @@ def q_link_join(spark, sf):
     hn = vault.load_hub(t.nation, {"n_nationkey": "n_nationkey"}, "nation_hk", "NATION_STG")
     run_day = hub_calendar(spark, sf).filter(F.col("business_date") == F.to_date(F.lit(AS_OF)))
     cust = t.customer.select(F.col("c_custkey"), F.col("c_nationkey").alias("n_nationkey"))
+    # the run-date hub row is at most one row (the business key is unique in
+    # a hub): a scalar subquery; no run-date row -> no link rows
+    run_hk = run_day.select("date_hk").scalar()
     members = (hc.join(cust, "c_custkey").join(hn, "n_nationkey")
-               # the run-date hub row is one row (business key is unique in a hub)
-               .crossJoin(F.broadcast(run_day.select("date_hk"))))
+               .select("*", run_hk.alias("date_hk")).filter(F.col("date_hk").isNotNull()))
     return vault.link_from_members(members, ["customer_hk", "nation_hk", "date_hk"], "link_hk",
                                    "ORDERS+NATION")
 
