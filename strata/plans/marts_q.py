@@ -57,10 +57,12 @@ def part_profile_sat(spark, sf):
 
 def part_market(spark, sf):
     li = Tables(spark, sf).lineitem
-    return (li.groupBy(hash_key("l_partkey").alias("part_hk"))
+    # aggregate on the raw key (a long, combined map-side), hash once per part
+    return (li.groupBy("l_partkey")
             .agg(F.count(F.lit(1)).alias("num_trades"),
                  F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("decimal(38,2)").alias("total_qty"),
-                 F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("value_total")))
+                 F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("value_total"))
+            .select(hash_key("l_partkey").alias("part_hk"), "num_trades", "total_qty", "value_total"))
 
 
 def q_mart_overview(spark, sf):
