@@ -15,6 +15,7 @@ shared folder named by ``spark.checkpoint.dir`` unless a root is given."""
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -25,6 +26,15 @@ from strata.operators import loads
 from strata.session import scratch_path
 
 
+KEY_BUCKET = "key_bucket"
+DEFAULT_KEY_BUCKETS = 256
+
+
+def key_bucket(keys: Sequence[str], n: int):
+    """Hash bucket of a key (stable: xxhash64 with Spark's fixed seed)."""
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).cast("int")
+
+
 class EmptyInput(ValueError):
     """Raised when a full refresh would publish an empty table (T12)."""
 
@@ -51,11 +61,14 @@ class Layers:
     def exists(self, name: str) -> bool:
         return self.spark.catalog.tableExists(self.table(name))
 
-    def read(self, name: str) -> DataFrame:
+    def read(self, name: str, layout: bool = False) -> DataFrame:
+        """The table's rows; the ``key_bucket`` layout column of a keyed
+        table (see :meth:`merge`) is left out unless ``layout``."""
         # writes may come from another session (a streaming batch): drop any
         # cached file listing of the table first
         self.spark.catalog.refreshTable(self.table(name))
-        return self.spark.table(self.table(name))
+        df = self.spark.table(self.table(name))
+        return df if layout or KEY_BUCKET not in df.columns else df.drop(KEY_BUCKET)
 
     # publish --------------------------------------------------------------
     def _define(self, name: str, df: DataFrame, path: str, partition_by: Sequence[str]):
@@ -153,13 +166,70 @@ class Layers:
         t = self.table(name)
         df.select(*self.read(name).columns).write.insertInto(t)
 
-    def upsert(self, name: str, new: DataFrame, keys: Sequence[str]) -> None:
+    def upsert(self, name: str, new: DataFrame, keys: Sequence[str],
+               n_buckets: int = DEFAULT_KEY_BUCKETS) -> None:
         """Newest wins on ``keys`` (S16).  Duplicate keys inside ``new`` are
-        an error, as they are for the reference's single INSERT (T17)."""
+        an error, as they are for the reference's single INSERT (T17).  A
+        new table is created keyed (see :meth:`merge`)."""
         if not loads.duplicate_keys(new, keys).isEmpty():
             raise ValueError(f"duplicate keys in upsert input for {name}")
-        merged = loads.upsert(self.read(name), new, keys)
-        self.full_refresh({name: merged}, allow_empty=True)
+        self.merge(name, new, keys, n_buckets=n_buckets)
+
+    def merge(self, name: str, rows: DataFrame, keys: Sequence[str], remove: DataFrame | None = None,
+              n_buckets: int = DEFAULT_KEY_BUCKETS) -> None:
+        """Keyed merge without MERGE (S12, S16): ``rows`` replace the stored
+        rows of their keys, keys in ``remove`` are deleted, every other key
+        stays.  ``rows`` must be unique on ``keys``.
+
+        A table created here is partitioned by ``key_bucket =
+        pmod(xxhash64(keys), n_buckets)``.  A merge then reads only the
+        buckets its keys fall into (their ids, at most ``n_buckets``, become
+        a partition filter on the scan), writes those
+        buckets' new contents to a fresh folder in one job, and points just
+        those partitions at it; a bucket left empty is dropped.  A small change
+        batch against a large table rewrites a few buckets instead of the
+        table.  Each key lives in one bucket, so a failure between partition
+        switches leaves every key at its old or its new version, and running
+        the merge again completes it.  A table without the bucket column is
+        rewritten whole."""
+        keys = list(keys)
+        touched_keys = rows.select(*keys)
+        if remove is not None:
+            touched_keys = touched_keys.unionByName(remove.select(*keys))
+        touched_keys = touched_keys.distinct()
+        bucket = key_bucket(keys, n_buckets)
+        if not self.exists(name):
+            live = rows if remove is None else rows.join(remove.select(*keys), keys, "left_anti")
+            self.full_refresh({name: live.withColumn(KEY_BUCKET, bucket)},
+                              partition_by={name: [KEY_BUCKET]}, allow_empty=True)
+            return
+        cur = self.read(name, layout=True)
+        if KEY_BUCKET not in cur.columns:
+            kept = cur.join(touched_keys, keys, "left_anti")
+            self.full_refresh({name: kept.unionByName(rows.select(*cur.columns))}, allow_empty=True)
+            return
+        # the bucket ids touched (at most n_buckets values) become a partition
+        # filter on the scan: untouched buckets are not read
+        buckets = sorted(r[0] for r in touched_keys.select(bucket).distinct().collect())
+        if not buckets:
+            return
+        kept = cur.filter(F.col(KEY_BUCKET).isin(buckets)).join(touched_keys, keys, "left_anti")
+        fresh = kept.unionByName(rows.withColumn(KEY_BUCKET, bucket).select(*cur.columns))
+        path = self._new_path(name)
+        (fresh.repartitionByRange(KEY_BUCKET, F.xxhash64(*fresh.columns))
+         .write.mode("errorifexists").partitionBy(KEY_BUCKET).parquet(path))
+        written = {int(m.group(1)) for f in self.spark.read.parquet(path).inputFiles()
+                   if (m := re.search(rf"/{KEY_BUCKET}=(\d+)/", f))}
+        t = self.table(name)
+        for b in buckets:
+            spec = f"PARTITION ({KEY_BUCKET} = {b})"
+            if b in written:
+                loc = f"{path}/{KEY_BUCKET}={b}"
+                self.spark.sql(f"ALTER TABLE {t} ADD IF NOT EXISTS {spec} LOCATION '{loc}'")
+                self.spark.sql(f"ALTER TABLE {t} {spec} SET LOCATION '{loc}'")
+            else:
+                self.spark.sql(f"ALTER TABLE {t} DROP IF EXISTS {spec}")
+        self.spark.catalog.refreshTable(t)
 
     def insert_if_absent(self, name: str, new: DataFrame, keys: Sequence[str]) -> None:
         """Append the rows whose key the table lacks (S17)."""

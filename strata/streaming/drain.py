@@ -61,8 +61,9 @@ def apply_change_stream(spark: SparkSession, stream: DataFrame, layers: Layers,
                         checkpoint: str, keys: Sequence[str], value_col: str, row_ddl: str,
                         available_now: bool = True):
     """Change capture applied per micro-batch (S12): the batch's latest event
-    per key is merged into the current state table by rewrite (no MERGE on
-    parquet): keys touched by the batch are replaced, deletes removed."""
+    per key is merged into the current state table (no MERGE on parquet):
+    keys touched by the batch are replaced, deletes removed, and only the key
+    buckets the batch touches are rewritten (:meth:`Layers.merge`)."""
     keys = list(keys)
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -71,11 +72,8 @@ def apply_change_stream(spark: SparkSession, stream: DataFrame, layers: Layers,
                        "op", F.col("source.lsn").alias("_pos"), "after")
         last = loads.pick_one(ev, keys, ["_pos"], keep="last").checkpoint(eager=True)
         live = last.filter(F.col("op") != "d").select("after.*")
-        if not layers.exists(table):
-            layers.full_refresh({table: live}, allow_empty=True)
-            return
-        kept = layers.read(table).join(last.select(*keys), keys, "left_anti")
-        layers.full_refresh({table: kept.unionByName(live)}, allow_empty=True)
+        gone = last.filter(F.col("op") == "d").select(*keys)
+        layers.merge(table, live, keys, remove=gone)
 
     w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")

@@ -166,6 +166,34 @@ def test_change_stream_apply(spark):
     assert [tuple(r) for r in layers.read("cust").collect()] == [(1, "c")]
 
 
+def test_keyed_merge_rewrites_touched_buckets_only(spark):
+    from strata.sources.layers import KEY_BUCKET, key_bucket
+    layers = Layers(spark, prefix=f"km_{uuid.uuid4().hex[:6]}_")
+    base = spark.range(200).select(F.col("id").cast("int").alias("k"), F.lit("v0").alias("v"))
+    layers.merge("s", base, ["k"], n_buckets=16)
+    assert layers.read("s").columns == ["k", "v"]
+    files_before = set(layers.read("s", layout=True).inputFiles())
+    # change keys 3 and 7, delete key 5, add key 1000; duplicates of a key in
+    # other buckets are untouched
+    rows = spark.createDataFrame([(3, "v1"), (7, "v1"), (1000, "new")], "k int, v string")
+    gone = spark.createDataFrame([(5,)], "k int")
+    layers.merge("s", rows, ["k"], remove=gone, n_buckets=16)
+    got = {r.k: r.v for r in layers.read("s").collect()}
+    expect = {k: "v0" for k in range(200) if k != 5}
+    expect.update({3: "v1", 7: "v1", 1000: "new"})
+    assert got == expect
+    t = layers.read("s", layout=True)
+    touched = {r[0] for r in spark.createDataFrame([(3,), (5,), (7,), (1000,)], "k int")
+               .select(key_bucket(["k"], 16)).collect()}
+    assert 0 < len(touched) <= 4
+    # files of untouched buckets are the same files as before
+    untouched_files = set(t.filter(~F.col(KEY_BUCKET).isin(list(touched))).inputFiles())
+    assert untouched_files and untouched_files <= files_before
+    # the same merge again changes nothing
+    layers.merge("s", rows, ["k"], remove=gone, n_buckets=16)
+    assert {r.k: r.v for r in layers.read("s").collect()} == expect
+
+
 def test_continuous_drain(spark):
     base = scratch_path(spark, "t-cont")
     layers = Layers(spark, f"{base}/tables", prefix=f"ct_{uuid.uuid4().hex[:6]}_")
