@@ -27,7 +27,12 @@ from strata.session import scratch_path
 
 
 KEY_BUCKET = "key_bucket"
-DEFAULT_KEY_BUCKETS = 256
+BUCKETS_PROP = "strata.key_buckets"
+# A table-design choice, fixed when a keyed table is created: size it so a
+# bucket holds a few GB at the table's expected size (e.g. 4096 buckets for
+# ~10 TB).  A merge rewrites, and a keyed insert scans, only the buckets its
+# keys fall into.
+DEFAULT_KEY_BUCKETS = 32
 
 
 def key_bucket(keys: Sequence[str], n: int):
@@ -48,6 +53,7 @@ def _sql_literal(v) -> str:
 class Layers:
     def __init__(self, spark: SparkSession, root: str | None = None, prefix: str = ""):
         self.spark = spark
+        self._pending_buckets: dict[str, int] = {}
         self.root = (root or scratch_path(spark, "layers")).rstrip("/")
         self.prefix = prefix
 
@@ -77,7 +83,10 @@ class Layers:
                [df.schema[c] for c in partition_by]
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cols)
         part = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-        self.spark.sql(f"CREATE TABLE {t} ({ddl}) USING parquet{part} LOCATION '{path}'")
+        props = ""
+        if KEY_BUCKET in partition_by:
+            props = f" TBLPROPERTIES ('{BUCKETS_PROP}' = '{self._pending_buckets[name]}')"
+        self.spark.sql(f"CREATE TABLE {t} ({ddl}) USING parquet{part} LOCATION '{path}'{props}")
         if partition_by:
             self.spark.sql(f"ALTER TABLE {t} RECOVER PARTITIONS")
 
@@ -175,6 +184,18 @@ class Layers:
             raise ValueError(f"duplicate keys in upsert input for {name}")
         self.merge(name, new, keys, n_buckets=n_buckets)
 
+    def _create_keyed(self, name: str, rows: DataFrame, keys: Sequence[str], n_buckets: int) -> None:
+        self._pending_buckets[name] = int(n_buckets)
+        self.full_refresh({name: rows.withColumn(KEY_BUCKET, key_bucket(keys, n_buckets))},
+                          partition_by={name: [KEY_BUCKET]}, allow_empty=True)
+
+    def key_buckets(self, name: str) -> int | None:
+        """Bucket count a keyed table was created with (a table property, so
+        every later merge hashes keys the same way), or None."""
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.table(name)} ('{BUCKETS_PROP}')").collect()
+        v = rows[0][1] if rows else None
+        return int(v) if v and v.isdigit() else None
+
     def merge(self, name: str, rows: DataFrame, keys: Sequence[str], remove: DataFrame | None = None,
               n_buckets: int = DEFAULT_KEY_BUCKETS) -> None:
         """Keyed merge without MERGE (S12, S16): ``rows`` replace the stored
@@ -197,12 +218,11 @@ class Layers:
         if remove is not None:
             touched_keys = touched_keys.unionByName(remove.select(*keys))
         touched_keys = touched_keys.distinct()
-        bucket = key_bucket(keys, n_buckets)
         if not self.exists(name):
             live = rows if remove is None else rows.join(remove.select(*keys), keys, "left_anti")
-            self.full_refresh({name: live.withColumn(KEY_BUCKET, bucket)},
-                              partition_by={name: [KEY_BUCKET]}, allow_empty=True)
+            self._create_keyed(name, live, keys, n_buckets)
             return
+        bucket = key_bucket(keys, self.key_buckets(name) or n_buckets)
         cur = self.read(name, layout=True)
         if KEY_BUCKET not in cur.columns:
             kept = cur.join(touched_keys, keys, "left_anti")
@@ -231,9 +251,34 @@ class Layers:
                 self.spark.sql(f"ALTER TABLE {t} DROP IF EXISTS {spec}")
         self.spark.catalog.refreshTable(t)
 
-    def insert_if_absent(self, name: str, new: DataFrame, keys: Sequence[str]) -> None:
-        """Append the rows whose key the table lacks (S17)."""
-        rows = loads.insert_if_absent(self.read(name), new, keys)
+    def insert_if_absent(self, name: str, new: DataFrame, keys: Sequence[str], order: Sequence | None = None,
+                         n_buckets: int = DEFAULT_KEY_BUCKETS) -> None:
+        """Append the rows whose key the table lacks (S3 first-wins, S17); with
+        ``order``, the first row per key inside ``new`` is the one kept.
+
+        A table created here is keyed like :meth:`merge`: the key check then
+        scans only the key columns of the buckets ``new``'s keys fall into
+        (their ids, at most ``n_buckets``, are a partition filter), and the
+        new rows are appended into those buckets' partitions."""
+        keys = list(keys)
+        if not self.exists(name):
+            self._create_keyed(name, loads.insert_if_absent(new.limit(0), new, keys, order), keys, n_buckets)
+            return
+        bucket = key_bucket(keys, self.key_buckets(name) or n_buckets)
+        cur = self.read(name, layout=True)
+        keyed = KEY_BUCKET in cur.columns
+        if keyed:
+            buckets = sorted(r[0] for r in new.select(bucket).distinct().collect())
+            if not buckets:
+                return
+            target = cur.filter(F.col(KEY_BUCKET).isin(buckets))
+            rows = loads.insert_if_absent(target, new, keys, order).withColumn(KEY_BUCKET, bucket)
+        else:
+            rows = loads.insert_if_absent(cur, new, keys, order)
         # the rows depend on the table they are appended to: cut the lineage
         # with a reliable checkpoint (shared folder) before writing into it
-        self.append(name, rows.checkpoint(eager=True))
+        rows = rows.checkpoint(eager=True).select(*cur.columns)
+        if keyed:
+            # one writer per bucket (a hot bucket may span tasks): few files
+            rows = rows.repartitionByRange(KEY_BUCKET, F.xxhash64(*rows.columns))
+        rows.write.insertInto(self.table(name))

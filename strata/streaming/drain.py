@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 
 from strata.operators import loads
 from strata.sources import landing
-from strata.sources.layers import Layers
+from strata.sources.layers import DEFAULT_KEY_BUCKETS, Layers
 
 
 def first_wins_batch(layers: Layers, table: str, keys: Sequence[str], order: Sequence[str],
-                     reject_table: str | None = None):
+                     reject_table: str | None = None, n_buckets: int = DEFAULT_KEY_BUCKETS):
     """A ``foreachBatch`` function appending first-wins rows to ``table``."""
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # read the micro-batch files once for both splits
@@ -31,24 +31,23 @@ def first_wins_batch(layers: Layers, table: str, keys: Sequence[str], order: Seq
                 layers.append(reject_table, bad)
             else:
                 layers.full_refresh({reject_table: bad}, allow_empty=True)
-        if not layers.exists(table):
-            first = loads.pick_one(good, keys, order, keep="first")
-            layers.full_refresh({table: first}, allow_empty=True)
-        else:
-            ins = loads.append_first_wins(good, layers.read(table), keys, order)
-            layers.append(table, ins.checkpoint(eager=True))
+        # first-wins = insert-if-absent with the smallest position per key;
+        # the key check reads only the key buckets this batch touches
+        layers.insert_if_absent(table, good, keys, order=order, n_buckets=n_buckets)
         batch.unpersist()
     return run
 
 
 def drain(spark: SparkSession, source_path: str, layers: Layers, table: str, checkpoint: str,
           keys: Sequence[str] = ("source", "endpoint"), order: Sequence[str] = ("kafka_offset",),
-          reject_table: str | None = None, available_now: bool = True):
+          reject_table: str | None = None, available_now: bool = True,
+          n_buckets: int = DEFAULT_KEY_BUCKETS):
     """Run one bounded drain (or, with ``available_now=False``, a continuous
-    query with a 5 s trigger) and return the query handle."""
+    query with a 5 s trigger) and return the query handle.  The landing
+    table is keyed by ``n_buckets`` hash buckets of ``keys``."""
     stream = landing.read_envelopes(spark, source_path, streaming=True)
     w = (stream.writeStream
-         .foreachBatch(first_wins_batch(layers, table, list(keys), list(order), reject_table))
+         .foreachBatch(first_wins_batch(layers, table, list(keys), list(order), reject_table, n_buckets))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
     q = w.start()

@@ -207,3 +207,17 @@ def test_continuous_drain(spark):
     finally:
         q.stop()
     assert sorted(r.kafka_offset for r in layers.read("raw").collect()) == [0, 2, 3, 7]
+
+
+def test_keyed_table_keeps_its_bucket_count(spark):
+    layers = Layers(spark, prefix=f"kb_{uuid.uuid4().hex[:6]}_")
+    first = spark.createDataFrame([(k, "a") for k in range(50)], "k int, v string")
+    layers.insert_if_absent("t", first, ["k"], n_buckets=8)
+    assert layers.key_buckets("t") == 8
+    # a later call with another count still hashes keys into the table's 8
+    again = spark.createDataFrame([(k, "b") for k in range(40, 60)], "k int, v string")
+    layers.insert_if_absent("t", again, ["k"], n_buckets=64)
+    got = {r.k: r.v for r in layers.read("t").collect()}
+    assert got == {**{k: "a" for k in range(50)}, **{k: "b" for k in range(50, 60)}}
+    layers.merge("t", spark.createDataFrame([(1, "z")], "k int, v string"), ["k"], n_buckets=3)
+    assert layers.read("t").filter("k = 1").collect()[0].v == "z" and layers.read("t").count() == 60
