@@ -140,7 +140,33 @@ class Layers:
         self.spark.sql(f"ALTER TABLE {t} {spec} SET LOCATION '{path}'")
         self.spark.catalog.refreshTable(t)
 
-    def refresh_day(self, name: str, df: DataFrame, date_col: str, day: str, grain: str = "month") -> None:
+    def partition_columns(self, name: str) -> list[str]:
+        return [c.name for c in self.spark.catalog.listColumns(self.table(name)) if c.isPartition]
+
+    def sync_columns(self, name: str, df: DataFrame) -> None:
+        """Schema sync before a load (D11, ``sync_all_columns``): columns of
+        ``df`` the table lacks are added (metadata only -- files written
+        before read them as NULL); data columns ``df`` no longer has are
+        removed, which a parquet catalog table can only do by one rewrite of
+        the table without them (partitioning and key buckets kept)."""
+        t = self.table(name)
+        cur = self.read(name, layout=True)
+        parts = self.partition_columns(name)
+        added = [f for f in df.schema.fields if f.name not in cur.columns]
+        removed = [c for c in cur.columns if c not in df.columns and c not in parts]
+        if added:
+            ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+            self.spark.sql(f"ALTER TABLE {t} ADD COLUMNS ({ddl})")
+        if removed:
+            if KEY_BUCKET in parts:
+                self._pending_buckets[name] = self.key_buckets(name)
+            # the new version is computed from the current one: cut the
+            # lineage (shared checkpoint folder) before the switch
+            kept = self.read(name, layout=True).drop(*removed).checkpoint(eager=True)
+            self.full_refresh({name: kept}, partition_by={name: parts}, allow_empty=True)
+
+    def refresh_day(self, name: str, df: DataFrame, date_col: str, day: str, grain: str = "month",
+                    sync_columns: bool = True) -> None:
         """Incremental refresh of a date-keyed fact (D9): the first run
         publishes all of ``df``; a later run replaces exactly the rows of
         ``day`` with ``df``'s rows of that day (none if it has none) -- the
@@ -152,7 +178,9 @@ class Layers:
         partition pruning), the day's rows are replaced, and the partition is
         switched to the new folder.  A month grain keeps a daily fact at twelve
         partitions a year instead of 365 small ones, for one month of the fact
-        rewritten per run; ``grain='day'`` gives one partition per day."""
+        rewritten per run; ``grain='day'`` gives one partition per day.
+        With ``sync_columns`` a run whose columns differ from the table's
+        first syncs them (:meth:`sync_columns`), as the reference's facts do."""
         if grain not in ("day", "month", "year"):
             raise ValueError("grain must be 'day', 'month' or 'year'")
         first = dt.date.fromisoformat(day)
@@ -161,6 +189,8 @@ class Layers:
         if not self.exists(name):
             self.full_refresh({name: staged}, partition_by={name: [part]}, allow_empty=True)
             return
+        if sync_columns:
+            self.sync_columns(name, staged)
         if grain == "day":
             self.replace_partition(name, df, date_col, day)
             return

@@ -221,3 +221,24 @@ def test_keyed_table_keeps_its_bucket_count(spark):
     assert got == {**{k: "a" for k in range(50)}, **{k: "b" for k in range(50, 60)}}
     layers.merge("t", spark.createDataFrame([(1, "z")], "k int, v string"), ["k"], n_buckets=3)
     assert layers.read("t").filter("k = 1").collect()[0].v == "z" and layers.read("t").count() == 60
+
+
+def test_refresh_day_syncs_columns(spark):
+    layers = Layers(spark, prefix=f"sc_{uuid.uuid4().hex[:6]}_")
+    old = spark.createDataFrame([(1, 10, "2025-01-01"), (2, 20, "2025-01-02")], "k int, v int, d string") \
+        .withColumn("d", F.to_date("d"))
+    layers.refresh_day("f", old, "d", "2025-01-02")
+    # the model drops v and gains w: w is added (NULL on old rows), v removed
+    new = spark.createDataFrame([(2, "x", "2025-01-02")], "k int, w string, d string").withColumn("d", F.to_date("d"))
+    layers.refresh_day("f", new, "d", "2025-01-02")
+    t = layers.read("f").drop("d_month")
+    assert sorted(t.columns) == ["d", "k", "w"]
+    assert sorted((r.k, r.w, str(r.d)) for r in t.collect()) == [(1, None, "2025-01-01"), (2, "x", "2025-01-02")]
+
+
+def test_sync_schema_operator(spark):
+    from strata.operators.schema import sync_schema
+    a = spark.createDataFrame([(1, "a")], "k int, v string")
+    b = spark.createDataFrame([(2, 5)], "k int, n int")
+    assert sorted(map(tuple, sync_schema(a, b).collect()), key=lambda r: r[0]) == [(1, "a", None), (2, None, 5)]
+    assert sorted(map(tuple, sync_schema(a, b, drop_removed=True).collect())) == [(1, None), (2, 5)]
