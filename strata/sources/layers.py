@@ -210,9 +210,12 @@ class Layers:
         """Newest wins on ``keys`` (S16).  Duplicate keys inside ``new`` are
         an error, as they are for the reference's single INSERT (T17).  A
         new table is created keyed (see :meth:`merge`)."""
+        # materialised once (shared checkpoint folder): the check and the
+        # merge read it several times
+        new = new.checkpoint(eager=True)
         if not loads.duplicate_keys(new, keys).isEmpty():
             raise ValueError(f"duplicate keys in upsert input for {name}")
-        self.merge(name, new, keys, n_buckets=n_buckets)
+        self.merge(name, new, keys, n_buckets=n_buckets, materialized=True)
 
     def _create_keyed(self, name: str, rows: DataFrame, keys: Sequence[str], n_buckets: int) -> None:
         self._pending_buckets[name] = int(n_buckets)
@@ -227,7 +230,7 @@ class Layers:
         return int(v) if v and v.isdigit() else None
 
     def merge(self, name: str, rows: DataFrame, keys: Sequence[str], remove: DataFrame | None = None,
-              n_buckets: int = DEFAULT_KEY_BUCKETS) -> None:
+              n_buckets: int = DEFAULT_KEY_BUCKETS, materialized: bool = False) -> None:
         """Keyed merge without MERGE (S12, S16): ``rows`` replace the stored
         rows of their keys, keys in ``remove`` are deleted, every other key
         stays.  ``rows`` must be unique on ``keys``.
@@ -242,8 +245,13 @@ class Layers:
         table.  Each key lives in one bucket, so a failure between partition
         switches leaves every key at its old or its new version, and running
         the merge again completes it.  A table without the bucket column is
-        rewritten whole."""
+        rewritten whole.  ``materialized`` says the inputs are already
+        checkpointed (otherwise they are, once, here)."""
         keys = list(keys)
+        if not materialized:
+            # read several times below (bucket ids, new rows): compute once
+            rows = rows.checkpoint(eager=True)
+            remove = remove.select(*keys).checkpoint(eager=True) if remove is not None else None
         touched_keys = rows.select(*keys)
         if remove is not None:
             touched_keys = touched_keys.unionByName(remove.select(*keys))

@@ -19,6 +19,10 @@ from strata.sources import landing
 from strata.sources.layers import DEFAULT_KEY_BUCKETS, Layers
 
 
+# Files per micro-batch of a drain: bounds a batch however large the backlog.
+MAX_FILES_PER_BATCH = 1000
+
+
 def first_wins_batch(layers: Layers, table: str, keys: Sequence[str], order: Sequence[str],
                      reject_table: str | None = None, n_buckets: int = DEFAULT_KEY_BUCKETS):
     """A ``foreachBatch`` function appending first-wins rows to ``table``."""
@@ -41,11 +45,14 @@ def first_wins_batch(layers: Layers, table: str, keys: Sequence[str], order: Seq
 def drain(spark: SparkSession, source_path: str, layers: Layers, table: str, checkpoint: str,
           keys: Sequence[str] = ("source", "endpoint"), order: Sequence[str] = ("kafka_offset",),
           reject_table: str | None = None, available_now: bool = True,
-          n_buckets: int = DEFAULT_KEY_BUCKETS):
+          n_buckets: int = DEFAULT_KEY_BUCKETS, max_files_per_trigger: int = MAX_FILES_PER_BATCH):
     """Run one bounded drain (or, with ``available_now=False``, a continuous
     query with a 5 s trigger) and return the query handle.  The landing
-    table is keyed by ``n_buckets`` hash buckets of ``keys``."""
-    stream = landing.read_envelopes(spark, source_path, streaming=True)
+    table is keyed by ``n_buckets`` hash buckets of ``keys``.  A backlog is
+    split into micro-batches of at most ``max_files_per_trigger`` files
+    (``availableNow`` honours the limit), so no batch grows with it."""
+    stream = landing.read_envelopes(spark, source_path, streaming=True,
+                                    max_files_per_trigger=max_files_per_trigger)
     w = (stream.writeStream
          .foreachBatch(first_wins_batch(layers, table, list(keys), list(order), reject_table, n_buckets))
          .option("checkpointLocation", checkpoint))
@@ -72,7 +79,7 @@ def apply_change_stream(spark: SparkSession, stream: DataFrame, layers: Layers,
         last = loads.pick_one(ev, keys, ["_pos"], keep="last").checkpoint(eager=True)
         live = last.filter(F.col("op") != "d").select("after.*")
         gone = last.filter(F.col("op") == "d").select(*keys)
-        layers.merge(table, live, keys, remove=gone)
+        layers.merge(table, live, keys, remove=gone, materialized=True)  # ``last`` is checkpointed
 
     w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")

@@ -242,3 +242,20 @@ def test_sync_schema_operator(spark):
     b = spark.createDataFrame([(2, 5)], "k int, n int")
     assert sorted(map(tuple, sync_schema(a, b).collect()), key=lambda r: r[0]) == [(1, "a", None), (2, None, 5)]
     assert sorted(map(tuple, sync_schema(a, b, drop_removed=True).collect())) == [(1, None), (2, 5)]
+
+
+def test_drain_splits_backlog_and_keeps_first_across_batches(spark):
+    base = scratch_path(spark, "t-split")
+    layers = Layers(spark, f"{base}/tables", prefix=f"sp_{uuid.uuid4().hex[:6]}_")
+    lines = _a1_lines()
+    # three files: offsets 0-1, 2, 3 -- the duplicate key (A, u1) arrives in the first file
+    _write_lines(spark, f"{base}/in", lines[:2])
+    _write_lines(spark, f"{base}/in", lines[2:3])
+    _write_lines(spark, f"{base}/in", lines[3:])
+    # a later file repeats (A, u1) with a new offset: first-wins across batches skips it
+    late = json.dumps({"source": "A", "endpoint": "u1", "payload": "9", "kafka_topic": "t", "kafka_partition": 0,
+                       "kafka_offset": 9, "loaded_at": "2025-01-02T00:00:00"})
+    _write_lines(spark, f"{base}/in", [late])
+    q = drain(spark, f"{base}/in", layers, "raw", f"{base}/ckpt", max_files_per_trigger=1)
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 4
+    assert sorted(r.kafka_offset for r in layers.read("raw").collect()) == [0, 2, 3]
