@@ -65,14 +65,14 @@ DAILY_DDL = ("daily struct<time: array<string>, temperature_2m_max: array<string
 def q_array_zip(spark, sf):
     t = Tables(spark, sf)
     p = M.parallel_array_payloads(t.lineitem, t.orders)
-    d = p.select("doc_id", F.from_json("payload", DAILY_DDL).alias("j"))
+    d = p.select("doc_id", "page", F.from_json("payload", DAILY_DDL).alias("j"))
     z = decode.zip_arrays(
         d,
         inner={"t": F.col("j.daily.time"), "mx": F.col("j.daily.temperature_2m_max"),
                "mn": F.col("j.daily.temperature_2m_min")},
         left={"p": F.col("j.daily.precipitation_sum"), "w": F.col("j.daily.wind_speed_10m_max")},
-        keep=["doc_id"])
-    out = z.select("doc_id", "pos", F.to_date("t").alias("weather_date"),
+        keep=["doc_id", "page"])
+    out = z.select("doc_id", "page", "pos", F.to_date("t").alias("weather_date"),
                    typed("mx", "decimal(8,2)").alias("temperature_max_c"),
                    typed("mn", "decimal(8,2)").alias("temperature_min_c"),
                    typed("p", "decimal(8,2)").alias("precipitation_mm"),
@@ -194,19 +194,20 @@ FROM orders GROUP BY 1, 2
 UNION ALL
 SELECT DISTINCT CAST(o_orderdate AS DATE), 'RUB', 1, CAST(1 AS DECIMAL(18,6)), 'Russian Ruble' FROM orders""",
     "array_zip": f"""
-WITH l AS (
-  SELECT l.*, o.o_orderstatus,
-         ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate,
+WITH pg AS (SELECT *, {M.PAGE_SQL} AS page FROM lineitem),
+l AS (
+  SELECT pg.*, o.o_orderstatus,
+         ROW_NUMBER() OVER (PARTITION BY l_orderkey, page ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate,
                             l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag) AS pos,
-         COUNT(*) OVER (PARTITION BY l_orderkey) AS n
-  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey),
+         COUNT(*) OVER (PARTITION BY l_orderkey, page) AS np
+  FROM pg JOIN orders o ON o.o_orderkey = pg.l_orderkey),
 z AS (
-  SELECT l_orderkey AS doc_id, CAST(pos AS INTEGER) AS pos, CAST(l_shipdate AS DATE) AS weather_date,
+  SELECT l_orderkey AS doc_id, page, CAST(pos AS INTEGER) AS pos, CAST(l_shipdate AS DATE) AS weather_date,
          CASE WHEN l_returnflag = 'R' THEN NULL ELSE CAST(l_quantity AS DECIMAL(8,2)) END AS temperature_max_c,
          CAST(l_extendedprice AS DECIMAL(8,2)) AS temperature_min_c,
          CAST(l_discount AS DECIMAL(8,2)) AS precipitation_mm,
-         CASE WHEN pos <= n - 1 THEN CAST(l_tax AS DECIMAL(8,2)) END AS wind_speed_max_ms
-  FROM l WHERE pos <= CASE WHEN o_orderstatus = 'F' THEN n - 1 ELSE n END)
+         CASE WHEN pos <= np - 1 THEN CAST(l_tax AS DECIMAL(8,2)) END AS wind_speed_max_ms
+  FROM l WHERE pos <= CASE WHEN o_orderstatus = 'F' THEN np - 1 ELSE np END)
 SELECT *, {_REGIME.format(c='temperature_max_c')} AS weather_regime,
        COALESCE(precipitation_mm, 0) > 0 AS is_precipitation_day
 FROM z""",
