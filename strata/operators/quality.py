@@ -50,3 +50,19 @@ def report(checks: Mapping[str, DataFrame], counted: Sequence[DataFrame] = ()) -
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.withColumn("status", F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")))
+
+
+class DataTestFailure(AssertionError):
+    """Raised when a data test of a report failed (the build step fails, as
+    a failing test fails the reference's test run)."""
+
+
+def raise_on_failure(report_df: DataFrame) -> DataFrame:
+    """Fail when any test of a :func:`report` failed; otherwise return the
+    report.  Only the failing tests' names and counts reach the driver (one
+    row per test, bounded by the number of tests)."""
+    failed = report_df.filter(F.col("status") == F.lit("fail"))
+    if not failed.isEmpty():
+        names = [f"{r.test_name}={r.failures}" for r in failed.select("test_name", "failures").collect()]
+        raise DataTestFailure("data tests failed: " + ", ".join(sorted(names)))
+    return report_df

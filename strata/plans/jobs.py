@@ -240,11 +240,14 @@ def data_tests(layers: Layers) -> DataFrame:
     return quality.report(checks, counted=counted)
 
 
-def run_all(layers: Layers, raw: DataFrame, as_of: str, load_dts: str) -> DataFrame:
+def run_all(layers: Layers, raw: DataFrame, as_of: str, load_dts: str, fail_on_test: bool = True) -> DataFrame:
+    """All layers in order, then the data tests; a failing test fails the run
+    (``fail_on_test``) after the report is computed."""
     run_staging(layers, raw)
     build_vault(layers, as_of, load_dts)
     publish_marts(layers, as_of)
     if layers.exists("stg_moscow_weather_daily"):
         build_weather_dimension(layers)
     refresh_facts(layers, as_of)
-    return data_tests(layers)
+    report = data_tests(layers)
+    return quality.raise_on_failure(report) if fail_on_test else report

@@ -32,3 +32,16 @@ def test_cluster_conf_sizes():
     c = cluster_conf(10 * 1024 ** 3, 64)
     assert int(c["spark.sql.shuffle.partitions"]) == 128
     assert c["spark.sql.session.timeZone"] == "UTC"
+
+
+def test_report_raises_on_failed_test(spark):
+    from strata.operators import quality
+    df = spark.createDataFrame([(1, -5.0), (2, 3.0)], "k int, v double")
+    ok = quality.report({"non_negative_k": quality.non_negative(df, "k")})
+    assert quality.raise_on_failure(ok) is ok
+    bad = quality.report({"non_negative_v": quality.non_negative(df, "v"), "unique_k": quality.unique(df, ["k"])})
+    try:
+        quality.raise_on_failure(bad)
+        raise AssertionError("failed test not raised")
+    except quality.DataTestFailure as e:
+        assert "non_negative_v=1" in str(e) and "unique_k" not in str(e)
