@@ -1,16 +1,17 @@
 """Calendar gaps: which days / months / years have no landed data, per
 entity, between a floor and a ceiling (swapped when inverted).
 
-The spine is built per entity by ``explode(sequence(lo, hi))`` with the
-bounds as a scalar subquery (one aggregate, inlined as a value), then the
-present keys are removed with a left-anti join.  Nothing is collected: gap sets stay
+Daily gaps are found as runs between consecutive present days (gaps and
+islands); month coverage uses a per-entity month spine (twelve rows a year)
+minus the present months.  Bounds are a scalar subquery (one aggregate,
+inlined as a value).  Nothing is collected: gap sets stay
 DataFrames and are joined by their consumers."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -36,11 +37,25 @@ def _spine(d: DataFrame, keys: Sequence[str], bounds: Column, step: str, name: s
 def missing_dates(df: DataFrame, keys: Sequence[str], date_col: str, floor=None, ceiling=None,
                   name: str = "gap_date") -> DataFrame:
     """Days in [floor, ceiling] without a row, per entity (S8).  Bounds
-    default to the data's own min/max date."""
+    default to the data's own min/max date.
+
+    Gaps and islands instead of a full calendar spine: per entity, its
+    distinct present days inside the bounds plus two sentinel days just
+    outside them, ordered; every run of days strictly between one day and
+    the next (``lead``) is a gap.  The work grows with the present days and
+    the gaps, not with entities x calendar days, and a window partition
+    holds at most one row per day of one entity, however hot it is."""
     keys = list(keys)
     d = df.select(*keys, F.to_date(date_col).alias(name)).dropna(subset=[name])
-    spine = _spine(d, keys, _bounds(d, name, floor, ceiling), "day", name)
-    return spine.join(d.distinct(), on=[*keys, name], how="left_anti")
+    b = _bounds(d, name, floor, ceiling)
+    present = d.filter((F.col(name) >= b["lo"]) & (F.col(name) <= b["hi"])).distinct()
+    ents = d.select(*keys).distinct() if keys else d.sparkSession.range(1).select()
+    edges = ents.select(*keys, F.explode(F.array(F.date_sub(b["lo"], 1), F.date_add(b["hi"], 1))).alias(name))
+    w = Window.partitionBy(*keys).orderBy(name) if keys else Window.orderBy(name)
+    runs = (present.unionByName(edges)
+            .select(*keys, F.col(name).alias("_d"), F.lead(name).over(w).alias("_n"))
+            .filter(F.col("_n") > F.date_add("_d", 1)))
+    return runs.select(*keys, F.explode(F.sequence(F.date_add("_d", 1), F.date_sub("_n", 1))).alias(name))
 
 
 def month_coverage(df: DataFrame, keys: Sequence[str], date_col: str, floor=None, ceiling=None,

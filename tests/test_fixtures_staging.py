@@ -190,3 +190,27 @@ def test_gap_days_swapped_bounds(spark):
     df = spark.createDataFrame([("x", "2025-01-02"), ("x", "2025-01-04")], "k string, d string")
     g = gaps.missing_dates(df, ["k"], "d", floor="2025-01-05", ceiling="2025-01-01")
     assert sorted(r.gap_date.day for r in g.collect()) == [1, 3, 5]
+
+
+def test_missing_dates_matches_spine(spark):
+    rows = [("a", "2025-01-02"), ("a", "2025-01-02"), ("a", "2025-01-05"), ("b", "2024-12-20"),
+            ("c", "2025-01-01"), ("c", "2025-01-07"), ("c", "2025-01-03")]
+    df = spark.createDataFrame(rows, "k string, d string").withColumn("d", F.to_date("d"))
+    lo, hi = dt.date(2025, 1, 1), dt.date(2025, 1, 6)
+
+    def brute(keys):
+        seen = {(k, dt.date.fromisoformat(d)) for k, d in rows}
+        days = [lo + dt.timedelta(i) for i in range((hi - lo).days + 1)]
+        if not keys:
+            present = {d for _, d in seen}
+            return sorted((d,) for d in days if d not in present)
+        return sorted((k, d) for k in {k for k, _ in rows} for d in days if (k, d) not in seen)
+
+    for floor, ceiling in (("2025-01-01", "2025-01-06"), ("2025-01-06", "2025-01-01")):
+        got = gaps.missing_dates(df, ["k"], "d", floor=floor, ceiling=ceiling)
+        assert sorted(map(tuple, got.collect())) == brute(["k"])
+        got = gaps.missing_dates(df, [], "d", floor=floor, ceiling=ceiling)
+        assert sorted(map(tuple, got.collect())) == brute([])
+    # default bounds: the data's own first and last day
+    got = gaps.missing_dates(df.filter("k = 'c'"), ["k"], "d")
+    assert sorted(str(r.gap_date) for r in got.collect()) == ["2025-01-02", "2025-01-04", "2025-01-05", "2025-01-06"]
