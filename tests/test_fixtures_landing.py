@@ -221,6 +221,11 @@ def test_keyed_table_keeps_its_bucket_count(spark):
     assert got == {**{k: "a" for k in range(50)}, **{k: "b" for k in range(50, 60)}}
     layers.merge("t", spark.createDataFrame([(1, "z")], "k int, v string"), ["k"], n_buckets=3)
     assert layers.read("t").filter("k = 1").collect()[0].v == "z" and layers.read("t").count() == 60
+    # an insert after a merge lands in the switched bucket folders and still
+    # sees the merged keys
+    layers.insert_if_absent("t", spark.createDataFrame([(1, "no"), (2, "no"), (70, "c")], "k int, v string"), ["k"])
+    got = {r.k: r.v for r in layers.read("t").collect()}
+    assert (got[1], got[2], got[70], len(got)) == ("z", "a", "c", 61)
 
 
 def test_refresh_day_syncs_columns(spark):
