@@ -221,14 +221,40 @@ def weather_snapshot(layers: Layers) -> DataFrame:
     return history.interval_join(snap, dim, ["city_code"], "trade_date").drop("city_code")
 
 
+# The reference's not-null tests, per fact and column.
+NOT_NULL_TESTS = {
+    "fct_moex_liquidity": ["trade_date", "secid", "value_total", "num_trades"],
+    "fct_moex_movers": ["trade_date", "secid", "pct_change"],
+    "fct_cbr_fx_rates": ["rate_date", "char_code"],
+    "fct_moscow_weather_daily": ["weather_date", "weather_regime"],
+    "fct_moex_weather_snapshot": ["trade_date", "secid"],
+}
+
+
+def fact_views(layers: Layers) -> dict[str, DataFrame]:
+    """The facts the data tests read (D8): the two incremental tables and the
+    three projection views; the weather ones only when that feed landed."""
+    views = {"fct_moex_liquidity": layers.read("fct_moex_liquidity"),
+             "fct_moex_movers": layers.read("fct_moex_movers"),
+             "fct_cbr_fx_rates": layers.read("stg_cbr_fx_rates").select(
+                 "rate_date", "char_code", "nominal", "rate", "currency_name")}
+    if layers.exists("stg_moscow_weather_daily"):
+        views["fct_moscow_weather_daily"] = layers.read("stg_moscow_weather_daily")
+    if layers.exists("dim_weather_regime_scd2"):
+        views["fct_moex_weather_snapshot"] = weather_snapshot(layers).select(
+            "trade_date", "secid", "shortname", "boardid", "last_price_rub", "pct_change", "value_total",
+            "weather_regime", "is_precipitation_day")
+    return views
+
+
 def data_tests(layers: Layers) -> DataFrame:
-    liq, mov = layers.read("fct_moex_liquidity"), layers.read("fct_moex_movers")
-    counted = [quality.not_null_counts(liq, ["trade_date", "secid", "value_total", "num_trades"], "liq")
-               .select(F.concat(F.lit("not_null_fct_moex_liquidity_"), "column_name").alias("test_name"),
-                       F.col("n_null").alias("failures")),
-               quality.not_null_counts(mov, ["trade_date", "secid", "pct_change"], "mov")
-               .select(F.concat(F.lit("not_null_fct_moex_movers_"), "column_name").alias("test_name"),
-                       F.col("n_null").alias("failures"))]
+    views = fact_views(layers)
+    liq, mov = views["fct_moex_liquidity"], views["fct_moex_movers"]
+    # all not-null tests of one fact in one aggregation pass
+    counted = [quality.not_null_counts(df, NOT_NULL_TESTS[name], name)
+               .select(F.concat(F.lit(f"not_null_{name}_"), "column_name").alias("test_name"),
+                       F.col("n_null").alias("failures"))
+               for name, df in views.items()]
     checks = {
         "unique_fct_moex_liquidity_trade_date_secid": quality.unique(liq, ["trade_date", "secid"]),
         "unique_fct_moex_movers_trade_date_secid": quality.unique(mov, ["trade_date", "secid"]),

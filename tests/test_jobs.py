@@ -30,6 +30,10 @@ def test_end_to_end(spark):
     res = {r.test_name: (r.failures, r.status) for r in report.collect()}
     assert res["unique_fct_moex_liquidity_trade_date_secid"] == (0, "pass")
     assert res["sat_security_profile_fk"] == (0, "pass")
+    # the reference's 13 not-null tests over its five facts, all passing
+    nn = {k: v for k, v in res.items() if k.startswith("not_null_")}
+    assert len(nn) == 13 and set(nn.values()) == {(0, "pass")}
+    assert "not_null_fct_moex_weather_snapshot_secid" in nn and "not_null_fct_cbr_fx_rates_char_code" in nn
     snap = {r.secid: r for r in layers.read("dm_security_snapshot").collect()}
     assert set(snap) == {"AAA", "BBB", "CCC"}
     assert (snap["AAA"].last_price_usd, snap["AAA"].last_price_eur) == (D("2.731000"), D("2.482727"))
