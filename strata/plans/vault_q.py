@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from strata.functions import band, hash_key
 from strata.operators import history, vault
-from strata.operators.keyed import pick_one
 from strata.sources.tables import Tables
 
 AS_OF = "2001-12-31"
