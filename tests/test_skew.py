@@ -80,3 +80,23 @@ def test_hot_order_is_paged_and_decodes_whole(spark):
     cols = ["l_orderkey", "l_linenumber", "l_quantity"]
     want = hot.select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("decimal(18,2)").alias("l_quantity"))
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_interval_join_without_keys_matches_range_join(spark):
+    import datetime as dt
+    days = [dt.date(2024, 12, 30) + dt.timedelta(i) for i in range(70)]
+    fact = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "id int, at date")
+    dim = spark.createDataFrame(
+        [("a", dt.date(2024, 1, 1), dt.date(2025, 1, 2)),   # starts before the facts
+         ("b", dt.date(2025, 1, 3), dt.date(2025, 2, 10)),
+         ("c", dt.date(2025, 2, 20), None)],                 # open, current
+        "regime string, valid_from date, valid_to date")
+    for bucket in ("day", "month", "year"):
+        got = history.interval_join(fact, dim, [], "at", bucket=bucket)
+        want = {}
+        for i, d in enumerate(days):
+            hit = [r for r, lo, hi in [("a", dt.date(2024, 1, 1), dt.date(2025, 1, 2)),
+                                       ("b", dt.date(2025, 1, 3), dt.date(2025, 2, 10)),
+                                       ("c", dt.date(2025, 2, 20), dt.date(2999, 12, 31))] if lo <= d <= hi]
+            want[i] = hit[0] if hit else None
+        assert {r.id: r.regime for r in got.collect()} == want, bucket
