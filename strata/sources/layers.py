@@ -6,6 +6,8 @@ switches the catalog afterwards:
 
 * whole table  -> ``ALTER TABLE t SET LOCATION '<new folder>'``
 * one partition -> ``ALTER TABLE t PARTITION (c = v) SET LOCATION '<new folder>'``
+* keyed merge   -> one new folder for the touched key buckets, then each
+  touched bucket's partition switched to its subfolder (:meth:`Layers.merge`)
 
 Readers see the old version until the switch, a failed write leaves the
 table untouched, and an empty input for a partition empties exactly that
