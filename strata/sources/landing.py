@@ -45,9 +45,17 @@ def write_envelopes(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def from_kafka(kafka_df: DataFrame) -> DataFrame:
-    """Kafka records whose value is the JSON envelope ``{source, endpoint, payload}``."""
-    env = F.from_json(F.col("value").cast("string"), "source string, endpoint string, payload string")
-    return kafka_df.select(env["source"].alias("source"), env["endpoint"].alias("endpoint"),
-                           env["payload"].alias("payload"), F.col("topic").alias("kafka_topic"),
-                           F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"),
-                           F.col("timestamp").alias("loaded_at"))
+    """Kafka records whose value is the JSON envelope ``{source, endpoint,
+    payload}``, in the columns of :func:`read_envelopes`: the topic, partition
+    and offset become the landing position, a value that does not parse (or
+    names no source) is kept in ``_corrupt_record`` (a reject row, T19), and
+    ``file_name`` names the topic partition."""
+    text = F.col("value").cast("string")
+    env = F.from_json(text, "source string, endpoint string, payload string")
+    return kafka_df.select(
+        env["source"].alias("source"), env["endpoint"].alias("endpoint"), env["payload"].alias("payload"),
+        F.col("topic").alias("kafka_topic"), F.col("partition").alias("kafka_partition"),
+        F.col("offset").alias("kafka_offset"), F.col("timestamp").alias("loaded_at"),
+        # a malformed value parses to a struct of NULLs: keep its text
+        F.when(env["source"].isNull(), text).alias("_corrupt_record"),
+        F.concat_ws("-", F.col("topic"), F.col("partition").cast("string")).alias("file_name"))

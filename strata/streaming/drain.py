@@ -42,7 +42,7 @@ def first_wins_batch(layers: Layers, table: str, keys: Sequence[str], order: Seq
     return run
 
 
-def drain(spark: SparkSession, source_path: str, layers: Layers, table: str, checkpoint: str,
+def drain(spark: SparkSession, source: str | DataFrame, layers: Layers, table: str, checkpoint: str,
           keys: Sequence[str] = ("source", "endpoint"), order: Sequence[str] = ("kafka_offset",),
           reject_table: str | None = None, available_now: bool = True,
           n_buckets: int = DEFAULT_KEY_BUCKETS, max_files_per_trigger: int = MAX_FILES_PER_BATCH):
@@ -50,9 +50,17 @@ def drain(spark: SparkSession, source_path: str, layers: Layers, table: str, che
     query with a 5 s trigger) and return the query handle.  The landing
     table is keyed by ``n_buckets`` hash buckets of ``keys``.  A backlog is
     split into micro-batches of at most ``max_files_per_trigger`` files
-    (``availableNow`` honours the limit), so no batch grows with it."""
-    stream = landing.read_envelopes(spark, source_path, streaming=True,
-                                    max_files_per_trigger=max_files_per_trigger)
+    (``availableNow`` honours the limit), so no batch grows with it.
+
+    ``source`` is a folder of landed envelope files, or a streaming
+    DataFrame with the envelope columns -- e.g. a Kafka topic read with
+    ``spark.readStream.format("kafka")`` (bound it with ``maxOffsetsPerTrigger``)
+    and mapped by :func:`strata.sources.landing.from_kafka`."""
+    if isinstance(source, DataFrame):
+        stream = source
+    else:
+        stream = landing.read_envelopes(spark, source, streaming=True,
+                                        max_files_per_trigger=max_files_per_trigger)
     w = (stream.writeStream
          .foreachBatch(first_wins_batch(layers, table, list(keys), list(order), reject_table, n_buckets))
          .option("checkpointLocation", checkpoint))

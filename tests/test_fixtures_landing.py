@@ -264,3 +264,22 @@ def test_drain_splits_backlog_and_keeps_first_across_batches(spark):
     q = drain(spark, f"{base}/in", layers, "raw", f"{base}/ckpt", max_files_per_trigger=1)
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 4
     assert sorted(r.kafka_offset for r in layers.read("raw").collect()) == [0, 2, 3]
+
+
+def test_drain_from_a_kafka_shaped_stream(spark):
+    # Kafka records (key, value, topic, partition, offset, timestamp) as a
+    # file stream: the connector jar is not in this image, the columns are
+    from strata.sources.landing import from_kafka
+    base = scratch_path(spark, "t-kafka")
+    layers = Layers(spark, f"{base}/tables", prefix=f"kf_{uuid.uuid4().hex[:6]}_")
+    recs = [json.dumps({"key": None, "value": json.dumps({"source": s, "endpoint": e, "payload": p}),
+                        "topic": "raw", "partition": 0, "offset": o, "timestamp": "2025-01-01T00:00:00"})
+            for o, s, e, p in A1]
+    recs.append(json.dumps({"key": None, "value": "{broken", "topic": "raw", "partition": 0, "offset": 4,
+                            "timestamp": "2025-01-01T00:00:00"}))
+    _write_lines(spark, f"{base}/in", recs)
+    kafka_like = spark.readStream.schema(
+        "key binary, value string, topic string, partition int, offset bigint, timestamp timestamp").json(f"{base}/in")
+    drain(spark, from_kafka(kafka_like), layers, "raw", f"{base}/ckpt", reject_table="rejects")
+    assert sorted(r.kafka_offset for r in layers.read("raw").collect()) == [0, 2, 3]
+    assert [r._corrupt_record for r in layers.read("rejects").collect()] == ["{broken"]
