@@ -36,11 +36,19 @@ def band(c, edges: Sequence, labels: Sequence[str]) -> Column:
 
 def typed(c, dtype: str, safe: bool = False) -> Column:
     """``NULLIF(text, '')::type``.  With ANSI on a bad value fails the job, as
-    in the reference; ``safe=True`` turns it into NULL instead."""
+    in the reference; ``safe=True`` turns it into NULL instead (find those
+    rows with :func:`cast_failed`)."""
     t = F.nullif(_col(c).cast("string"), F.lit(""))
     return t.try_cast(dtype) if safe else t.cast(dtype)
 
 
+def cast_failed(c, dtype: str) -> Column:
+    """True when the text is neither NULL nor blank and does not cast to
+    ``dtype`` -- the rows ``typed(.., safe=True)`` would silently null."""
+    t = F.nullif(_col(c).cast("string"), F.lit(""))
+    return t.isNotNull() & t.try_cast(dtype).isNull()
+
+
 # Parameter names whose values are masked in logged URLs.
 SENSITIVE_EXACT = ("api_key", "token", "password", "secret", "authorization")
 SENSITIVE_SUFFIXES = ("_key", "_token", "_secret", "_password")

@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions import typed
+from strata.functions import cast_failed, typed
 
 MATRIX_DDL = "columns array<string>, data array<array<string>>"
 
@@ -129,3 +129,19 @@ def jsonstat_flatten(df: DataFrame, payload: str, keep: Sequence[str] = ()) -> D
                                                   CAST(1 AS BIGINT), (a, x) -> a * x))
                 % element_at(size, i + 1)) AS v)))""")
     return j.select(*keep, F.col("_k").cast("bigint").alias("flat_index"), dims.alias("dims"), "value")
+
+
+def split_typed(df: DataFrame, types: Mapping[str, str], keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Typed cast with a reject table (J4 option): ``(typed, rejects)``.
+    ``typed`` has every column of ``types`` cast blank -> NULL, and holds
+    only rows whose every value casts; ``rejects`` holds the other rows with
+    their text and the names of the failing columns.  One map-only pass each,
+    no job failure on bad text."""
+    failed = F.filter(F.array(*[F.when(cast_failed(c, t), F.lit(c)) for c, t in types.items()]),
+                      lambda x: x.isNotNull())
+    marked = df.withColumn("_failed", failed)
+    good = marked.filter(F.size("_failed") == 0).select(
+        *keep, *[typed(c, t, safe=True).alias(c) for c, t in types.items()])
+    bad = marked.filter(F.size("_failed") > 0).select(
+        *keep, *[F.col(c).cast("string").alias(c) for c in types], F.col("_failed").alias("failed_columns"))
+    return good, bad

@@ -45,3 +45,12 @@ def test_report_raises_on_failed_test(spark):
         raise AssertionError("failed test not raised")
     except quality.DataTestFailure as e:
         assert "non_negative_v=1" in str(e) and "unique_k" not in str(e)
+
+
+def test_split_typed_routes_bad_text_to_rejects(spark):
+    from strata.operators.decode import split_typed
+    df = spark.createDataFrame([("a", "1", "2.50"), ("b", "", "x"), ("c", "q", ""), ("d", None, "3")],
+                               "id string, n string, p string")
+    good, bad = split_typed(df, {"n": "int", "p": "decimal(8,2)"}, keep=["id"])
+    assert sorted((r.id, r.n, str(r.p)) for r in good.collect()) == [("a", 1, "2.50"), ("d", None, "3.00")]
+    assert sorted((r.id, r.failed_columns) for r in bad.collect()) == [("b", ["p"]), ("c", ["n"])]
