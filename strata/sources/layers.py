@@ -20,6 +20,7 @@ import datetime as dt
 import re
 import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,13 +94,15 @@ class Layers:
             self.spark.sql(f"ALTER TABLE {t} RECOVER PARTITIONS")
 
     def full_refresh(self, tables: Mapping[str, DataFrame], partition_by: Mapping[str, Sequence[str]] | None = None,
-                     allow_empty: bool = False) -> None:
+                     allow_empty: bool = False, max_parallel: int = 8) -> None:
         """Publish several tables together (S15): all new versions are
-        written first, then the catalog entries are switched.  An empty
-        input is refused unless ``allow_empty``."""
+        written first -- independent tables as concurrent jobs, up to
+        ``max_parallel`` at once -- then the catalog entries are switched.
+        If any write fails or an input is empty (refused unless
+        ``allow_empty``), nothing is switched."""
         partition_by = partition_by or {}
-        staged = {}
-        for name, df in tables.items():
+
+        def stage(name: str, df: DataFrame):
             path = self._new_path(name)
             w = df.write.mode("errorifexists")
             parts = list(partition_by.get(name, ()))
@@ -113,7 +116,14 @@ class Layers:
             # the input plan runs once; nothing is switched if it is refused
             if not allow_empty and self.spark.read.schema(df.schema).parquet(path).isEmpty():
                 raise EmptyInput(f"refusing to publish empty table {name}")
-            staged[name] = (path, df, parts)
+            return path, df, parts
+
+        if len(tables) > 1 and max_parallel > 1:
+            with ThreadPoolExecutor(max_workers=min(len(tables), max_parallel)) as pool:
+                futures = {name: pool.submit(stage, name, df) for name, df in tables.items()}
+                staged = {name: f.result() for name, f in futures.items()}
+        else:
+            staged = {name: stage(name, df) for name, df in tables.items()}
         for name, (path, df, parts) in staged.items():
             t = self.table(name)
             if not self.exists(name):

@@ -283,3 +283,19 @@ def test_drain_from_a_kafka_shaped_stream(spark):
     drain(spark, from_kafka(kafka_like), layers, "raw", f"{base}/ckpt", reject_table="rejects")
     assert sorted(r.kafka_offset for r in layers.read("raw").collect()) == [0, 2, 3]
     assert [r._corrupt_record for r in layers.read("rejects").collect()] == ["{broken"]
+
+
+def test_full_refresh_of_several_tables_is_all_or_nothing(spark):
+    layers = Layers(spark, prefix=f"an_{uuid.uuid4().hex[:6]}_")
+    a = spark.createDataFrame([(1, "a")], "k int, v string")
+    layers.full_refresh({"x": a, "y": a})
+    new = spark.createDataFrame([(2, "b")], "k int, v string")
+    try:
+        layers.full_refresh({"x": new, "y": new.limit(0)})   # written concurrently
+        raise AssertionError("empty input accepted")
+    except EmptyInput:
+        pass
+    assert [tuple(r) for r in layers.read("x").collect()] == [(1, "a")]
+    assert [tuple(r) for r in layers.read("y").collect()] == [(1, "a")]
+    layers.full_refresh({"x": new, "y": new})
+    assert [tuple(r) for r in layers.read("x").collect()] == [(2, "b")] == [tuple(r) for r in layers.read("y").collect()]
