@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from .bpe_codec import op6_bpe_codec
+from .langid import op10_language_id
 from .token_counts import op3_token_counts
+from .toxicity import op4_toxicity
 
 QUERIES = {
     "op3_token_counts": op3_token_counts,
+    "op4_toxicity": op4_toxicity,
     "op6_bpe_codec": op6_bpe_codec,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
