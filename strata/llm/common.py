@@ -64,6 +64,41 @@ def arrow_rows(df: DataFrame, fn: Callable[[list], list], schema: str,
     return df.mapInArrow(run, schema)
 
 
+def whole_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Rows sorted by their first ``keys`` columns (64-bit integers), cut where
+    the key changes: each table holds whole runs of equal keys."""
+    rest: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k = [b.column(i).to_numpy(zero_copy_only=False) for i in range(keys)]
+        change = np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in k]))
+        if rest and any(x[0] != rest[-1].column(i)[-1].as_py() for i, x in enumerate(k)):
+            yield pa.Table.from_batches(rest)
+            rest = []
+        if len(change):
+            cut = int(change[-1]) + 1
+            yield pa.Table.from_batches([*rest, b.slice(0, cut)])
+            rest = [b.slice(cut)]
+        else:
+            rest.append(b)
+    if rest:
+        yield pa.Table.from_batches(rest)
+
+
+def run_bounds(cols: list[np.ndarray]) -> np.ndarray:
+    """Starts of the runs of equal keys, and the end."""
+    n = len(cols[0])
+    change = np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in cols])) + 1 if n > 1 else []
+    return np.concatenate([[0], change, [n]]).astype(np.int64)
+
+
+def by_key(df: DataFrame, keys: list[str], fn, schema: str) -> DataFrame:
+    """Bring rows with equal keys together, in order, and map each partition."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(fn, schema)
+
+
 # ---- words as arrays ------------------------------------------------------
 
 #: The white space bytes 0x20 and 0x09-0x0D.

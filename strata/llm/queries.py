@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from .bpe_codec import op6_bpe_codec
+from .decontaminate import op1_decontamination
 from .langid import op10_language_id
+from .sharding import op2_kd_sharding
 from .token_counts import op3_token_counts
 from .toxicity import op4_toxicity
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op2_kd_sharding": op2_kd_sharding,
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op6_bpe_codec": op6_bpe_codec,
