@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from .bpe_codec import op6_bpe_codec
 from .decontaminate import op1_decontamination
 from .langid import op10_language_id
 from .pivots import op8_pivot_embeddings
 from .sharding import op2_kd_sharding
 from .simhash import op9_simhash
+from .suffix_dedup import op7_suffix_dedup
 from .token_counts import op3_token_counts
 from .toxicity import op4_toxicity
 
@@ -17,9 +20,11 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op6_bpe_codec": op6_bpe_codec,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_pivot_embeddings": op8_pivot_embeddings,
     "op9_simhash": op9_simhash,
     "op10_language_id": op10_language_id,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {}
