@@ -181,12 +181,13 @@ def _decided(docs: DataFrame) -> DataFrame:
     # the text is dealt out once, by row; all later joins meet it where it lies
     base = docs.repartition(parts, "uid").persist(StorageLevel.MEMORY_AND_DISK)
     names = _names(base)
-    again = names.groupBy("name").agg(F.count("*").alias("k")).where("k > 1").select("name")
+    # written, so that the join meets plain exchanges and a hot name can be split
+    again = saved(names.groupBy("name").agg(F.count("*").alias("k")).where("k > 1").select("name"), "sample-names")
     hits = saved(names.join(again, "name", "left_semi").groupBy("uid").agg(F.collect_list("pos").alias("pos")), "sample-hits")
     ctx = saved(_contexts(base, hits).groupBy("d1", "d2", "name")
                 .agg(F.count("*").alias("k"), F.min(F.struct("uid", "lo", "hi")).alias("one")), "contexts")
     once = ctx.where("k = 1")
-    others = ctx.where("k > 1").join(once.select("name").distinct(), "name", "left_semi")
+    others = ctx.where("k > 1").join(once.select("name"), "name", "left_semi")
     open_ = (once.select("one.*", F.lit(True).alias("alone"))
              .union(others.select("one.*", F.lit(False).alias("alone")))
              .groupBy("uid").agg(F.collect_list(F.struct("lo", "hi", "alone")).alias("spans")))
