@@ -6,6 +6,7 @@ import corpus_pipeline
 
 from .bpe_codec import op6_bpe_codec
 from .decontaminate import op1_decontamination
+from .katz import op5_katz
 from .langid import op10_language_id
 from .pivots import op8_pivot_embeddings
 from .sharding import op2_kd_sharding
@@ -19,6 +20,7 @@ QUERIES = {
     "op2_kd_sharding": op2_kd_sharding,
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
+    "op5_katz": op5_katz,
     "op6_bpe_codec": op6_bpe_codec,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_pivot_embeddings": op8_pivot_embeddings,
