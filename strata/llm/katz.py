@@ -27,7 +27,7 @@ HEAD = 500_000
 #: Largest count that is discounted.
 DISCOUNTED = 5
 #: Tokens gathered in a task before they are packed or counted.
-GATHER = 3_000_000
+GATHER = 1_000_000
 
 _END, _START = np.uint64(0x1F0E3D4C5B6A7988), np.uint64(0x2F0E3D4C5B6A7988)
 _RARE = np.uint64(1 << 63)
@@ -239,7 +239,7 @@ def katz_scores(docs: DataFrame, head: int = HEAD) -> DataFrame:
     every token is the unknown word.  Extra columns are ignored."""
     prepare(docs.sparkSession)
     spark = docs.sparkSession
-    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(2, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), docs["doc_id"].cast("long").alias("doc_id"),
                        (crc_mod(docs["doc_id"], 5) == 1).alias("held_out"), docs["text"].cast("string").alias("text"))
     counts = saved(_counts(rows), "katz-unigrams")
