@@ -26,7 +26,7 @@ SAMPLE_PER_CLASS = 6_000
 LEXICON, CANDIDATES = 2_000, 20_000
 #: A term must stand in so many toxic sample rows (and in such a share of them:
 #: copies of one text make no lexicon), and so many times likelier.
-MIN_ROWS, MIN_SHARE, MIN_LIFT = 5, 0.01, 8.0
+MIN_ROWS, MIN_SHARE, MIN_LIFT = 5, 0.03, 8.0
 STEM_MIN, STEM_MAX = 4, 7
 #: Shorter terms must match exactly.
 FUZZY_FROM = 5
@@ -225,7 +225,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     few = lab.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < keep * 1_000_000)
     sample = (docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
               .where("text IS NOT NULL").join(F.broadcast(few), "doc_id"))  # few: at most about 2 * per_class ids
-    sample = saved(sample.select("text", "toxic"), "toxicity-sample")
+    # each text once: copies of one toxic text would pass its rare words for terms
+    sample = saved(sample.select("text", "toxic").dropDuplicates(), "toxicity-sample")
     n = [min(per_class, sizes[k]) for k in (0, 1)]
     lexicon = learn_lexicon(sample, n[1], n[0])
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
