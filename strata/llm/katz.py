@@ -310,7 +310,7 @@ def katz_scores(docs: DataFrame, head: int = HEAD) -> DataFrame:
     hot_total = np.array([r.total for r in hot], np.int64)
     hot_alpha, hot_factor = _weights(hot_total, [np.array([r[f"n{i}"] for r in hot]) for i in range(1, DISCOUNTED + 1)],
                                      np.array([r.mass for r in hot], float), d)
-    scored = pa.schema([("uid", pa.int64()), ("high", pa.float64())])
+    scored = pa.schema([("bucket", pa.int32()), ("uids", pa.binary()), ("sums", pa.binary())])
 
     def score(batches):
         """What bigrams and backoff weights add to the unigram score."""
@@ -330,10 +330,30 @@ def katz_scores(docs: DataFrame, head: int = HEAD) -> DataFrame:
                 seen = np.log10(disc[np.where(c <= DISCOUNTED, c, 0)] * c * factor / total) - u.log[u.place(w)]
                 add = np.where(c > 0, seen, np.log10(alpha))[of]
             texts, place = np.unique(uid, return_inverse=True)
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.int64()), pa.array(np.bincount(place, add), pa.float64())], schema=scored)
+            sums = np.bincount(place, add)
+            bucket = (mix64(texts.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            cut = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=parts))
+            pieces = [order[i:j] for i, j in zip(cut[:-1].tolist(), cut[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array([int(bucket[o[0]]) for o in pieces], pa.int32()),
+                                              pa.array([texts[o].tobytes() for o in pieces], pa.binary()),
+                                              pa.array([sums[o].tobytes() for o in pieces], pa.binary())], schema=scored)
+
+    added = pa.schema([("uid", pa.int64()), ("high", pa.float64())])
+
+    def gather(batches):
+        """One sum per text from the packed sums of the model's partitions."""
+        uid, sums = [], []
+        for b in batches:
+            uid += [np.frombuffer(x, np.int64) for x in b.column(1).to_pylist()]
+            sums += [np.frombuffer(x, np.float64) for x in b.column(2).to_pylist()]
+        if uid:
+            texts, place = np.unique(np.concatenate(uid), return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(texts), pa.array(np.bincount(place, np.concatenate(sums)))], schema=added)
 
     zero_l, zero_d = F.lit(0).cast("long"), F.lit(0.0)
-    grams = dealt.mapInArrow(score, "uid long, high double").select(
+    grams = dealt.mapInArrow(score, "bucket int, uids binary, sums binary").repartition(parts, "bucket").mapInArrow(
+        gather, "uid long, high double").select(
         "uid", zero_l.alias("k"), zero_l.alias("known"), zero_d.alias("base"), F.col("high").alias("low"))
     total = whole.union(rare).union(grams).groupBy("uid").agg(
         F.sum("k").alias("n_tokens"), F.sum("known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("low").alias("score"))
