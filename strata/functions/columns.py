@@ -70,7 +70,9 @@ def mask_params(url, extra_keys: Sequence[str] = ()) -> Column:
     """
     url = _col(url)
     rx = _sensitive_key_regex(extra_keys)
-    query = F.regexp_extract(url, r"\?([^#]*)", 1)
+    # the fragment goes first: a "?" inside it starts no query string
+    page = F.substring_index(url, "#", 1)
+    query = F.regexp_extract(page, r"\?(.*)$", 1)
     pairs = F.split(query, "&")
     masked = F.transform(
         pairs,
@@ -80,7 +82,7 @@ def mask_params(url, extra_keys: Sequence[str] = ()) -> Column:
         ).otherwise(p),
     )
     new_query = F.array_join(masked, "&")
-    return F.when(url.contains("?"),
-                  F.concat(F.substring_index(url, "?", 1), F.lit("?"), new_query,
-                           F.coalesce(F.regexp_extract(url, r"(#.*)$", 1), F.lit(""))))\
+    return F.when(page.contains("?"),
+                  F.concat(F.substring_index(page, "?", 1), F.lit("?"), new_query,
+                           F.substring(url, F.length(page) + 1, F.length(url))))\
         .otherwise(url)

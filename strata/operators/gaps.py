@@ -59,9 +59,11 @@ def missing_dates(df: DataFrame, keys: Sequence[str], date_col: str, floor=None,
 
 
 def month_coverage(df: DataFrame, keys: Sequence[str], date_col: str, floor=None, ceiling=None,
-                   cap: int = 600) -> DataFrame:
+                   cap: int | None = None) -> DataFrame:
     """Per entity: months needed in [floor, ceiling], months present, and the
-    request size -- NULL when covered, else ``min(max(needed, 1), cap)`` (S10)."""
+    request size -- NULL when covered, else ``max(needed, 1)`` (S10).
+    A ``cap`` limits one request; the caller then asks for the rest in further
+    requests (``n_missing`` stays whole)."""
     keys = list(keys)
     d = df.select(*keys, F.to_date(date_col).alias("_d")).dropna(subset=["_d"])
     present = d.select(*keys, F.date_format("_d", "yyyy-MM").alias("period")).distinct() \
@@ -71,11 +73,13 @@ def month_coverage(df: DataFrame, keys: Sequence[str], date_col: str, floor=None
     j = spine.join(present, on=[*keys, "period"], how="left")
     agg = j.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_needed"),
                               F.count("_p").alias("n_present"))
+    asked = F.greatest(F.col("n_needed"), F.lit(1))
+    if cap is not None:
+        asked = F.least(asked, F.lit(cap))
     return (agg.withColumn("n_missing", F.col("n_needed") - F.col("n_present"))
             .withColumn("covered", F.col("n_missing") == 0)
             .withColumn("request_periods",
-                        F.when(~F.col("covered"),
-                               F.least(F.greatest(F.col("n_needed"), F.lit(1)), F.lit(cap)))))
+                        F.when(~F.col("covered"), asked)))
 
 
 YEAR_RX = "^[0-9]{4}$"

@@ -100,10 +100,16 @@ def parse_changes(raw: DataFrame, value_col: str, row_ddl: str) -> DataFrame:
 def apply_changes(changes: DataFrame, keys: Sequence[str], order: str = "lsn") -> DataFrame:
     """Latest state per key (S12): the newest event per key by source
     position; a delete as newest event removes the key.  The key comes from
-    ``after`` or, for deletes, from ``before``."""
+    ``after`` or, for deletes, from ``before``.  A truncate (op ``t``) removes
+    all state of earlier positions; events without a key or an op (malformed)
+    change nothing."""
     keys = _names(keys)
+    cleared = changes.filter("op = 't'").agg(F.max(f"source.{order}")).scalar()
     ev = changes.select(
         *[F.coalesce(F.col(f"after.{k}"), F.col(f"before.{k}")).alias(k) for k in keys],
         F.col("op"), F.col(f"source.{order}").alias("_pos"), F.col("after"))
+    ev = ev.filter((F.col("op") != "t") & (cleared.isNull() | (F.col("_pos") > cleared)))
+    for k in keys:
+        ev = ev.filter(F.col(k).isNotNull())
     last = pick_one(ev, keys, ["_pos"], keep="last")
     return last.filter(F.col("op") != F.lit("d")).select("after.*")

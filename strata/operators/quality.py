@@ -36,7 +36,9 @@ def bounds(df: DataFrame, col: str, lo, hi) -> DataFrame:
 def fk_orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Child rows whose key has no parent (Q6); NULL keys are not orphans."""
     return (child.filter(F.col(child_key).isNotNull())
-            .join(parent.select(F.col(parent_key).alias(child_key)).distinct(), child_key, "left_anti"))
+            # no distinct on the parent: an aggregate between the exchange and the
+            # join would keep AQE from splitting a hot key
+            .join(parent.select(F.col(parent_key).alias(child_key)), child_key, "left_anti"))
 
 
 def report(checks: Mapping[str, DataFrame], counted: Sequence[DataFrame] = ()) -> DataFrame:

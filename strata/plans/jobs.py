@@ -171,9 +171,9 @@ def build_vault(layers: Layers, as_of: str, load_dts: str, incremental: bool = F
 
 def publish_marts(layers: Layers, as_of: str, on_missing: str = "empty") -> None:
     hs, sp, sm = (layers.read(n) for n in ("hub_security", "sat_security_profile", "sat_security_market"))
-    profile = latest(hs.join(sp.drop("load_dts", "record_source").withColumnRenamed("hashdiff", "hd"),
-                             "security_hk").withColumn("load_dts", F.lit(0)),
-                     ["secid"], ["hd"]).select("secid", "security_hk", "shortname", "boardid", "lot_size")
+    # the newest profile by load time; the hash only orders rows of one load
+    profile = latest(hs.select("secid", "security_hk").join(sp.drop("record_source"), "security_hk"),
+                     ["secid"], ["load_dts", "hashdiff"]).select("secid", "security_hk", "shortname", "boardid", "lot_size")
     market = latest(sm, ["security_hk"], ["load_dts", "hashdiff"]).select(
         "security_hk", "last_price", "prev_price", "pct_change", "num_trades", "value_total")
     overview = marts.overview(profile, market, "security_hk").drop("security_hk")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import marts
 from strata.plans.common import customer_daily
-from strata.sources.tables import Tables
+from strata.sources.tables import DRIVER_TABLES, Tables
 
 
 def q_pct_change(spark: SparkSession, sf: str):
@@ -115,8 +115,7 @@ def q_mart_snapshot(spark, sf):
 
 def q_layer_counts(spark, sf):
     t = Tables(spark, sf)
-    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-    return marts.layer_counts({n: t.read(n) for n in names})
+    return marts.layer_counts({n: t.read(n) for n in DRIVER_TABLES})
 
 
 QUERIES.update({

@@ -5,6 +5,8 @@ the same rows, columns and types as the Spark plan of the same key."""
 
 from __future__ import annotations
 
+from strata.sources.tables import DRIVER_TABLES
+
 CUSTOMER_DAILY = """
 SELECT o_custkey, CAST(o_orderdate AS DATE) AS trade_date,
        CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS value_total,
@@ -76,5 +78,5 @@ SELECT ov.p_partkey, ov.p_name, fx.fx_date AS trade_date, CAST(p.p_retailprice A
 FROM ov JOIN part p ON p.p_partkey = ov.p_partkey CROSS JOIN fx""",
     "layer_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}"
-        for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]),
+        for t in DRIVER_TABLES),
 })

@@ -76,7 +76,8 @@ GIB = 1024 ** 3
 
 
 def cluster_conf(input_bytes: int, total_cores: int, shuffle_partition_bytes: int = GIB // 2,
-                 split_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+                 split_bytes: int = 256 * 1024 ** 2,
+                 max_partitions: int | None = 200_000) -> dict[str, str]:
     """Settings for a large cluster, to apply when the session is built.
 
     * scan splits of ``split_bytes`` (parquet row groups are read in parallel
@@ -88,7 +89,8 @@ def cluster_conf(input_bytes: int, total_cores: int, shuffle_partition_bytes: in
     * AQE splits skewed shuffle partitions of joins at five times the median.
     """
     parts = max(2 * total_cores, -(-input_bytes // shuffle_partition_bytes))
-    parts = min(parts, 200_000)
+    if max_partitions is not None:  # scheduling cost; raise it together with the input
+        parts = min(parts, max_partitions)
     conf = dict(CORE_CONF)
     conf.update({
         "spark.sql.files.maxPartitionBytes": str(split_bytes),

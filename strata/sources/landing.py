@@ -28,8 +28,9 @@ def read_envelopes(spark: SparkSession, path: str, streaming: bool = False,
 
 
 def _bad() -> "F.Column":
-    """A line is rejected when it does not parse or names no source."""
-    return F.col("_corrupt_record").isNotNull() | F.col("source").isNull()
+    """A line is rejected when it does not parse or lacks a part of its key
+    (source, endpoint): a NULL key would never meet its stored row again."""
+    return F.col("_corrupt_record").isNotNull() | F.col("source").isNull() | F.col("endpoint").isNull()
 
 
 def accepted(df: DataFrame) -> DataFrame:

@@ -288,7 +288,7 @@ class Layers:
         path = self._new_path(name)
         (fresh.repartitionByRange(KEY_BUCKET, F.xxhash64(*fresh.columns))
          .write.mode("errorifexists").partitionBy(KEY_BUCKET).parquet(path))
-        written = {int(m.group(1)) for f in self.spark.read.parquet(path).inputFiles()
+        written = {int(m.group(1)) for f in self.spark.read.schema(fresh.schema).parquet(path).inputFiles()
                    if (m := re.search(rf"/{KEY_BUCKET}=(\d+)/", f))}
         t = self.table(name)
         for b in buckets:

@@ -3,9 +3,9 @@
 landing table, stop.  The checkpoint folder plays the consumer group's
 committed offsets.
 
-Replays are harmless: a micro-batch re-run after a failure meets its own
-keys already in the target (the anti join is against the committed table),
-so it appends nothing twice."""
+Replays are harmless: a micro-batch re-run after a failure finds its own rows
+stored at the same positions, so nothing wins over them, and its rejects under
+the same batch id."""
 
 from __future__ import annotations
 
@@ -32,12 +32,20 @@ def first_wins_batch(layers: Layers, table: str, keys: Sequence[str], order: Seq
         if reject_table is not None:
             bad = landing.rejected(batch).withColumn("batch_id", F.lit(batch_id))
             if layers.exists(reject_table):
-                layers.append(reject_table, bad)
+                # a batch that is run again finds its rejects already there
+                done = layers.read(reject_table).filter(F.col("batch_id") == batch_id).limit(1).count()
+                if not done:
+                    layers.append(reject_table, bad)
             else:
                 layers.full_refresh({reject_table: bad}, allow_empty=True)
-        # first-wins = insert-if-absent with the smallest position per key;
-        # the key check reads only the key buckets this batch touches
-        layers.insert_if_absent(table, good, keys, order=order, n_buckets=n_buckets)
+        # first-wins = the smallest position per key, against the stored row
+        # too: the winner does not depend on how the backlog is cut into batches
+        first = loads.pick_one(good, list(keys), list(order), keep="first")
+        if layers.exists(table):
+            held = layers.read(table).select(*keys, F.struct(*order).alias("_held"))
+            first = (first.join(held, list(keys), "left")
+                     .filter(F.col("_held").isNull() | (F.struct(*order) < F.col("_held"))).drop("_held"))
+        layers.merge(table, first, list(keys), n_buckets=n_buckets)
         batch.unpersist()
     return run
 
