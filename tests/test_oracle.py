@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from strata.plans import registry
 from tools.check_oracle import TABLES, digest
 
 SF = os.environ.get("STRATA_TEST_SF", "/root/testdata/sf0.001")
@@ -21,7 +22,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(registry.queries()))
 def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF)
     rows = [tuple(r) for r in df.collect()]
