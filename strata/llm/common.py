@@ -22,6 +22,10 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # scans are cut by the number of cores; held fixed, so that row numbers are the
+    # same in every read of a table even if executors come or go in between
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
