@@ -1,6 +1,7 @@
 """Staging decode of JSON payload shapes into typed rows.  Every payload row
-is decoded independently (a generator per row), so decode is map-only; the
-payload is parsed once per shape."""
+is decoded independently (a generator per row), so decode is map-only.  A
+matrix, an object map and a paged block are read from the whole payload in one
+parse that keeps every digit of unquoted numbers (no re-serialised text)."""
 
 from __future__ import annotations
 
@@ -11,25 +12,27 @@ from pyspark.sql import functions as F
 
 from strata.functions import cast_failed, typed
 
-MATRIX_DDL = "columns array<string>, data array<array<string>>"
-
-
-def decode_matrix(df: DataFrame, block: Column, fields: Mapping[str, tuple[str, str]],
+def decode_matrix(df: DataFrame, payload: Column, fields: Mapping[str, tuple[str, str]],
                   keep: Sequence[str] = (), key: str | None = None, safe: bool = False,
-                  pos_name: str | None = None) -> DataFrame:
-    """Header-and-matrix block ``{columns:[..], data:[[..],..]}`` (J2, J4).
+                  pos_name: str | None = None, path: str = "$") -> DataFrame:
+    """Header-and-matrix block ``{columns:[..], data:[[..],..]}`` (J2, J4) at
+    ``path`` of the JSON text ``payload``; text that is not JSON, or holds a
+    name twice, gives no rows.
 
     ``fields`` maps output name -> (header name, type).  A field's position
     is looked up in the header by name; a header that is absent yields NULL.
     Blank strings become NULL before the cast.  Rows whose ``key`` field is
     NULL are dropped."""
-    m = df.select(*keep, F.from_json(block, MATRIX_DDL).alias("_m"))
-    m = m.select(*keep, F.col("_m.columns").alias("_cols"),
-                 F.posexplode(F.col("_m.data")).alias("_pos", "_row"))
+    m = df.select(*keep, F.try_parse_json(payload).alias("_v"))
+    header_row = F.try_variant_get("_v", f"{path}.columns", "array<string>")
+    m = m.select(*keep, F.try_variant_get("_v", f"{path}.data", "array<array<string>>").alias("_data"),
+                 *[(F.array_position(header_row, F.lit(header)).cast("int") - 1).alias(f"_at_{i}")
+                   for i, (header, _) in enumerate(fields.values())])
+    # header positions are found once per payload, before its rows are exploded
+    m = m.select(*keep, *[f"_at_{i}" for i in range(len(fields))], F.posexplode("_data").alias("_pos", "_row"))
     out = []
-    for name, (header, dtype) in fields.items():
-        idx = F.array_position(F.col("_cols"), F.lit(header)).cast("int") - 1
-        raw = F.get(F.col("_row"), idx)
+    for i, (name, (_, dtype)) in enumerate(fields.items()):
+        raw = F.get(F.col("_row"), F.col(f"_at_{i}"))
         out.append((raw if dtype == "string" else typed(raw, dtype, safe=safe)).alias(name))
     res = m.select(*keep, *([F.col("_pos").cast("int").alias(pos_name)] if pos_name else []), *out)
     if key:
@@ -38,9 +41,11 @@ def decode_matrix(df: DataFrame, block: Column, fields: Mapping[str, tuple[str,
 
 
 def explode_object(df: DataFrame, col: Column, value_ddl: str, keep: Sequence[str] = (),
-                   key_name: str = "key") -> DataFrame:
-    """Object map ``{KEY: {..}, ..}``: one row per key (J6)."""
-    parsed = F.from_json(col, f"map<string, struct<{value_ddl}>>")
+                   key_name: str = "key", member: str | None = None) -> DataFrame:
+    """Object map ``{KEY: {..}, ..}``: one row per key (J6).  ``col`` is the map's
+    own text, or the whole payload when ``member`` names the map in it."""
+    ddl = f"map<string, struct<{value_ddl}>>"
+    parsed = F.from_json(col, f"`{member}` {ddl}")[member] if member else F.from_json(col, ddl)
     return (df.select(*keep, F.explode(parsed).alias(key_name, "_v"))
             .select(*keep, key_name, "_v.*"))
 
@@ -74,27 +79,20 @@ OBS_DDL = "countryiso3code string, date string, value {vt}"
 YEAR_RX = "^[0-9]{4}$"
 
 
-def paged_block(payload: Column, page: int = 1) -> Column:
-    """Element ``page`` of a ``[meta, [obs..]]`` payload as JSON text, NULL for
-    other shapes (guard: top level array with more than one element)."""
-    p = F.ltrim(payload)
-    is_arr = p.startswith("[") & (F.json_array_length(payload) > page)
-    return F.when(is_arr, F.get_json_object(payload, f"$[{page}]"))
-
-
 def explode_observations(df: DataFrame, payload: str, keep: Sequence[str] = (),
                          value_type: str = "double") -> DataFrame:
     """``payload[1]`` -> (iso3, yr, val) for observations with a four-digit
     year and a non-null value (J10)."""
-    arr = F.from_json(paged_block(F.col(payload)), f"array<struct<{OBS_DDL.format(vt=value_type)}>>")
-    return (df.select(*keep, F.explode(arr).alias("o"))
+    return (df.select(*keep, F.explode(observations_array(df, payload, value_type)).alias("o"))
             .filter(F.col("o.date").rlike(YEAR_RX) & F.col("o.value").isNotNull())
             .select(*keep, F.col("o.countryiso3code").alias("iso3"),
                     F.col("o.date").cast("int").alias("yr"), F.col("o.value").alias("val")))
 
 
 def observations_array(df: DataFrame, payload: str, value_type: str = "double") -> Column:
-    return F.from_json(paged_block(F.col(payload)), f"array<struct<{OBS_DDL.format(vt=value_type)}>>")
+    """Second element of a ``[meta, [obs..]]`` payload; NULL for other shapes."""
+    return F.try_variant_get(F.try_parse_json(F.col(payload)), "$[1]",
+                             f"array<struct<{OBS_DDL.format(vt=value_type)}>>")
 
 
 JSONSTAT_DDL = ("id array<string>, size array<int>, "

@@ -31,25 +31,33 @@ MATRIX_FIELDS = {
 
 def q_matrix_decode(spark: SparkSession, sf: str):
     p = M.matrix_payloads(Tables(spark, sf).lineitem)
-    block = F.get_json_object("payload", "$.lineitems")
-    return decode.decode_matrix(p, block, MATRIX_FIELDS, key="l_orderkey")
+    return decode.decode_matrix(p, F.col("payload"), MATRIX_FIELDS, key="l_orderkey", path="$.lineitems")
 
 
 def q_typed_cast(spark, sf):
     p = M.matrix_payloads(Tables(spark, sf).lineitem)
-    block = F.get_json_object("payload", "$.lineitems")
     fields = {"l_orderkey": ("ORDERKEY", "bigint"), "l_linenumber": ("LINENUMBER", "int"),
-              "flag_code": ("FLAG", "int"), "l_discount": ("DISC", "decimal(4,2)")}
-    return decode.decode_matrix(p, block, fields, key="l_orderkey", safe=True)
+              "flag_code": ("CODE", "int"), "l_discount": ("DISC", "decimal(4,2)")}
+    return decode.decode_matrix(p, F.col("payload"), fields, key="l_orderkey", safe=True, path="$.lineitems")
+
+
+def q_typed_rejects(spark, sf):
+    p = M.matrix_payloads(Tables(spark, sf).lineitem)
+    fields = {"l_orderkey": ("ORDERKEY", "bigint"), "l_linenumber": ("LINENUMBER", "int"),
+              "flag_code": ("CODE", "string"), "l_discount": ("DISC", "string")}
+    text = decode.decode_matrix(p, F.col("payload"), fields, key="l_orderkey", path="$.lineitems")
+    _, bad = decode.split_typed(text, {"flag_code": "int", "l_discount": "decimal(4,2)"},
+                                keep=["l_orderkey", "l_linenumber"])
+    return bad.withColumn("failed_columns", F.array_join("failed_columns", ","))
 
 
 def q_map_explode(spark, sf):
     p = M.object_map_payloads(Tables(spark, sf).orders).filter(F.col("source") == "CBR_DAILY")
     day = F.to_date(F.to_timestamp(F.get_json_object("payload", "$.Date")))
     best = latest_per(p.withColumn("rate_date", day), F.col("rate_date"), ["load_seq"])
-    rates = decode.explode_object(best, F.get_json_object("payload", "$.Valute"),
+    rates = decode.explode_object(best, F.col("payload"),
                                   "Nominal int, Value decimal(18,6), Name string",
-                                  keep=["rate_date"], key_name="char_code")
+                                  keep=["rate_date"], key_name="char_code", member="Valute")
     rates = rates.select("rate_date", "char_code", F.col("Nominal").alias("nominal"),
                          F.col("Value").alias("rate"), F.col("Name").alias("currency_name"))
     return decode.union_constant(rates, ["rate_date"], {
@@ -157,6 +165,7 @@ def q_gap_years(spark, sf):
 QUERIES = {
     "matrix_decode": q_matrix_decode,
     "typed_cast": q_typed_cast,
+    "typed_rejects": q_typed_rejects,
     "map_explode": q_map_explode,
     "array_zip": q_array_zip,
     "banding": q_banding,
@@ -183,9 +192,14 @@ SELECT l_orderkey, l_linenumber, l_returnflag, CAST(l_quantity AS DECIMAL(18,2))
        CAST(NULL AS DECIMAL(4,2)) AS l_tax
 FROM lineitem""",
     "typed_cast": """
-SELECT l_orderkey, l_linenumber, TRY_CAST(l_returnflag AS INTEGER) AS flag_code,
+SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'A' THEN CAST(l_linenumber AS INTEGER) END AS flag_code,
        CASE WHEN l_discount = 0 THEN NULL ELSE CAST(l_discount AS DECIMAL(4,2)) END AS l_discount
 FROM lineitem""",
+    "typed_rejects": """
+SELECT l_orderkey, l_linenumber, 'R' || CAST(l_linenumber AS VARCHAR) AS flag_code,
+       CASE WHEN l_discount = 0 THEN '' ELSE CAST(CAST(l_discount AS DECIMAL(4,2)) AS VARCHAR) END AS l_discount,
+       'flag_code' AS failed_columns
+FROM lineitem WHERE l_returnflag = 'R'""",
     "map_explode": """
 SELECT CAST(o_orderdate AS DATE) AS rate_date, o_orderstatus AS char_code, CAST(COUNT(*) AS INTEGER) AS nominal,
        CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,6)) AS rate,
@@ -194,7 +208,7 @@ FROM orders GROUP BY 1, 2
 UNION ALL
 SELECT DISTINCT CAST(o_orderdate AS DATE), 'RUB', 1, CAST(1 AS DECIMAL(18,6)), 'Russian Ruble' FROM orders""",
     "array_zip": f"""
-WITH pg AS (SELECT *, {M.PAGE_SQL} AS page FROM lineitem),
+WITH pg AS ({M.PAGE_SQL}),
 l AS (
   SELECT pg.*, o.o_orderstatus,
          ROW_NUMBER() OVER (PARTITION BY l_orderkey, page ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate,

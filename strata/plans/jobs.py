@@ -49,8 +49,8 @@ def _latest_payload(raw: DataFrame, source: str) -> DataFrame:
 
 def stage_market(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     p = _latest_payload(raw, MARKET_SOURCE)
-    sec = decode.decode_matrix(p, F.get_json_object("payload", "$.securities"), SECURITY_FIELDS, key="secid")
-    md = decode.decode_matrix(p, F.get_json_object("payload", "$.marketdata"), MARKET_FIELDS, key="secid")
+    sec = decode.decode_matrix(p, F.col("payload"), SECURITY_FIELDS, key="secid", path="$.securities")
+    md = decode.decode_matrix(p, F.col("payload"), MARKET_FIELDS, key="secid", path="$.marketdata")
     return (pick_preferred(sec, ["secid"], "boardid", PREFERRED_BOARD),
             pick_preferred(md, ["secid"], "boardid", PREFERRED_BOARD))
 
@@ -59,9 +59,9 @@ def stage_fx(raw: DataFrame) -> DataFrame:
     p = raw.filter(F.col("source") == FX_SOURCE)
     day = F.to_date(F.to_timestamp(F.get_json_object("payload", "$.Date")))
     best = latest_per(p.withColumn("rate_date", day), F.col("rate_date"), ["loaded_at", "kafka_offset"])
-    r = decode.explode_object(best, F.get_json_object("payload", "$.Valute"),
+    r = decode.explode_object(best, F.col("payload"),
                               "Nominal int, Value decimal(18,6), Name string", keep=["rate_date"],
-                              key_name="char_code")
+                              key_name="char_code", member="Valute")
     r = r.select("rate_date", "char_code", F.col("Nominal").alias("nominal"), F.col("Value").alias("rate"),
                  F.col("Name").alias("currency_name"))
     code, nominal, rate, name = BASE_CURRENCY
@@ -247,6 +247,51 @@ def fact_views(layers: Layers) -> dict[str, DataFrame]:
     return views
 
 
+# Primary and unique keys of the vault tables, and their references.
+VAULT_KEYS = {
+    "hub_security": [["security_hk"], ["secid"]],
+    "hub_currency": [["currency_hk"], ["char_code"]],
+    "hub_calendar": [["date_hk"], ["business_date"]],
+    "link_security_currency_date": [["link_hk"], ["security_hk", "currency_hk", "date_hk"]],
+    "sat_security_profile": [["security_hk", "load_dts"]],
+    "sat_security_market": [["security_hk", "date_hk", "load_dts"]],
+    "sat_currency_rate": [["currency_hk", "date_hk", "load_dts"]],
+    "hub_city": [["city_hk"], ["city_code"]],
+    "link_city_date": [["link_city_date_hk"], ["city_hk", "date_hk"]],
+    "sat_city_weather": [["city_hk", "date_hk", "load_dts"]],
+}
+VAULT_REFS = {
+    "link_security_currency_date": ["security_hk", "currency_hk", "date_hk"],
+    "sat_security_profile": ["security_hk"],
+    "sat_security_market": ["security_hk", "date_hk"],
+    "sat_currency_rate": ["currency_hk", "date_hk"],
+    "link_city_date": ["city_hk", "date_hk"],
+    "sat_city_weather": ["city_hk", "date_hk"],
+}
+REF_HUB = {"security_hk": "hub_security", "currency_hk": "hub_currency", "date_hk": "hub_calendar",
+           "city_hk": "hub_city"}
+
+
+def vault_constraints(layers: Layers) -> dict[str, DataFrame]:
+    """Failing rows of every key and reference of the vault tables that exist:
+    ``unique_<table>_<columns>`` and ``<table>_<column>_fk`` (``<table>_fk`` where
+    there is one).  A NULL reference fails too, as the columns are NOT NULL."""
+    out = {}
+    for name, keys in VAULT_KEYS.items():
+        if not layers.exists(name):
+            continue
+        table = layers.read(name)
+        for cols in keys:
+            out[f"unique_{name}_{'_'.join(cols)}"] = quality.unique(table, cols)
+        refs = VAULT_REFS.get(name, [])
+        for col in refs:
+            hub = layers.read(REF_HUB[col])
+            out[f"{name}_{col}_fk" if len(refs) > 1 else f"{name}_fk"] = quality.fk_orphans(
+                table.select(F.coalesce(F.col(col).cast("string"), F.lit("")).alias(col)),
+                hub.select(F.col(col).cast("string").alias(col)), col, col)
+    return out
+
+
 def data_tests(layers: Layers) -> DataFrame:
     views = fact_views(layers)
     liq, mov = views["fct_moex_liquidity"], views["fct_moex_movers"]
@@ -260,8 +305,7 @@ def data_tests(layers: Layers) -> DataFrame:
         "unique_fct_moex_movers_trade_date_secid": quality.unique(mov, ["trade_date", "secid"]),
         "non_negative_value_total": quality.non_negative(liq, "value_total"),
         "pct_change_reasonable_bounds": quality.bounds(mov, "pct_change", -50, 50),
-        "sat_security_profile_fk": quality.fk_orphans(layers.read("sat_security_profile"),
-                                                      layers.read("hub_security"), "security_hk", "security_hk"),
+        **vault_constraints(layers),
     }
     return quality.report(checks, counted=counted)
 

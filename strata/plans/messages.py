@@ -2,8 +2,8 @@
 tables so the decoders run on data that grows with them.
 
 Every builder pre-aggregates first and groups into one payload per document
-whose size is bounded, never by the data: a page of an order's lines (at
-most about PAGE_ROWS, however many lines a hot order has), a customer's
+whose size is bounded, never by the data: a page of an order's lines (about
+PAGE_ROWS, however many lines a hot order has), a customer's
 per-status per-year counts, a supplier's per-year totals, a day's per-status
 totals."""
 
@@ -16,7 +16,7 @@ MONEY = "decimal(18,2)"
 
 # Header order of the matrix payload (deliberately not the
 # output order) and the status names of the object-map payload.
-MATRIX_HEADER = ["LINENUMBER", "ORDERKEY", "FLAG", "QTY", "PRICE", "DISC"]
+MATRIX_HEADER = ["LINENUMBER", "ORDERKEY", "FLAG", "QTY", "PRICE", "DISC", "CODE"]
 STATUS_NAMES = {"F": "Finished", "O": "Open", "P": "Pending"}
 
 
@@ -31,17 +31,26 @@ PAGE_ROWS = 100
 
 
 def _paged_lines(lineitem: DataFrame) -> DataFrame:
-    """Lines with a ``page`` within their order so that no payload grows with
-    a hot order: ``page = (line number - 1) div PAGE_ROWS``.  Line numbers
-    are positions within an order, so an order with any number of lines is
-    cut into pages of PAGE_ROWS line numbers -- a column expression, with no
-    count, join or window over the order, and the same in SQL
-    (:data:`PAGE_SQL`)."""
-    return lineitem.withColumn("page", F.expr(f"CAST((l_linenumber - 1) div {PAGE_ROWS} AS INT)"))
-
-
-# The same page in DuckDB SQL.
-PAGE_SQL = f"CAST(floor((l_linenumber - 1) / {PAGE_ROWS}) AS INTEGER)"
+    """Lines with a ``page`` within their order so that no payload grows with a
+    hot order: an order of n lines has ceil(n / PAGE_ROWS) pages, and a hash of
+    the line's content picks one (line numbers repeat, so they don't page).
+    Counting combines on the map side and only orders of several pages are
+    joined.  Lines equal in all hashed columns share a page; :data:`PAGE_SQL`
+    is the same in SQL."""
+    pages = (lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > PAGE_ROWS)
+             .select("l_orderkey", F.ceil(F.col("n") / PAGE_ROWS).alias("_pages")))
+    text = F.concat_ws("|", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyy-MM-dd"),
+                       F.col("l_extendedprice").cast(MONEY).cast("string"), F.col("l_quantity").cast(MONEY).cast("string"))
+    place = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return (lineitem.join(pages, "l_orderkey", "left")
+            .withColumn("page", F.coalesce(F.pmod(place, F.col("_pages")), F.lit(0)).cast("int")).drop("_pages"))
+
+
+# The same pages in DuckDB SQL.
+PAGE_SQL = f"""SELECT *, CASE WHEN n_lines <= {PAGE_ROWS} THEN 0 ELSE CAST(CAST('0x' || substr(md5(concat_ws('|',
+    l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y-%m-%d'), CAST(l_extendedprice AS DECIMAL(18,2)),
+    CAST(l_quantity AS DECIMAL(18,2)))), 1, 8) AS BIGINT) % CAST(ceil(n_lines / {PAGE_ROWS}.0) AS BIGINT) AS INTEGER) END AS page
+  FROM (SELECT *, COUNT(*) OVER (PARTITION BY l_orderkey) AS n_lines FROM lineitem) c"""
 
 
 def matrix_payloads(lineitem: DataFrame) -> DataFrame:
@@ -51,7 +60,11 @@ def matrix_payloads(lineitem: DataFrame) -> DataFrame:
     row = F.array(F.col("l_linenumber").cast("string"), F.col("l_orderkey").cast("string"),
                   F.col("l_returnflag"), F.col("l_quantity").cast(MONEY).cast("string"),
                   F.col("l_extendedprice").cast(MONEY).cast("string"),
-                  _blank_zero("l_discount", "decimal(4,2)"))
+                  _blank_zero("l_discount", "decimal(4,2)"),
+                  # a number, blank or bad text
+                  F.when(F.col("l_returnflag") == "A", F.col("l_linenumber").cast("string"))
+                  .when(F.col("l_returnflag") == "R", F.concat(F.lit("R"), F.col("l_linenumber").cast("string")))
+                  .otherwise(F.lit("")))
     per_page = (lineitem.groupBy("l_orderkey", "page")
                 .agg(F.array_sort(F.collect_list(F.struct("l_linenumber", row.alias("r")))).alias("rows")))
     block = F.struct(F.array(*[F.lit(h) for h in MATRIX_HEADER]).alias("columns"),

@@ -35,11 +35,11 @@ def _payload(spark, text):
 
 def test_matrix_preferred_and_pct_change(spark):
     p = _payload(spark, A2_TEXT)
-    sec = decode.decode_matrix(p, F.get_json_object("payload", "$.securities"), SEC_FIELDS, key="secid")
+    sec = decode.decode_matrix(p, F.col("payload"), SEC_FIELDS, key="secid", path="$.securities")
     best = pick_preferred(sec, ["secid"], "boardid", "TQBR")
     got = sorted((r.secid, r.boardid, r.lot_size) for r in best.collect())
     assert got == [("AAA", "TQBR", 10), ("BBB", "AAAA", 5), ("CCC", None, 2)]
-    md = decode.decode_matrix(p, F.get_json_object("payload", "$.marketdata"), MD_FIELDS, key="secid")
+    md = decode.decode_matrix(p, F.col("payload"), MD_FIELDS, key="secid", path="$.marketdata")
     md = pick_preferred(md, ["secid"], "boardid", "TQBR") \
         .withColumn("pct_change", pct_change("last_price", "prev_price", 4))
     rows = {r.secid: r for r in md.collect()}
@@ -62,8 +62,8 @@ def _rates(spark, payloads):
         .filter(F.col("source") == "CBR_DAILY")
     day = F.to_date(F.to_timestamp(F.get_json_object("payload", "$.Date")))
     best = latest_per(df.withColumn("rate_date", day), F.col("rate_date"), ["loaded_at"])
-    r = decode.explode_object(best, F.get_json_object("payload", "$.Valute"),
-                              "Nominal int, Value decimal(18,6), Name string", keep=["rate_date"], key_name="char_code")
+    r = decode.explode_object(best, F.col("payload"),
+                              "Nominal int, Value decimal(18,6), Name string", keep=["rate_date"], key_name="char_code", member="Valute")
     r = r.select("rate_date", "char_code", F.col("Nominal").alias("nominal"), F.col("Value").alias("rate"),
                  F.col("Name").alias("currency_name"))
     return decode.union_constant(r, ["rate_date"], {"char_code": F.lit("RUB"), "nominal": F.lit(1),
@@ -214,3 +214,20 @@ def test_missing_dates_matches_spine(spark):
     # default bounds: the data's own first and last day
     got = gaps.missing_dates(df.filter("k = 'c'"), ["k"], "d")
     assert sorted(str(r.gap_date) for r in got.collect()) == ["2025-01-02", "2025-01-04", "2025-01-05", "2025-01-06"]
+
+
+def test_unquoted_numbers_keep_every_digit(spark):
+    text = '{"m": {"columns": ["a", "b"], "data": [[123456789012.123456, "x"], [null, ""], [0.10, "y"]]}}'
+    got = decode.decode_matrix(_payload(spark, text), F.col("payload"), {"a": ("a", "decimal(18,6)"), "b": ("b", "string")},
+                               path="$.m").collect()
+    assert [(r.a, r.b) for r in got] == [(D("123456789012.123456"), "x"), (None, ""), (D("0.100000"), "y")]
+    text = '{"Date": "d", "Valute": {"USD": {"Value": 123456789012.123456}}}'
+    got = decode.explode_object(_payload(spark, text), F.col("payload"), "Value decimal(18,6)", member="Valute").collect()
+    assert [(r.key, r.Value) for r in got] == [("USD", D("123456789012.123456"))]
+    text = '[{"page": 1}, [{"countryiso3code": "A", "date": "2024", "value": 1234567890123456789.1234}]]'
+    got = decode.explode_observations(_payload(spark, text), "payload", value_type="decimal(38,4)").collect()
+    assert [(r.iso3, r.yr, r.val) for r in got] == [("A", 2024, D("1234567890123456789.1234"))]
+    for bad in ("{broken", "[1]", "[]", '{"m": 1}', "null"):
+        p = _payload(spark, bad)
+        assert decode.decode_matrix(p, F.col("payload"), {"a": ("a", "int")}, path="$.m").count() == 0
+        assert decode.explode_observations(p, "payload").count() == 0

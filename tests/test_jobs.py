@@ -30,6 +30,8 @@ def test_end_to_end(spark):
     res = {r.test_name: (r.failures, r.status) for r in report.collect()}
     assert res["unique_fct_moex_liquidity_trade_date_secid"] == (0, "pass")
     assert res["sat_security_profile_fk"] == (0, "pass")
+    assert sum(n.endswith("_fk") for n in res) == 12  # every reference of the vault tables
+    assert sum(n.startswith(("unique_hub", "unique_link", "unique_sat")) for n in res) == 16
     # the reference's 13 not-null tests over its five facts, all passing
     nn = {k: v for k, v in res.items() if k.startswith("not_null_")}
     assert len(nn) == 13 and set(nn.values()) == {(0, "pass")}
