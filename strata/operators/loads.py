@@ -97,6 +97,24 @@ def parse_changes(raw: DataFrame, value_col: str, row_ddl: str) -> DataFrame:
             .select("e.*"))
 
 
+def keyed_changes(raw: DataFrame, value_col: str, row_ddl: str, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``(events, rejects)`` of change-event JSON: events have the key columns,
+    ``op``, the source position ``_pos`` and ``after`` (a truncate has no key);
+    rejects hold the text of messages that are not JSON or lack a known op, a
+    position or a key.  Tombstones (NULL value) are in neither."""
+    e = F.from_json(F.col(value_col), change_envelope_schema(row_ddl))
+    ev = (raw.filter(F.col(value_col).isNotNull()).select(F.col(value_col).alias("_text"), e.alias("_e"))
+          .select("_text", *[F.coalesce(F.col(f"_e.after.{k}"), F.col(f"_e.before.{k}")).alias(k) for k in keys],
+                  F.col("_e.op").alias("op"), F.col("_e.source.lsn").alias("_pos"), F.col("_e.after").alias("after")))
+    has_key = F.lit(True)
+    for k in keys:
+        has_key = has_key & F.col(k).isNotNull()
+    known = (F.col("op") == "t") | (F.col("op") == "d") & has_key | \
+        F.col("op").isin("c", "u", "r") & has_key & F.col("after").isNotNull()
+    good = F.coalesce(known, F.lit(False)) & F.col("_pos").isNotNull()
+    return ev.filter(good).drop("_text"), ev.filter(~good).select(F.col("_text").alias(value_col))
+
+
 def apply_changes(changes: DataFrame, keys: Sequence[str], order: str = "lsn") -> DataFrame:
     """Latest state per key (S12): the newest event per key by source
     position; a delete as newest event removes the key.  The key comes from

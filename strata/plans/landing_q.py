@@ -107,9 +107,9 @@ def q_rows_without_child(spark, sf):
 CDC_ROW = "user_id bigint, event_id bigint, event_type string, value double"
 
 
-def change_events(spark, sf):
+def change_events(spark, sf, ev=None):
     """events as change messages: error -> delete, signup -> create, else update."""
-    ev = Tables(spark, sf).events
+    ev = Tables(spark, sf).events if ev is None else ev
     row = F.struct("user_id", "event_id", "event_type", "value")
     op = (F.when(F.col("event_type") == "error", F.lit("d"))
           .when(F.col("event_type") == "signup", F.lit("c")).otherwise(F.lit("u")))

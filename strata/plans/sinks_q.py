@@ -11,12 +11,13 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from strata.plans.common import customer_daily
-from strata.plans.landing_q import CUTOFF, REPLAY_FROM
+from strata.plans import landing_q
+from strata.plans.landing_q import CDC_ROW, CUTOFF, REPLAY_FROM, change_events
 from strata.session import scratch_path
 from strata.sources import landing
 from strata.sources.layers import Layers
 from strata.sources.tables import Tables
-from strata.streaming.drain import drain
+from strata.streaming.drain import apply_change_stream, drain
 
 
 def envelopes(spark, sf):
@@ -56,6 +57,33 @@ def q_landing_drain(spark, sf):
     return layers.read("raw_events").select("source", "endpoint", "kafka_offset")
 
 
+def q_landing_drain_batches(spark, sf):
+    """The whole backlog, newest file first and one file per micro-batch."""
+    base = scratch_path(spark, "drain")
+    src = f"{base}/incoming"
+    layers = Layers(spark, f"{base}/tables", prefix=f"drainb_{uuid.uuid4().hex[:8]}_")
+    env = envelopes(spark, sf)
+    newer = F.col("loaded_at").cast("timestamp_ntz") >= F.lit(CUTOFF).cast("timestamp_ntz")
+    for part in (env.filter(newer), env.filter(~newer)):
+        landing.write_envelopes(part.coalesce(1), src)
+        drain(spark, src, layers, "raw_events", f"{base}/checkpoint", max_files_per_trigger=1)
+    return layers.read("raw_events").select("source", "endpoint", "kafka_offset")
+
+
+def q_cdc_stream_apply(spark, sf):
+    """Change events in two deliveries, the older one second and overlapping."""
+    base = scratch_path(spark, "cdc")
+    src = f"{base}/incoming"
+    layers = Layers(spark, f"{base}/tables", prefix=f"cdc_{uuid.uuid4().hex[:8]}_")
+    ev = Tables(spark, sf).events
+    for part in (ev.filter(F.col("ts") >= F.lit(REPLAY_FROM).cast("timestamp_ntz")),
+                 ev.filter(F.col("ts") < F.lit(CUTOFF).cast("timestamp_ntz"))):
+        change_events(spark, sf, part).select("value").write.mode("append").text(src)
+        stream = spark.readStream.schema("value string").text(src)
+        apply_change_stream(spark, stream, layers, "users", f"{base}/checkpoint", ["user_id"], "value", CDC_ROW)
+    return layers.read("users")
+
+
 def q_ref_reload(spark, sf):
     t = Tables(spark, sf)
     layers = Layers(spark, prefix=f"ref_{uuid.uuid4().hex[:8]}_")
@@ -102,6 +130,8 @@ def q_fact_view(spark, sf):
 QUERIES = {
     "landing_read": q_landing_read,
     "landing_drain": q_landing_drain,
+    "landing_drain_batches": q_landing_drain_batches,
+    "cdc_stream_apply": q_cdc_stream_apply,
     "ref_reload": q_ref_reload,
     "incremental_refresh": q_incremental_refresh,
     "fact_view": q_fact_view,
@@ -128,3 +158,6 @@ SELECT * FROM ({_DAILY.format(where="")}) b WHERE trade_date = DATE '{AS_OF_DAY}
     "fact_view": """SELECT CAST(o_orderdate AS DATE) AS trade_date, o_orderkey, o_custkey,
        CAST(o_totalprice AS DECIMAL(18,2)) AS total FROM orders WHERE o_orderstatus <> 'P'""",
 }
+# the smallest position wins, however the backlog is cut and ordered
+ORACLE["landing_drain_batches"] = ORACLE["landing_drain"]
+ORACLE["cdc_stream_apply"] = landing_q.ORACLE["cdc_apply"]

@@ -23,6 +23,15 @@ from strata.sources.layers import DEFAULT_KEY_BUCKETS, Layers
 MAX_FILES_PER_BATCH = 1000
 
 
+def _reject(layers: Layers, reject_table: str, bad: DataFrame, batch_id: int) -> None:
+    """Store a batch's rejects; a batch that is run again finds them there."""
+    bad = bad.withColumn("batch_id", F.lit(batch_id))
+    if not layers.exists(reject_table):
+        layers.full_refresh({reject_table: bad}, allow_empty=True)
+    elif layers.read(reject_table).filter(F.col("batch_id") == batch_id).isEmpty():
+        layers.append(reject_table, bad)
+
+
 def first_wins_batch(layers: Layers, table: str, keys: Sequence[str], order: Sequence[str],
                      reject_table: str | None = None, n_buckets: int = DEFAULT_KEY_BUCKETS):
     """A ``foreachBatch`` function appending first-wins rows to ``table``."""
@@ -30,14 +39,7 @@ def first_wins_batch(layers: Layers, table: str, keys: Sequence[str], order: Seq
         batch = batch.persist()  # read the micro-batch files once for both splits
         good = landing.accepted(batch).drop("file_name")
         if reject_table is not None:
-            bad = landing.rejected(batch).withColumn("batch_id", F.lit(batch_id))
-            if layers.exists(reject_table):
-                # a batch that is run again finds its rejects already there
-                done = layers.read(reject_table).filter(F.col("batch_id") == batch_id).limit(1).count()
-                if not done:
-                    layers.append(reject_table, bad)
-            else:
-                layers.full_refresh({reject_table: bad}, allow_empty=True)
+            _reject(layers, reject_table, landing.rejected(batch), batch_id)
         # first-wins = the smallest position per key, against the stored row
         # too: the winner does not depend on how the backlog is cut into batches
         first = loads.pick_one(good, list(keys), list(order), keep="first")
@@ -81,21 +83,47 @@ def drain(spark: SparkSession, source: str | DataFrame, layers: Layers, table: s
 
 def apply_change_stream(spark: SparkSession, stream: DataFrame, layers: Layers, table: str,
                         checkpoint: str, keys: Sequence[str], value_col: str, row_ddl: str,
-                        available_now: bool = True):
+                        available_now: bool = True, reject_table: str | None = None):
     """Change capture applied per micro-batch (S12): the batch's latest event
     per key is merged into the current state table (no MERGE on parquet):
     keys touched by the batch are replaced, deletes removed, and only the key
-    buckets the batch touches are rewritten (:meth:`Layers.merge`)."""
+    buckets the batch touches are rewritten (:meth:`Layers.merge`).
+
+    ``<table>_positions`` keeps the position of the newest event applied to each
+    key, deletes included, and ``<table>_truncated`` the newest truncate, so an
+    older event that arrives late, or again, changes nothing.  The state is
+    written before the positions: a batch that failed in between is applied once
+    more with the same result.  Messages that are no change events go to
+    ``reject_table`` (dropped without one)."""
     keys = list(keys)
+    positions, truncated = f"{table}_positions", f"{table}_truncated"
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        ch = loads.parse_changes(batch, value_col, row_ddl)
-        ev = ch.select(*[F.coalesce(F.col(f"after.{k}"), F.col(f"before.{k}")).alias(k) for k in keys],
-                       "op", F.col("source.lsn").alias("_pos"), "after")
-        last = loads.pick_one(ev, keys, ["_pos"], keep="last").checkpoint(eager=True)
-        live = last.filter(F.col("op") != "d").select("after.*")
-        gone = last.filter(F.col("op") == "d").select(*keys)
-        layers.merge(table, live, keys, remove=gone, materialized=True)  # ``last`` is checkpointed
+        ev, bad = loads.keyed_changes(batch, value_col, row_ddl, keys)
+        if reject_table is not None:
+            _reject(layers, reject_table, bad, batch_id)
+        ev = ev.checkpoint(eager=True)
+        before = layers.read(truncated).agg(F.max("pos")).first()[0] if layers.exists(truncated) else None
+        now = ev.filter("op = 't'").agg(F.max("_pos")).first()[0]
+        cleared = max((x for x in (before, now) if x is not None), default=None)
+        ev = ev.filter("op <> 't'")
+        if cleared is not None:
+            ev = ev.filter(F.col("_pos") > cleared)
+        last = loads.pick_one(ev, keys, ["_pos"], keep="last")
+        gone = None
+        if layers.exists(positions):
+            held = layers.read(positions)
+            last = (last.join(held.select(*keys, F.col("_pos").alias("_held")), keys, "left")
+                    .filter(F.col("_held").isNull() | (F.col("_pos") >= F.col("_held"))).drop("_held"))
+            if now is not None:  # the truncate removes every key of an earlier position
+                gone = held.filter(F.col("_pos") < cleared).select(*keys).checkpoint(eager=True)
+        last = last.checkpoint(eager=True)
+        live = last.filter("op <> 'd'").select("after.*")
+        dead = last.filter("op = 'd'").select(*keys)
+        layers.merge(table, live, keys, remove=dead if gone is None else dead.unionByName(gone), materialized=True)
+        layers.merge(positions, last.select(*keys, "_pos"), keys, remove=gone, materialized=True)
+        if now is not None and cleared != before:
+            layers.full_refresh({truncated: batch.sparkSession.range(1).select(F.lit(cleared).cast("bigint").alias("pos"))})
 
     w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")

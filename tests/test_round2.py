@@ -61,3 +61,29 @@ def test_merge_that_empties_its_buckets(spark, tmp_path):
     layers.merge("t", df, ["k"], n_buckets=4)
     layers.merge("t", df.limit(0), ["k"], remove=df.select("k"))
     assert layers.read("t").count() == 0
+
+
+def test_change_stream_keeps_positions(spark, tmp_path):
+    """Late events, a delete outrun by its update, a truncate and bad messages."""
+    import uuid
+    layers = Layers(spark, str(tmp_path / "wh"), f"r2c_{uuid.uuid4().hex[:8]}_")
+    src, ck = str(tmp_path / "in"), str(tmp_path / "ck")
+
+    def ev(op, lsn, key, name=None):
+        row = {"id": key, "name": name}
+        return json.dumps({"op": op, "source": {"lsn": lsn}, "before" if op == "d" else "after": row})
+
+    def deliver(*lines):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(src)
+        D.apply_change_stream(spark, spark.readStream.schema("value string").text(src), layers, "cust", ck, ["id"],
+                              "value", "id bigint, name string", reject_table="bad")
+        return sorted(map(tuple, layers.read("cust").collect()))
+
+    assert deliver(ev("c", 10, 1, "new"), ev("d", 9, 2), ev("c", 3, 3, "c")) == [(1, "new"), (3, "c")]
+    assert deliver(ev("u", 5, 1, "old"), ev("c", 8, 2, "gone"), ev("u", 3, 3, "c")) == [(1, "new"), (3, "c")]
+    bad = ["{broken", '{"op": "u", "source": {"lsn": 50}, "after": {"name": "no key"}}', '{"op": "c", "after": {"id": 8}}']
+    assert deliver(*bad) == [(1, "new"), (3, "c")]
+    assert sorted(r.value for r in layers.read("bad").collect()) == sorted(bad)
+    assert deliver('{"op": "t", "source": {"lsn": 20}}', ev("c", 21, 4, "after")) == [(4, "after")]
+    assert deliver(ev("u", 15, 1, "before the truncate"), ev("c", 30, 3, "again")) == [(3, "again"), (4, "after")]
+    assert deliver(ev("d", 31, 3), ev("d", 32, 4)) == []
