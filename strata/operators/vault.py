@@ -52,10 +52,13 @@ def extend_hub(hub: DataFrame, new_rows: DataFrame, business_key: str) -> DataFr
 
 
 def link_from_members(df: DataFrame, member_hks: Sequence[str], link_hk: str,
-                      record_source: str, load_dts=None) -> DataFrame:
+                      record_source: str, load_dts=None, distinct: bool = True) -> DataFrame:
     """Link rows from a frame that already carries the member hash keys:
-    link hash = md5 over the member hashes in order (V5, V6)."""
-    return (df.select(*member_hks).distinct()
+    link hash = md5 over the member hashes in order (V5, V6).  Callers whose
+    members are distinct already (by raw keys, which shuffle less than
+    hashes) pass ``distinct=False``: a projection."""
+    members = df.select(*member_hks)
+    return ((members.distinct() if distinct else members)
             .select(hash_concat(*member_hks).alias(link_hk), *member_hks,
                     *_meta(load_dts, record_source)))
 

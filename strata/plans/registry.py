@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["marts_q", "landing_q", "vault_q", "decode_q", "sinks_q", "quality_q"]
+_MODULES = ["marts_q", "landing_q", "vault_q", "decode_q", "sinks_q", "feed_q", "quality_q"]
 
 
 def _mods():

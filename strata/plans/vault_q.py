@@ -68,9 +68,10 @@ def q_link_join(spark, sf):
 
 
 def q_link_staged(spark, sf):
-    o = Tables(spark, sf).orders
+    # distinct on the two numbers, hashed afterwards
+    o = Tables(spark, sf).orders.select("o_orderkey", "o_custkey").distinct()
     staged = o.select(hash_key("o_orderkey").alias("order_hk"), hash_key("o_custkey").alias("customer_hk"))
-    return vault.link_from_members(staged, ["order_hk", "customer_hk"], "order_customer_hk", "ORDERS_STG")
+    return vault.link_from_members(staged, ["order_hk", "customer_hk"], "order_customer_hk", "ORDERS_STG", distinct=False)
 
 
 def sat_profile(stg):

@@ -17,10 +17,10 @@ shared folder named by ``spark.checkpoint.dir`` unless a root is given."""
 from __future__ import annotations
 
 import datetime as dt
-import re
 import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,8 @@ from strata.operators import loads
 from strata.session import scratch_path
 
 
+# Fixed value: folder name of the NULL partition.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 KEY_BUCKET = "key_bucket"
 BUCKETS_PROP = "strata.key_buckets"
 # A table-design choice, fixed when a keyed table is created: size it so a
@@ -43,6 +45,13 @@ def key_bucket(keys: Sequence[str], n: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).cast("int")
 
 
+def by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of one partition value together, for a write with few files per
+    folder.  A rebalance: AQE splits a hot value over several writers and
+    packs small ones, without a sampling pass over the input."""
+    return df.hint("rebalance", *[F.col(c) for c in columns])
+
+
 class EmptyInput(ValueError):
     """Raised when a full refresh would publish an empty table (T12)."""
 
@@ -107,10 +116,7 @@ class Layers:
             w = df.write.mode("errorifexists")
             parts = list(partition_by.get(name, ()))
             if parts:
-                # contiguous runs of partition values per task (few files per
-                # folder); the row hash lets a hot partition value span tasks
-                df = df.repartitionByRange(*parts, F.xxhash64(*df.columns))
-                w = df.write.mode("errorifexists").partitionBy(*parts)
+                w = by_partition(df, parts).write.mode("errorifexists").partitionBy(*parts)
             w.parquet(path)
             # emptiness is checked on the written version (footers only), so
             # the input plan runs once; nothing is switched if it is refused
@@ -128,12 +134,53 @@ class Layers:
             t = self.table(name)
             if not self.exists(name):
                 self._define(name, df, path, parts)
-            elif not parts:
-                self.spark.sql(f"ALTER TABLE {t} SET LOCATION '{path}'")
-            else:
+            elif self._same_layout(name, df, parts):
+                if parts:
+                    self._switch_partitions(name, path, df, parts)
+                else:
+                    self.spark.sql(f"ALTER TABLE {t} SET LOCATION '{path}'")
+            else:  # other columns: the entry has to be written anew
                 self.spark.sql(f"DROP TABLE {t}")  # external table: files stay
                 self._define(name, df, path, parts)
 
+    def _same_layout(self, name: str, df: DataFrame, parts: Sequence[str]) -> bool:
+        cur = self.read(name, layout=True)
+        if list(parts) != self.partition_columns(name):
+            return False
+        if KEY_BUCKET in parts and self._pending_buckets.get(name) != self.key_buckets(name):
+            return False
+        return {f.name: f.dataType for f in cur.schema} == {f.name: f.dataType for f in df.schema}
+
+    def _switch_partitions(self, name: str, path: str, df: DataFrame, parts: Sequence[str]) -> None:
+        """Point every partition at its subfolder of ``path`` and drop those
+        the new version lacks: the table exists throughout.  The partition
+        values (one small row each) are read from the folder names."""
+        t = self.table(name)
+
+        def listed():
+            return {r[0] for r in self.spark.sql(f"SHOW PARTITIONS {t}").collect()}
+
+        def spec(partition: str) -> str:
+            pairs = (x.split("=", 1) for x in partition.split("/"))
+            return ", ".join(f"{c} = {'NULL' if v == NULL_PARTITION else _sql_literal(unquote(v))}" for c, v in pairs)
+
+        old = listed()
+        # a scratch entry lists the new folder as the catalog spells it
+        scratch = f"{name}_v{uuid.uuid4().hex[:12]}"
+        if KEY_BUCKET in parts:
+            self._pending_buckets[scratch] = self._pending_buckets[name]
+        self._define(scratch, df, path, parts)
+        new = {r[0] for r in self.spark.sql(f"SHOW PARTITIONS {self.table(scratch)}").collect()}
+        self.spark.sql(f"DROP TABLE {self.table(scratch)}")  # external table: files stay
+        for p in sorted(new):
+            if p not in old:
+                self.spark.sql(f"ALTER TABLE {t} ADD IF NOT EXISTS PARTITION ({spec(p)}) LOCATION '{path}/{p}'")
+            else:
+                self.spark.sql(f"ALTER TABLE {t} PARTITION ({spec(p)}) SET LOCATION '{path}/{p}'")
+        for p in sorted(old - new):
+            self.spark.sql(f"ALTER TABLE {t} DROP IF EXISTS PARTITION ({spec(p)})")
+        self.spark.catalog.refreshTable(t)
+
     def replace_partition(self, name: str, df: DataFrame, column: str, value) -> None:
         """Static partition replace (S6, D9): the partition ``column = value``
         afterwards holds exactly ``df``'s rows for that value -- none if
@@ -159,22 +206,27 @@ class Layers:
         """Schema sync before a load (D11, ``sync_all_columns``): columns of
         ``df`` the table lacks are added (metadata only -- files written
         before read them as NULL); data columns ``df`` no longer has are
-        removed, which a parquet catalog table can only do by one rewrite of
-        the table without them (partitioning and key buckets kept)."""
+        removed and columns of another type are cast to ``df``'s, which a
+        parquet catalog table can only do by one rewrite of the table
+        (partitioning and key buckets kept).  A value that does not cast fails
+        the sync and leaves the table as it was."""
         t = self.table(name)
         cur = self.read(name, layout=True)
         parts = self.partition_columns(name)
         added = [f for f in df.schema.fields if f.name not in cur.columns]
         removed = [c for c in cur.columns if c not in df.columns and c not in parts]
+        kinds = {f.name: f.dataType for f in df.schema.fields}
+        retyped = {f.name: F.col(f.name).cast(kinds[f.name]) for f in cur.schema.fields
+                   if f.name not in parts and kinds.get(f.name, f.dataType) != f.dataType}
         if added:
             ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
             self.spark.sql(f"ALTER TABLE {t} ADD COLUMNS ({ddl})")
-        if removed:
+        if removed or retyped:
             if KEY_BUCKET in parts:
                 self._pending_buckets[name] = self.key_buckets(name)
             # the new version is computed from the current one: cut the
             # lineage (shared checkpoint folder) before the switch
-            kept = self.read(name, layout=True).drop(*removed).checkpoint(eager=True)
+            kept = self.read(name, layout=True).drop(*removed).withColumns(retyped).checkpoint(eager=True)
             self.full_refresh({name: kept}, partition_by={name: parts}, allow_empty=True)
 
     def refresh_day(self, name: str, df: DataFrame, date_col: str, day: str, grain: str = "month",
@@ -286,10 +338,9 @@ class Layers:
         kept = cur.filter(F.col(KEY_BUCKET).isin(buckets)).join(touched_keys, keys, "left_anti")
         fresh = kept.unionByName(rows.withColumn(KEY_BUCKET, bucket).select(*cur.columns))
         path = self._new_path(name)
-        (fresh.repartitionByRange(KEY_BUCKET, F.xxhash64(*fresh.columns))
-         .write.mode("errorifexists").partitionBy(KEY_BUCKET).parquet(path))
-        written = {int(m.group(1)) for f in self.spark.read.schema(fresh.schema).parquet(path).inputFiles()
-                   if (m := re.search(rf"/{KEY_BUCKET}=(\d+)/", f))}
+        by_partition(fresh, [KEY_BUCKET]).write.mode("errorifexists").partitionBy(KEY_BUCKET).parquet(path)
+        # the buckets that got rows: at most n_buckets values, from the layout column alone
+        written = {r[0] for r in self.spark.read.schema(fresh.schema).parquet(path).select(KEY_BUCKET).distinct().collect()}
         t = self.table(name)
         for b in buckets:
             spec = f"PARTITION ({KEY_BUCKET} = {b})"
@@ -330,5 +381,5 @@ class Layers:
         rows = rows.checkpoint(eager=True).select(*cur.columns)
         if keyed:
             # one writer per bucket (a hot bucket may span tasks): few files
-            rows = rows.repartitionByRange(KEY_BUCKET, F.xxhash64(*rows.columns))
+            rows = by_partition(rows, [KEY_BUCKET])
         rows.write.insertInto(self.table(name))

@@ -87,3 +87,53 @@ def test_change_stream_keeps_positions(spark, tmp_path):
     assert deliver('{"op": "t", "source": {"lsn": 20}}', ev("c", 21, 4, "after")) == [(4, "after")]
     assert deliver(ev("u", 15, 1, "before the truncate"), ev("c", 30, 3, "again")) == [(3, "again"), (4, "after")]
     assert deliver(ev("d", 31, 3), ev("d", 32, 4)) == []
+
+
+def test_partitioned_refresh_never_drops_the_table(spark, tmp_path, monkeypatch):
+    """A second version replaces, adds and empties partitions; the entry stays."""
+    import uuid
+    layers = Layers(spark, str(tmp_path / "wh"), f"r2p_{uuid.uuid4().hex[:8]}_")
+
+    def publish(rows):
+        layers.full_refresh({"t": spark.createDataFrame(rows, "v string, p string")}, partition_by={"t": ["p"]})
+        return sorted((r.v, r.p) for r in layers.read("t").collect())
+
+    assert publish([("a", "x/1"), ("b", "y"), ("n", None)]) == sorted([("a", "x/1"), ("b", "y"), ("n", None)], key=str)
+    monkeypatch.setattr(layers, "_define", lambda name, *a, _f=layers._define: _f(name, *a) if name != "t" else 1 / 0)
+    assert publish([("c", "y"), ("d", "z z")]) == [("c", "y"), ("d", "z z")]
+
+
+def test_refresh_with_a_map_column(spark, tmp_path):
+    import uuid
+    layers = Layers(spark, str(tmp_path / "wh"), f"r2m_{uuid.uuid4().hex[:8]}_")
+    df = spark.createDataFrame([(1, {"a": "b"}), (2, None)], "k int, m map<string,string>")
+    layers.merge("t", df, ["k"], n_buckets=4)
+    layers.merge("t", df.filter("k = 2"), ["k"])
+    layers.insert_if_absent("t", df.selectExpr("k + 1 AS k", "m"), ["k"])
+    assert sorted(r.k for r in layers.read("t").collect()) == [1, 2, 3]
+
+
+def test_sync_columns_casts_a_changed_type(spark, tmp_path):
+    import uuid
+    import pytest
+    layers = Layers(spark, str(tmp_path / "wh"), f"r2s_{uuid.uuid4().hex[:8]}_")
+    layers.full_refresh({"t": spark.createDataFrame([(1, "5"), (2, "x")], "k int, v string")})
+    layers.sync_columns("t", spark.createDataFrame([], "k bigint, v string"))
+    assert dict(layers.read("t").dtypes) == {"k": "bigint", "v": "string"}
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        layers.sync_columns("t", spark.createDataFrame([], "k bigint, v int"))
+    assert sorted(map(tuple, layers.read("t").collect())) == [(1, "5"), (2, "x")]
+
+
+def test_interval_join_with_one_fact_far_in_the_future(spark):
+    from pyspark.sql import functions as F
+
+    from strata.operators import history
+    facts = spark.createDataFrame([(1, "2024-01-05"), (1, "2999-06-01"), (2, "2024-02-01"), (3, None)],
+                                  "k int, d string").withColumn("d", F.to_date("d"))
+    dim = spark.createDataFrame([(1, "2024-01-01", "2024-01-31", "a"), (1, "2024-02-01", None, "b"),
+                                 (2, "2024-01-20", None, "c")], "k int, f string, t string, v string").select(
+        "k", F.to_date("f").alias("valid_from"), F.to_date("t").alias("valid_to"), "v")
+    j = history.interval_join(facts, dim, ["k"], "d")
+    assert sorted((r.k, str(r.d), r.v) for r in j.collect()) == [
+        (1, "2024-01-05", "a"), (1, "2999-06-01", "b"), (2, "2024-02-01", "c"), (3, "None", None)]
