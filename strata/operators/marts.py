@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import pct_change  # noqa: F401  (re-exported)
-from strata.operators.keyed import latest
 
 
 def _cols(cols) -> list[Column]:
@@ -27,13 +26,6 @@ def with_previous(df: DataFrame, keys: Sequence, order: Sequence, value: str,
     return df.withColumn(prev_name, F.lag(value).over(w))
 
 
-def movers(df: DataFrame, keys: Sequence, order: Sequence, value: str,
-           prev_name: str = "prev_value", out: str = "pct_change", scale: int = 4) -> DataFrame:
-    """Previous value plus the V8 percent change."""
-    return (with_previous(df, keys, order, value, prev_name)
-            .withColumn(out, pct_change(value, prev_name, scale)))
-
-
 def top_n(df: DataFrame, by: Sequence, n: int) -> DataFrame:
     """Top-N report: ``orderBy(..).limit(n)`` plans as TakeOrderedAndProject,
     a per-partition heap of n rows merged on one task -- no full sort."""
@@ -115,7 +107,3 @@ def layer_counts(tables: Mapping[str, DataFrame], layer: str = "layer") -> DataF
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-def latest_profile(sat: DataFrame, keys: Sequence, load_col: str, tiebreak: Sequence = ()) -> DataFrame:
-    return latest(sat, keys, [load_col, *tiebreak])
