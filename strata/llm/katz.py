@@ -2,14 +2,17 @@
 
 Counts are Good-Turing discounted up to 5; the mass taken from a context's
 followers is spread over all other words by exactly normalised backoff
-weights.  Unigrams: the most frequent words have estimates of their own, all
-rarer words and one unknown word share the rest of the mass equally.
+weights.  Unigrams: every training word has an estimate of its own, the unknown
+word has the mass taken by discounting.
 
 The bigram occurrences are dealt to partitions by their context (contexts that
 would crowd a partition: by the whole bigram) as packed, sorted arrays; these
-partitions are the model's tables.  Counting, backoff weights and the scores of
-all documents are taken from them where they lie; only count-of-count sums and
-the crowded contexts' sums, both bounded, pass through the driver."""
+partitions are the model's tables.  The counts of the most frequent words are
+broadcast; those of the other words of a partition are joined from the table of
+all counts and lie beside it.  Counting, backoff weights and the scores of all
+documents are taken from the partitions where they lie; only the broadcast head,
+count-of-count sums and the crowded contexts' sums, all bounded, pass through
+the driver."""
 
 from __future__ import annotations
 
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import crc_mod, lower_bytes, mix64, prepare, saved, table, word_hashes, words
 
-#: Words with a unigram estimate of their own (most frequent first); broadcast.
+#: Words (most frequent first) whose counts are broadcast; the others' are joined.
 HEAD = 500_000
 #: Largest count that is discounted.
 DISCOUNTED = 5
@@ -88,19 +91,21 @@ def discounts(n: list[int]) -> list[float]:
 
 
 class Unigrams:
-    """The head of the unigram table, by word; broadcast to the tasks."""
+    """The unigram estimates, and the head of the table of counts by word;
+    broadcast to the tasks."""
 
-    def __init__(self, w: np.ndarray, c: np.ndarray, total: int, types: int, n: list[int]):
+    def __init__(self, w: np.ndarray, c: np.ndarray, total: int, n: list[int]):
         order = np.argsort(w)
-        self.w, self.c, self.total, self.types = w[order], c[order], total, types
-        d = np.array(discounts(n))
-        p = d[np.where(self.c <= DISCOUNTED, self.c, 0)] * self.c / max(1, total)
-        rest, least = 1 - p.sum(), 1 / (total + 2)
+        self.w, self.c, self.total, self.d = w[order], c[order], max(1, total), np.array(discounts(n))
+        taken = sum((1 - self.d[r]) * r * n[r] for r in range(1, DISCOUNTED + 1))
+        rest, least, self.scale = taken / total if total else 1.0, 1 / (total + 2), 1.0
         if rest < least:  # nothing discounted: keep mass for the unknown word
-            p, rest = p * (1 - least) / max(p.sum(), 1e-300), least
-        self.p = p
-        self.rare = rest / (types - len(w) + 1)
-        self.log = np.log10(np.append(np.maximum(p, 1e-300), self.rare))  # last: any word outside the head
+            self.scale, rest = (1 - least) / (1 - rest), least
+        self.unknown = rest
+
+    def p(self, c: np.ndarray) -> np.ndarray:
+        """Estimate of words seen ``c`` times; 0: the unknown word."""
+        return np.where(c > 0, self.d[np.where(c <= DISCOUNTED, c, 0)] * c * self.scale / self.total, self.unknown)
 
     def ids(self, tok: np.ndarray) -> np.ndarray:
         """Place in the head, or the word itself with the top bit set."""
@@ -109,8 +114,15 @@ class Unigrams:
         at = np.minimum(np.searchsorted(self.w, tok), len(self.w) - 1)
         return np.where(self.w[at] == tok, at.astype(np.uint64), tok | _RARE)
 
-    def place(self, ids: np.ndarray) -> np.ndarray:
-        return np.where(ids >= _RARE, np.uint64(len(self.w)), ids).astype(np.int64)
+    def counts(self, ids: np.ndarray, w: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """Training counts: in the head, or of the words ``w`` (sorted) given."""
+        rare, out = ids >= _RARE, np.zeros(len(ids), np.int64)
+        out[~rare] = self.c[ids[~rare].astype(np.int64)]
+        if len(w) and rare.any():
+            tok = ids[rare] ^ _RARE
+            at = np.minimum(np.searchsorted(w, tok), len(w) - 1)
+            out[rare] = np.where(w[at] == tok, c[at], 0)
+        return out
 
 
 def _pack(h: np.ndarray, w: np.ndarray, doc: np.ndarray) -> bytes:
@@ -173,49 +185,58 @@ def _dealt(docs: DataFrame, shared, parts: int) -> DataFrame:
     return docs.select("uid", "held_out", "text").mapInArrow(run, _BLOCK[0])
 
 
-def _partitions(batches):
-    """Per partition of the model: bigrams (h, w), sorted, with their training
+def _rare_words(batches):
+    """(part, w): the words outside the head in each partition of the model."""
+    out = pa.schema([("part", pa.int32()), ("w", pa.int64())])
+
+    def flush(part, words_):
+        w = np.unique(np.concatenate(words_))
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(w), part, np.int32)), pa.array(w.view(np.int64))], schema=out)
+
+    got, part = [], None
+    for b in batches:  # sorted by partition
+        for p, n, data in zip(*(b.column(i).to_pylist() for i in (0, 1, 4))):
+            if got and p != part:
+                yield flush(part, got)
+                got = []
+            part, w = p, _unpack(data, n)[1]
+            got.append(np.unique(w[w >= _RARE]) ^ _RARE)
+    if got:
+        yield flush(part, got)
+
+
+def _built(blocks: pa.Table):
+    """A partition of the model: bigrams (h, w), sorted, with their training
     counts; for each occurrence its bigram and text; the texts' numbers."""
-    def blocks():
-        for b in batches:
-            for row in b.to_pylist():
-                yield row
-
-    def build(rows):
-        h, w, uid, train = [], [], [], []
-        for r in rows:
-            a, b, doc = _unpack(r["data"], r["n"])
-            h.append(a)
-            w.append(b)
-            uid.append(np.frombuffer(r["uids"], np.int64)[doc])
-            train.append(np.frombuffer(r["train"], bool)[doc])
-        h, w, uid, train = (np.concatenate(x) for x in (h, w, uid, train))
-        order = np.lexsort((w, h))
-        h, w, uid, train = h[order], w[order], uid[order], train[order]
-        new = np.concatenate([[True], (h[1:] != h[:-1]) | (w[1:] != w[:-1])])
-        of = np.cumsum(new) - 1
-        first = np.flatnonzero(new)
-        return h[first], w[first], np.add.reduceat(train.astype(np.int64), first), of, uid
-
-    rows, part = [], None
-    for r in blocks():  # sorted by partition
-        if rows and r["part"] != part:
-            yield build(rows)
-            rows = []
-        part = r["part"]
-        rows.append(r)
-    if rows:
-        yield build(rows)
-
-
-def _context_sums(h, w, c, uni: Unigrams):
+    h, w, uid, train = [], [], [], []
+    for n, uids, trains, data in zip(*(blocks.column(x) for x in ("n", "uids", "train", "data"))):
+        a, b, doc = _unpack(data.as_buffer(), n.as_py())
+        h.append(a)
+        w.append(b)
+        uid.append(np.frombuffer(uids.as_buffer(), np.int64)[doc])
+        train.append(np.frombuffer(trains.as_buffer(), bool)[doc])
+    h, w, uid, train = (np.concatenate(x) for x in (h, w, uid, train))
+    order = np.lexsort((w, h))
+    h, w, uid, train = h[order], w[order], uid[order], train[order]
+    new = np.concatenate([[True], (h[1:] != h[:-1]) | (w[1:] != w[:-1])])
+    of = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    return h[first], w[first], np.add.reduceat(train.astype(np.int64), first), of, uid
+
+
+def _word_counts(w, known: pa.Table, uni: Unigrams):
+    """The words' own training counts, from the head and the table beside."""
+    rare, c = known["w"].to_numpy().view(np.uint64), known["c"].to_numpy()
+    order = np.argsort(rare)
+    return uni.counts(w, rare[order], c[order])
+
+
+def _context_sums(h, c, p):
     """Per context: (context, its count, numbers of followers seen 1..5 times,
     unigram mass of the seen followers, start of its bigrams)."""
     first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-    seen = c > 0
-    p = np.where(uni.place(w) < len(uni.w), np.append(uni.p, 0)[uni.place(w)], uni.rare)
     by_count = [np.add.reduceat((c == r).astype(np.int64), first) for r in range(1, DISCOUNTED + 1)]
-    return h[first], np.add.reduceat(c, first), by_count, np.add.reduceat(np.where(seen, p, 0.0), first), first
+    return h[first], np.add.reduceat(c, first), by_count, np.add.reduceat(np.where(c > 0, p, 0.0), first), first
 
 
 def _weights(total, by_count, mass, d):
@@ -246,62 +267,52 @@ def katz_scores(docs: DataFrame, head: int = HEAD) -> DataFrame:
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("N"), F.count("*").alias("V"),
                       *[F.count(F.when(F.col("c") == r, 1)).alias(f"n{r}") for r in range(1, DISCOUNTED + 2)]).first()
     top = counts.orderBy(F.desc("c"), "w").limit(head).toArrow()  # at most ``head`` rows
-    uni = Unigrams(top["w"].to_numpy().view(np.uint64), top["c"].to_numpy(), sums.N, sums.V,
+    uni = Unigrams(top["w"].to_numpy().view(np.uint64), top["c"].to_numpy(), sums.N,
                    [0, *[sums[f"n{r}"] for r in range(1, DISCOUNTED + 2)]])
     # contexts with more than a quarter of a partition's share; the start mark too
     crowded = np.unique(np.append(uni.ids(uni.w[uni.c * 4 * parts > max(1, sums.N)]), uni.ids(np.array([_START, _END]))))
     shared = spark.sparkContext.broadcast((uni, crowded))
     unit = sums.N + 0.5 * (sums.V + 1)
 
-    # words: the head's in place, the others by a join with their counts
-    wide = pa.schema([("uid", pa.int64()), ("w", pa.int64()), ("k", pa.int64()), ("known", pa.int64()),
-                      ("base", pa.float64()), ("low", pa.float64())])
+    # words: the head's in place, the others with their partition of the model
+    wide = pa.schema([("uid", pa.int64()), ("k", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("low", pa.float64())])
 
     def by_word(batches):
         u = shared.value[0]
-        table_ = np.log10((np.append(u.c, 0) + 0.5) / unit)
+        log, table_ = np.log10(u.p(u.c)), np.log10((u.c + 0.5) / unit)
         for b in batches:
             uids, out = b.column(0).to_numpy(), [[] for _ in wide]
             for first, tok, _, doc in _tokens(b.column(1).to_pylist()):
                 ids = u.ids(tok)
-                at, size = u.place(ids), int(doc[-1]) + 1
-                inside = at < len(u.w)
-                mine = uids[first:first + size]
-                low = np.bincount(doc, u.log[at], size)
-                base = np.bincount(doc[inside], table_[at[inside]], size)
-                known = np.bincount(doc[inside], minlength=size)
-                rare = np.flatnonzero(~inside)
-                for o, v in zip(out, (mine, np.zeros(size, np.int64), np.bincount(doc, minlength=size), known, base, low)):
+                inside, size = ids < _RARE, int(doc[-1]) + 1
+                at, of = ids[inside].astype(np.int64), doc[inside]
+                for o, v in zip(out, (uids[first:first + size], np.bincount(doc, minlength=size), np.bincount(of, minlength=size),
+                                      np.bincount(of, table_[at], size), np.bincount(of, log[at], size))):
                     o.append(v)
-                if len(rare):  # w = 0 marks the row of the text itself
-                    for o, v in zip(out, (mine[doc[rare]], tok[rare].view(np.int64), np.ones(len(rare), np.int64),
-                                          np.zeros(len(rare), np.int64), np.zeros(len(rare)), np.zeros(len(rare)))):
-                        o.append(v)
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o), f.type) for o, f in zip(out, wide)], schema=wide)
 
-    worded = rows.select("uid", "text").mapInArrow(by_word, "uid long, w long, k long, known long, base double, low double")
-    whole = worded.where("w = 0").select("uid", "k", "known", "base", "low")
-    rare = (worded.where("w <> 0").select("uid", "w").join(counts, "w", "left")
-            .select("uid", F.lit(0).cast("long").alias("k"), F.when(F.col("c") > 0, 1).otherwise(0).cast("long").alias("known"),
-                    F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(unit)).alias("base"), F.lit(0.0).alias("low")))
+    worded = rows.select("uid", "text").mapInArrow(by_word, "uid long, k long, known long, base double, low double")
 
     dealt = _dealt(rows, shared, parts).repartition(parts, "part").sortWithinPartitions("part").persist(StorageLevel.MEMORY_AND_DISK)
+    beside = (dealt.mapInArrow(_rare_words, "part int, w long").join(counts, "w").select("part", "w", "c")
+              .repartition(parts, "part").sortWithinPartitions("part").persist(StorageLevel.DISK_ONLY))
+    model = dealt.groupBy("part").cogroup(beside.groupBy("part"))  # both lie by partition already
     stat = pa.schema([("h", pa.int64()), ("total", pa.int64()), *[(f"n{r}", pa.int64()) for r in range(1, DISCOUNTED + 2)],
                       ("mass", pa.float64())])
 
-    def measure(batches):
+    def measure(blocks, known):
         u, crowded = shared.value
-        for h, w, c, _, _ in _partitions(batches):
-            ctx, total, by_count, mass, _ = _context_sums(h, w, c, u)
-            hot = np.isin(ctx, crowded)
-            every = [np.array([-1]), np.array([0]), *[np.array([(c == r).sum()]) for r in range(1, DISCOUNTED + 2)], np.array([0.0])]
-            zero = np.zeros(int(hot.sum()), np.int64)
-            some = [ctx[hot].view(np.int64), total[hot], *[x[hot] for x in by_count], zero, mass[hot]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), f.type) for x, f in zip(zip(every, some), stat)], schema=stat)
+        h, w, c, _, _ = _built(blocks)
+        ctx, total, by_count, mass, _ = _context_sums(h, c, u.p(_word_counts(w, known, u)))
+        hot = np.isin(ctx, crowded)
+        every = [np.array([-1]), np.array([0]), *[np.array([(c == r).sum()]) for r in range(1, DISCOUNTED + 2)], np.array([0.0])]
+        zero = np.zeros(int(hot.sum()), np.int64)
+        some = [ctx[hot].view(np.int64), total[hot], *[x[hot] for x in by_count], zero, mass[hot]]
+        return pa.Table.from_arrays([pa.array(np.concatenate(x), f.type) for x, f in zip(zip(every, some), stat)], schema=stat)
 
     names = [f.name for f in stat]
-    measured = (dealt.mapInArrow(measure, ", ".join(f"{f.name} {'double' if f.name == 'mass' else 'long'}" for f in stat))
+    measured = (model.applyInArrow(measure, ", ".join(f"{f.name} {'double' if f.name == 'mass' else 'long'}" for f in stat))
                 .groupBy("h").agg(*[F.sum(x).alias(x) for x in names[1:]]).collect())  # one row per crowded context
     every = next((r for r in measured if r.h == -1), None)
     d = discounts([0, *[every[f"n{r}"] if every else 0 for r in range(1, DISCOUNTED + 2)]])
@@ -310,52 +321,54 @@ def katz_scores(docs: DataFrame, head: int = HEAD) -> DataFrame:
     hot_total = np.array([r.total for r in hot], np.int64)
     hot_alpha, hot_factor = _weights(hot_total, [np.array([r[f"n{i}"] for r in hot]) for i in range(1, DISCOUNTED + 1)],
                                      np.array([r.mass for r in hot], float), d)
-    scored = pa.schema([("bucket", pa.int32()), ("uids", pa.binary()), ("sums", pa.binary())])
+    scored = pa.schema([("bucket", pa.int32()), *[(x, pa.binary()) for x in ("uids", "known", "base", "sums")]])
 
-    def score(batches):
-        """What bigrams and backoff weights add to the unigram score."""
+    def score(blocks, beside_):
+        """What bigrams and backoff weights add to the score of the head's
+        words, and all of the other words."""
         u, _ = shared.value
         disc = np.array(d)
-        for h, w, c, of, uid in _partitions(batches):
-            ctx, total, by_count, mass, first = _context_sums(h, w, c, u)
-            alpha, factor = _weights(total, by_count, mass, d)
-            if len(hot_h):
-                at = np.minimum(np.searchsorted(hot_h, ctx), len(hot_h) - 1)
-                is_hot = hot_h[at] == ctx
-                total, alpha, factor = (np.where(is_hot, x[at], y) for x, y in (
-                    (hot_total, total), (hot_alpha, alpha), (hot_factor, factor)))
-            spread = np.diff(np.append(first, len(h)))
-            total, alpha, factor = (np.repeat(x, spread) for x in (total, alpha, factor))
-            with np.errstate(divide="ignore", invalid="ignore"):
-                seen = np.log10(disc[np.where(c <= DISCOUNTED, c, 0)] * c * factor / total) - u.log[u.place(w)]
-                add = np.where(c > 0, seen, np.log10(alpha))[of]
-            texts, place = np.unique(uid, return_inverse=True)
-            sums = np.bincount(place, add)
-            bucket = (mix64(texts.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            cut = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=parts))
-            pieces = [order[i:j] for i, j in zip(cut[:-1].tolist(), cut[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array([int(bucket[o[0]]) for o in pieces], pa.int32()),
-                                              pa.array([texts[o].tobytes() for o in pieces], pa.binary()),
-                                              pa.array([sums[o].tobytes() for o in pieces], pa.binary())], schema=scored)
-
-    added = pa.schema([("uid", pa.int64()), ("high", pa.float64())])
+        h, w, c, of, uid = _built(blocks)
+        own = _word_counts(w, beside_, u)
+        p, rare = u.p(own), w >= _RARE
+        ctx, total, by_count, mass, first = _context_sums(h, c, p)
+        alpha, factor = _weights(total, by_count, mass, d)
+        if len(hot_h):
+            at = np.minimum(np.searchsorted(hot_h, ctx), len(hot_h) - 1)
+            is_hot = hot_h[at] == ctx
+            total, alpha, factor = (np.where(is_hot, x[at], y) for x, y in (
+                (hot_total, total), (hot_alpha, alpha), (hot_factor, factor)))
+        spread = np.diff(np.append(first, len(h)))
+        total, alpha, factor = (np.repeat(x, spread) for x in (total, alpha, factor))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            seen = np.log10(disc[np.where(c <= DISCOUNTED, c, 0)] * c * factor / total)
+            add = np.where(c > 0, seen, np.log10(alpha) + np.log10(p)) - np.where(rare, 0.0, np.log10(p))
+        base = np.where(rare, np.log10((own + 0.5) / unit), 0.0)
+        texts, place = np.unique(uid, return_inverse=True)
+        sums = (np.bincount(place, (rare & (own > 0))[of]).astype(np.int32), np.bincount(place, base[of]), np.bincount(place, add[of]))
+        bucket = (mix64(texts.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        cut = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=parts))
+        pieces = [order[i:j] for i, j in zip(cut[:-1].tolist(), cut[1:].tolist())]
+        return pa.Table.from_arrays([pa.array([int(bucket[o[0]]) for o in pieces], pa.int32()),
+                                     *[pa.array([x[o].tobytes() for o in pieces], pa.binary()) for x in (texts, *sums)]], schema=scored)
 
     def gather(batches):
-        """One sum per text from the packed sums of the model's partitions."""
-        uid, sums = [], []
+        """One row per text from the packed sums of the model's partitions."""
+        got = [[], [], [], []]
         for b in batches:
-            uid += [np.frombuffer(x, np.int64) for x in b.column(1).to_pylist()]
-            sums += [np.frombuffer(x, np.float64) for x in b.column(2).to_pylist()]
-        if uid:
-            texts, place = np.unique(np.concatenate(uid), return_inverse=True)
-            yield pa.RecordBatch.from_arrays([pa.array(texts), pa.array(np.bincount(place, np.concatenate(sums)))], schema=added)
-
-    zero_l, zero_d = F.lit(0).cast("long"), F.lit(0.0)
-    grams = dealt.mapInArrow(score, "bucket int, uids binary, sums binary").repartition(parts, "bucket").mapInArrow(
-        gather, "uid long, high double").select(
-        "uid", zero_l.alias("k"), zero_l.alias("known"), zero_d.alias("base"), F.col("high").alias("low"))
-    total = whole.union(rare).union(grams).groupBy("uid").agg(
+            for i, (x, kind) in enumerate(zip(got, (np.int64, np.int32, np.float64, np.float64))):
+                x += [np.frombuffer(y, kind) for y in b.column(i + 1).to_pylist()]
+        if got[0]:
+            uid, *sums = (np.concatenate(x) for x in got)
+            texts, place = np.unique(uid, return_inverse=True)
+            known, base, low = (np.bincount(place, x) for x in sums)
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(
+                (texts, np.zeros(len(texts), np.int64), known.astype(np.int64), base, low), wide)], schema=wide)
+
+    grams = (model.applyInArrow(score, "bucket int, uids binary, known binary, base binary, sums binary")
+             .repartition(parts, "bucket").mapInArrow(gather, "uid long, k long, known long, base double, low double"))
+    total = worded.union(grams).groupBy("uid").agg(
         F.sum("k").alias("n_tokens"), F.sum("known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("low").alias("score"))
     return rows.select("uid", "doc_id", "held_out").join(total, "uid").select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(sums.N).cast("long").alias("train_tokens"), "base_score", "score")

@@ -208,6 +208,13 @@ def test_katz_is_normalised(docs, rows):
     assert sorted(want) == sorted((r.doc_id if r.doc_id is not None else -1, r.n_tokens, round(r.score, 5)) for r in got)
 
 
+def test_katz_does_not_depend_on_the_broadcast_head(docs):
+    cols = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens")
+    got = [sorted((*[-1 if r[c] is None else r[c] for c in cols], round(r.base_score, 6), round(r.score, 6))
+                  for r in katz.katz_scores(docs, head=n).collect()) for n in (0, 5, katz.HEAD)]
+    assert got[0] == got[1] == got[2]
+
+
 def test_language_and_toxicity_learn(spark):
     rng = random.Random(2)
     en, fr = ["the", "house", "tion", "and", "would", "like"], ["été", "maison", "que", "voudrait", "comme", "le"]
