@@ -22,11 +22,9 @@ from .common import arrow_rows, crc_mod, prepare, saved, table
 
 #: Labelled rows of each class that the model is learned from (expected number).
 SAMPLE_PER_CLASS = 6_000
-#: Lexicon entries kept, and candidates counted for it.
-LEXICON, CANDIDATES = 2_000, 20_000
-#: A term must stand in so many toxic sample rows (and in such a share of them:
-#: copies of one text make no lexicon), and so many times likelier.
-MIN_ROWS, MIN_SHARE, MIN_LIFT = 5, 0.03, 8.0
+#: An entry must stand in so many distinct toxic sample texts, be so many times
+#: likelier there, and more than chance gives any of the items tested.
+MIN_ROWS, MIN_LIFT = 5, 8.0
 STEM_MIN, STEM_MAX = 4, 7
 #: Shorter terms must match exactly.
 FUZZY_FROM = 5
@@ -158,31 +156,34 @@ def _entries(text: str) -> set[str]:
     return out
 
 
-def _tally(rows: DataFrame, only=None) -> DataFrame:
+def _tally(rows: DataFrame) -> DataFrame:
+    """(item, pos, neg): the numbers of toxic and clean texts with the item."""
     def count(cols):
-        c: Counter = Counter()
-        for t in cols[0]:
-            found = _entries(t)
-            c.update(found & only.value if only is not None else found)
-        return list(c), list(c.values())
+        c: tuple = (Counter(), Counter())
+        for t, toxic in zip(*cols):
+            c[toxic].update(_entries(t))
+        items = list(c[0].keys() | c[1].keys())
+        return items, [c[1][x] for x in items], [c[0][x] for x in items]
 
-    return (arrow_rows(rows.select("text"), count, "item string, n long",
-                       pa.schema([("item", pa.string()), ("n", pa.int64())]))
-            .groupBy("item").agg(F.sum("n").alias("n")))
+    return (arrow_rows(rows.select("text", "toxic"), count, "item string, pos long, neg long",
+                       pa.schema([("item", pa.string()), ("pos", pa.int64()), ("neg", pa.int64())]))
+            .groupBy("item").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
 
 
 def learn_lexicon(sample: DataFrame, n_pos: int, n_neg: int) -> Lexicon:
-    spark = sample.sparkSession
-    least = max(MIN_ROWS, MIN_SHARE * n_pos)
-    pos = {r.item: r.n for r in _tally(sample.where("toxic = 1")).where(F.col("n") >= least)
-           .orderBy(F.desc("n"), "item").limit(CANDIDATES).collect()}
-    neg = {r.item: r.n for r in _tally(sample.where("toxic = 0"), spark.sparkContext.broadcast(set(pos))).collect()}
-    good = {}
-    for item, n in pos.items():
-        lift = (n / max(1, n_pos)) / ((neg.get(item, 0) + 0.5) / max(1, n_neg))
-        if lift >= MIN_LIFT:
-            good[item] = n * np.log(lift)
-    best = sorted(good, key=lambda x: (-good[x], x))[:LEXICON]
+    """From distinct texts.  An item's texts fall among the toxic ones by chance
+    with probability ``q`` each; by Chernoff's bound the chance of a share as
+    high as the one seen is exp(-evidence), and less than one of all the items
+    tested may be expected to pass."""
+    tested = saved(_tally(sample).where(F.col("pos") >= MIN_ROWS), "toxicity-items")
+    n, q = tested.count(), n_pos / max(1, n_pos + n_neg)
+    pos_, neg_ = F.col("pos"), F.col("neg")
+    share = pos_ / (pos_ + neg_)
+    lift = (pos_ / max(1, n_pos)) / ((neg_ + 0.5) / max(1, n_neg))
+    evidence = pos_ * F.log(share / q) + F.when(neg_ > 0, neg_ * F.log((1 - share) / (1 - q))).otherwise(0.0)
+    good = tested.where((lift >= MIN_LIFT) & (evidence > float(np.log(max(1, n)))))
+    pos = {r.item: r.pos for r in good.collect()}  # bounded by the sample
+    best = sorted(pos)
     terms = [x[1:] for x in best if x[0] == "="]
     stems: list[str] = []
     top = {}

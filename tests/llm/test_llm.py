@@ -235,6 +235,18 @@ def test_language_and_toxicity_learn(spark):
     assert [r.predicted for r in toxicity.toxicity(test, *fitted).collect()][1:] == [0, 0]
 
 
+def test_toxicity_learns_a_wide_lexicon_of_rare_terms(spark):
+    rng = random.Random(3)
+    words = ["the", "house", "tion", "and", "would", "like", "été", "maison", "que", "voudrait", "comme", "le"]
+    slurs = [f"{a}{b}{c}rk" for a in "bdgkz" for b in "aeiou" for c in "lm"]  # each in 2 % of the toxic texts
+    data = [(i, f"{_text(rng, 20, words)} n{i} " + (slurs[i // 2 % 50] if i % 2 else "")) for i in range(3000)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in data], "doc_id long, toxic int")
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    lex, weights = toxicity.fit(docs, labels)
+    assert all(lex.match(x) == 1 for x in slurs) and not any(lex.match(x) for x in words)
+    assert all(r.predicted == r.doc_id % 2 for r in toxicity.toxicity(docs, lex, weights).collect())
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     bench = spark.createDataFrame([], "item_id long, text string")
