@@ -228,7 +228,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
               .where("text IS NOT NULL").join(F.broadcast(few), "doc_id"))  # few: at most about 2 * per_class ids
     # each text once: copies of one toxic text would pass its rare words for terms
     sample = saved(sample.select("text", "toxic").dropDuplicates(), "toxicity-sample")
-    n = [min(per_class, sizes[k]) for k in (0, 1)]
+    n = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if len(n) < 2:
+        return Lexicon([], []), np.array([0, 0, 0, 0, -5.0])
     lexicon = learn_lexicon(sample, n[1], n[0])
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
@@ -238,8 +240,6 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     got = arrow_rows(sample.select("text", "toxic"), measure, "x array<double>, y int",
                      pa.schema([("x", pa.list_(pa.float64())), ("y", pa.int32())])).collect()
     x, y = np.array([r.x for r in got]), np.array([r.y for r in got], float)
-    if len(set(y)) < 2:
-        return lexicon, np.array([0, 0, 0, 0, -5.0])
     return lexicon, _fit_logistic(x, y)
 
 

@@ -247,6 +247,18 @@ def test_toxicity_learns_a_wide_lexicon_of_rare_terms(spark):
     assert all(r.predicted == r.doc_id % 2 for r in toxicity.toxicity(docs, lex, weights).collect())
 
 
+def test_toxicity_counts_copies_of_a_text_once(spark):
+    rng = random.Random(4)
+    words = ["the", "house", "tion", "and", "would", "like", "été", "maison", "que", "voudrait", "comme", "le"]
+    data = [(i, f"{_text(rng, 20, words)} n{i}" + (" worthless" if i % 3 == 0 and i < 300 or i % 97 == 0 else "")) for i in range(1300)]
+    data += [(i, "the same house and the same text") for i in range(1300, 5000)]
+    toxic = [(i, int(i < 300 or i >= 1300)) for i, _ in data]  # 300 toxic texts and 3,700 copies of one
+    absent = [(i, 1) for i in range(5000, 9000)]  # labels without a document
+    labels = spark.createDataFrame(toxic + absent, "doc_id long, toxic int")
+    lex, _ = toxicity.fit(spark.createDataFrame(data, "doc_id long, text string"), labels)
+    assert lex.match("worthless") == 1 and lex.match("maison") == 0
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     bench = spark.createDataFrame([], "item_id long, text string")
