@@ -194,7 +194,7 @@ def learn_lexicon(sample: DataFrame, n_pos: int, n_neg: int) -> Lexicon:
         # a stem must reach well beyond one whole word
         if pos[x] >= 1.5 * top.get(x, 0) + 3 and not any(x.startswith(s) for s in stems):
             stems.append(x)
-    return Lexicon([t for t in terms if not t.startswith(tuple(stems))], stems)
+    return Lexicon(terms, stems)  # terms below a stem too: their misspellings don't have it
 
 
 def _fit_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:

@@ -259,6 +259,15 @@ def test_toxicity_counts_copies_of_a_text_once(spark):
     assert lex.match("worthless") == 1 and lex.match("maison") == 0
 
 
+def test_toxicity_finds_misspellings_inside_a_stem(spark):
+    rng = random.Random(6)
+    words = ["the", "house", "tion", "and", "would", "like", "été", "maison", "que", "voudrait", "comme", "le"]
+    data = [(i, f"{_text(rng, 20, words)} n{i} " + (("idiot", "idiots", "idiotic")[i // 2 % 3] if i % 2 else "")) for i in range(600)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in data], "doc_id long, toxic int")
+    lex, weights = toxicity.fit(spark.createDataFrame(data, "doc_id long, text string"), labels)
+    assert [lex.match(x) for x in ("idiot", "idiotically", "idjot", "1diot", "idi0tic", "maison")] == [1, 1, 2, 2, 2, 0]
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     bench = spark.createDataFrame([], "item_id long, text string")
