@@ -40,6 +40,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the folder of a table written by ``saved`` that nothing reads any more."""
+    spark = df.sparkSession
+    jvm, base = spark._jvm, ensure_checkpoint_dir(spark).rstrip("/")
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getName().startswith("llm-") and path.getParent().toUri().getPath() == jvm.org.apache.hadoop.fs.Path(base).toUri().getPath():
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def crc_mod(doc_id: Column, m: int) -> Column:
     """crc32(doc_id as text) mod ``m``; -1 for a null id (in no fold)."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % F.lit(m), F.lit(-1))
@@ -97,10 +107,11 @@ def run_bounds(cols: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([[0], change, [n]]).astype(np.int64)
 
 
-def by_key(df: DataFrame, keys: list[str], fn, schema: str) -> DataFrame:
-    """Bring rows with equal keys together, in order, and map each partition."""
+def by_key(df: DataFrame, keys: list[str], fn, schema: str, together: int | None = None) -> DataFrame:
+    """Bring rows with equal keys together (those of equal first ``together`` keys,
+    if given), in order, and map each partition."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(fn, schema)
+    return df.repartition(n, *keys[:together]).sortWithinPartitions(*keys).mapInArrow(fn, schema)
 
 
 # ---- words as arrays ------------------------------------------------------

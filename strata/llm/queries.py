@@ -11,9 +11,13 @@ from .langid import op10_language_id
 from .pivots import op8_pivot_embeddings
 from .sharding import op2_kd_sharding
 from .simhash import op9_simhash
+from .spelling import ORACLE_SQL as SPELLING_SQL
+from .spelling import op13_spelling_variants
 from .suffix_dedup import op7_suffix_dedup
 from .token_counts import op3_token_counts
 from .toxicity import op4_toxicity
+from .vector_codes import ORACLE_SQL as VECTOR_CODES_SQL
+from .vector_codes import op11_vector_codes
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
@@ -26,10 +30,15 @@ QUERIES = {
     "op8_pivot_embeddings": op8_pivot_embeddings,
     "op9_simhash": op9_simhash,
     "op10_language_id": op10_language_id,
+    "op11_vector_codes": op11_vector_codes,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op11_vector_codes": VECTOR_CODES_SQL,
+    "op13_spelling_variants": SPELLING_SQL,
+}
 
 
 def queries():
