@@ -9,6 +9,8 @@ from .decontaminate import op1_decontamination
 from .katz import op5_katz
 from .langid import op10_language_id
 from .pivots import op8_pivot_embeddings
+from .secret_scan import ORACLE_SQL as SECRET_SCAN_SQL
+from .secret_scan import op12_secret_scan
 from .sharding import op2_kd_sharding
 from .simhash import op9_simhash
 from .spelling import ORACLE_SQL as SPELLING_SQL
@@ -31,12 +33,14 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_language_id": op10_language_id,
     "op11_vector_codes": op11_vector_codes,
+    "op12_secret_scan": op12_secret_scan,
     "op13_spelling_variants": op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op11_vector_codes": VECTOR_CODES_SQL,
+    "op12_secret_scan": SECRET_SCAN_SQL,
     "op13_spelling_variants": SPELLING_SQL,
 }
 
