@@ -11,7 +11,7 @@ import re
 import regex
 
 #: Words kept with their merges, per Python worker; the table is emptied when full.
-WORD_CACHE = 600_000
+WORD_CACHE = 200_000
 #: Longer words are merged but not kept.
 CACHED_CHARS = 48
 

@@ -3,23 +3,29 @@ vectorised word hashing."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.session import ensure_checkpoint_dir, scratch_path
 
-#: Rows per Arrow batch handed to Python: long documents stay a few MB a batch.
-ARROW_ROWS = 512
+#: Rows and bytes of an Arrow batch handed to Python (one row may be larger).
+ARROW_ROWS, ARROW_BYTES = 512, 4 << 20
+#: Bytes of text that are hashed at once.
+PIECE_BYTES = 1 << 20
 
 
 def prepare(spark: SparkSession) -> None:
     """Session settings the operators rely on (shared folder, small batches)."""
     ensure_checkpoint_dir(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     # scans are cut by the number of cores; held fixed, so that row numbers are the
@@ -63,6 +69,44 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
+def give_back() -> None:
+    """Return memory that is no longer used to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    _trim(0)
+
+
+def lean(fn: Callable) -> Callable:
+    """``fn`` of an iterator of batches; at the end of a partition the worker, which
+    Spark keeps for later tasks, gives the memory it no longer uses back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+_held: list[DataFrame] = []
+
+
+def held(df: DataFrame) -> DataFrame:
+    """Persist ``df`` until ``release``."""
+    _held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+    return df
+
+
+def release() -> None:
+    """Free what operators have persisted; what is still read is computed again."""
+    while _held:
+        _held.pop().unpersist(blocking=True)
+
+
 def arrow_rows(df: DataFrame, fn: Callable[[list], list], schema: str,
                arrow_schema: pa.Schema) -> DataFrame:
     """``mapInArrow`` where ``fn`` gets the columns of a batch as Python lists
@@ -75,7 +119,7 @@ def arrow_rows(df: DataFrame, fn: Callable[[list], list], schema: str,
                 [pa.array(x, type=f.type) for x, f in zip(out, arrow_schema)],
                 schema=arrow_schema)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def whole_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
@@ -111,7 +155,7 @@ def by_key(df: DataFrame, keys: list[str], fn, schema: str, together: int | None
     """Bring rows with equal keys together (those of equal first ``together`` keys,
     if given), in order, and map each partition."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys[:together]).sortWithinPartitions(*keys).mapInArrow(fn, schema)
+    return df.repartition(n, *keys[:together]).sortWithinPartitions(*keys).mapInArrow(lean(fn), schema)
 
 
 # ---- words as arrays ------------------------------------------------------
@@ -134,7 +178,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _POW, _INV
     if len(_POW) < n:
-        n = max(n, 1 << 20)
         inv = np.uint64(pow(int(_BASE), -1, 1 << 64))
         p, q = np.full(n, _BASE, np.uint64), np.full(n, inv, np.uint64)
         p[0] = q[0] = 1
@@ -152,15 +195,29 @@ def words(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(a: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word: polynomial prefix sums, then a finaliser."""
-    pw, inv = _powers(len(a) + 1)
-    pre = np.empty(len(a) + 1, np.uint64)
-    pre[0] = 0
-    np.cumsum(_BYTE[a] * pw[:len(a)], out=pre[1:])
-    return mix64((pre[ends] - pre[starts]) * inv[starts] ^ (ends - starts).astype(np.uint64))
+    """A 64-bit hash of each word: polynomial prefix sums, then a finaliser.  Bytes
+    are taken a piece at a time, so that a long text costs memory by its words."""
+    pw, inv = _powers(PIECE_BYTES + 1)
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        base = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(ends, base + PIECE_BYTES, side="right")))
+        if ends[i] - base > PIECE_BYTES:  # one word longer than a piece
+            sums = [int(np.sum(_BYTE[a[p:min(p + PIECE_BYTES, ends[i])]] * pw[:min(PIECE_BYTES, ends[i] - p)]))
+                    * pow(int(_BASE), p - base, 1 << 64) for p in range(base, int(ends[i]), PIECE_BYTES)]
+            out[i] = sum(sums) % (1 << 64)
+            j = i + 1
+        else:
+            s, e = starts[i:j] - base, ends[i:j] - base
+            pre = np.zeros(int(e[-1]) + 1, np.uint64)
+            np.cumsum(_BYTE[a[base:base + len(pre) - 1]] * pw[:len(pre) - 1], out=pre[1:])
+            out[i:j] = (pre[e] - pre[s]) * inv[s]
+        i = j
+    return mix64(out ^ (ends - starts).astype(np.uint64))
 
 
-def lower_bytes(texts: list, pieces: int = 4 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def lower_bytes(texts: list, pieces: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Consecutive texts (null: empty) as one lower-cased (A-Z) byte array of
     about ``pieces`` bytes, line ends between them: (first, last + 1, bytes,
     offset of each text and the end)."""

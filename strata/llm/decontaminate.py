@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_bytes, mix64, prepare, table, word_hashes, words
+from .common import lean, lower_bytes, mix64, prepare, table, word_hashes, words
 
 #: Words per shingle, least containment, MinHash values per item.
 SHINGLE, CONTAINED, HASHES = 5, 0.8, 128
@@ -168,7 +168,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
                         ([g[0] for g in got], [g[1].item_id for g in got], [len(g[1].shingles) for g in got],
                          [g[2] for g in got], [g[2] / len(g[1].shingles) for g in got]), _OUT)], schema=_OUT)
 
-        part = rows.mapInArrow(run, "doc_id long, item_id long, n_shingles long, n_shared long, containment double")
+        part = rows.mapInArrow(lean(run), "doc_id long, item_id long, n_shingles long, n_shared long, containment double")
         out = part if out is None else out.union(part)
     return out
 
@@ -185,7 +185,7 @@ def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
                 found = shared.value.search(b.column(text).to_pylist())
                 yield b.filter(pa.array([not f for f in found], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(lean(run), docs.schema)
     return docs
 
 

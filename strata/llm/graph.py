@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import discard, saved
 
 
 class Sets:
@@ -51,5 +51,6 @@ def components(edges: DataFrame) -> DataFrame:
                  .distinct())
         low2 = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), "m")
         small = large.join(low2, F.col("a") == F.col("k"))
-        now = saved(small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        old, now = now, saved(small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
                     .union(low2.select(F.col("k").alias("a"), F.col("m").alias("b"))).distinct(), "edges")
+        discard(old)

@@ -15,15 +15,16 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, crc_mod, prepare, saved, table
+from .common import arrow_rows, crc_mod, lean, prepare, saved, table
 
 #: Labelled rows per language that the tables are learned from (expected number).
 SAMPLE_PER_LANG = 2_000
-#: Words, and grams of each length, kept per language (most frequent first).
-WORDS_PER_LANG, GRAMS_PER_LANG = 30_000, 8_000
+#: A word or gram is known if the sample holds it so often (in all languages
+#: together); what was seen once says no more than its shorter grams.
+MIN_SEEN = 2
 MAX_GRAM = 4
 #: Unseen words whose scores a worker keeps; the table is emptied when full.
 UNSEEN_CACHE = 200_000
@@ -146,12 +147,12 @@ def fit(rows: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:
     sample = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000))
                         < share[F.col("lang")] * 1_000_000).select("lang", "text")
     counted = saved(_summed(sample, _count_words), "langid-words")
-    ranked = counted.union(_summed(counted.select("lang", "item", "n"), _count_grams)).withColumn("place", F.row_number().over(
-        Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item")))
-    kept = ranked.where(F.col("place") <= F.when(F.col("kind") == 0, WORDS_PER_LANG).otherwise(GRAMS_PER_LANG))
+    seen = saved(counted.union(_summed(counted.select("lang", "item", "n"), _count_grams)), "langid-seen")
+    known = seen.groupBy("kind", "item").agg(F.sum("n").alias("of_all")).where(F.col("of_all") >= MIN_SEEN)
+    kept = seen.join(known, ["kind", "item"], "left_semi")
     counts: dict[int, dict[str, np.ndarray]] = {}
     at = {k: i for i, k in enumerate(langs)}
-    for r in kept.select("kind", "lang", "item", "n").collect():  # bounded by the two limits
+    for r in kept.select("kind", "lang", "item", "n").collect():  # bounded by the sample
         counts.setdefault(r.kind, {}).setdefault(r.item, np.zeros(len(langs)))[at[r.lang]] = r.n
     logs: dict[int, dict[str, list[float]]] = {}
     for kind, items in counts.items():
@@ -191,7 +192,7 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
         for b in batches:
             yield b.filter(pa.array([p[0] != "und" for p in m.predict(b.column(text).to_pylist())], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def training_rows(docs: DataFrame) -> DataFrame:

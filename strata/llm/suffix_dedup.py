@@ -25,11 +25,10 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, saved, table
+from .common import held, lean, prepare, saved, table
 
 #: Length of a repeat, and positions among which a window's sample is chosen.
 LENGTH, CHOICE = 200, 100
@@ -79,7 +78,7 @@ def _mapped(df: DataFrame, fn, schema: str, fields: list) -> DataFrame:
             if len(cols[0]):
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, out)], schema=out)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def _names(base: DataFrame) -> DataFrame:
@@ -179,7 +178,7 @@ def _decided(docs: DataFrame) -> DataFrame:
     not (unlike); both null where nothing repeats."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # the text is dealt out once, by row; all later joins meet it where it lies
-    base = docs.repartition(parts, "uid").persist(StorageLevel.MEMORY_AND_DISK)
+    base = held(docs.repartition(parts, "uid"))
     names = _names(base)
     # written, so that the join meets plain exchanges and a hot name can be split
     again = saved(names.groupBy("name").agg(F.count("*").alias("k")).where("k > 1").select("name"), "sample-names")
@@ -252,7 +251,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), b.column(3)], names=["text", "rest"])
 
     frame = _decided(rows).select("text", "pos", "unlike", "rest")
-    got = frame.mapInArrow(cut, frame.select("text", "rest").schema)
+    got = frame.mapInArrow(lean(cut), frame.select("text", "rest").schema)
     kind = dict(docs.dtypes).get("n_chars")
     length = F.char_length("text").cast(kind) if kind in ("int", "bigint") else None
     return got.select(*[F.col("text") if c == "text" else
