@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from strata.operators.keyed import pick_one
 
 
+DUPLICATE_KEYS = "duplicate keys in upsert input"
+
+
 def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
@@ -32,12 +35,26 @@ def append_first_wins(batch: DataFrame, target_keys: DataFrame, keys: Sequence[s
 
 
 def load_counts(batch: DataFrame, inserted: DataFrame) -> DataFrame:
-    """One row: messages read, rows inserted, rows skipped."""
+    """One row: messages read, rows inserted, rows skipped; for an insert that has
+    been made.  :func:`first_wins_counts` counts without one."""
     n_ins = inserted.agg(F.count(F.lit(1))).scalar()
     return (batch.agg(F.count(F.lit(1)).alias("read"))
             .select("read", n_ins.alias("inserted"), (F.col("read") - n_ins).alias("skipped")))
 
 
+def first_wins_counts(batch: DataFrame, target_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: messages read, rows inserted, rows skipped by a first-wins load of
+    ``batch``.  The keys of both sides meet in one aggregate: a key is inserted if
+    only the batch has it."""
+    keys = _names(keys)
+    both = (batch.select(*keys, F.lit(1).alias("_read"), F.lit(0).alias("_held"))
+            .unionAll(target_keys.select(*keys, F.lit(0), F.lit(1))))
+    per_key = both.groupBy(*keys).agg(F.sum("_read").alias("_read"), F.max("_held").alias("_held"))
+    return per_key.agg(F.coalesce(F.sum("_read"), F.lit(0)).alias("read"),
+                       F.count_if((F.col("_held") == 0) & (F.col("_read") > 0)).alias("inserted")) \
+        .select("read", "inserted", (F.col("read") - F.col("inserted")).alias("skipped"))
+
+
 def replace_by_source(target: DataFrame, new: DataFrame, source_col: str, source) -> DataFrame:
     """Snapshot replace (S6): every row of one source is replaced by the new
     snapshot.  On a partitioned layer this is a static partition overwrite."""
@@ -52,13 +69,24 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
+def unique_on(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df``, which must not hold a key twice: the plan fails if it does (T17).
+    One aggregate by key; no pass of its own."""
+    keys = _names(keys)
+    others = [c for c in df.columns if c not in keys]
+    row = F.any_value(F.struct(F.lit(1).alias("_"), *others)).alias("_row")
+    once = F.when(F.col("_n") > 1, F.raise_error(F.concat(
+        F.lit(f"{DUPLICATE_KEYS}: "), F.to_json(F.struct(*keys))))).otherwise(F.col("_row"))
+    got = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), row).withColumn("_row", once)
+    return got.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+
+
 def upsert(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Upsert (S16): new rows win; target rows whose key is absent from
-    ``new`` stay.  ``new`` must be unique on ``keys`` (trap T17); check with
-    :func:`duplicate_keys` or :func:`strata.operators.quality.unique`."""
+    ``new`` stay.  A key that ``new`` holds twice fails the plan (trap T17)."""
     keys = _names(keys)
     kept = target.join(new.select(*keys), on=keys, how="left_anti")
-    return kept.unionByName(new.select(*target.columns))
+    return kept.unionByName(unique_on(new, keys).select(*target.columns))
 
 
 def insert_if_absent(target: DataFrame, new: DataFrame, keys: Sequence[str],

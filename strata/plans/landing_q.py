@@ -49,9 +49,7 @@ def q_landing_first_wins(spark, sf):
 
 def q_landing_load_counts(spark, sf):
     target, batch = _split(spark, sf)
-    ins = loads.append_first_wins(batch.select("id", "source", "endpoint"), target,
-                                  ["source", "endpoint"], ["id"])
-    return loads.load_counts(batch, ins)
+    return loads.first_wins_counts(batch, target, ["source", "endpoint"])
 
 
 def q_key_hash(spark, sf):

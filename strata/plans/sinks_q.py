@@ -57,19 +57,40 @@ def q_landing_drain(spark, sf):
     return layers.read("raw_events").select("source", "endpoint", "kafka_offset")
 
 
+#: Files of a delivery, dealt by key: more than a micro-batch takes.
+FILES = 4
+
+
 def q_landing_drain_batches(spark, sf):
-    """The whole backlog, newest file first and one file per micro-batch."""
+    """The whole backlog, newer half first, a few files of it per micro-batch."""
     base = scratch_path(spark, "drain")
     src = f"{base}/incoming"
     layers = Layers(spark, f"{base}/tables", prefix=f"drainb_{uuid.uuid4().hex[:8]}_")
     env = envelopes(spark, sf)
     newer = F.col("loaded_at").cast("timestamp_ntz") >= F.lit(CUTOFF).cast("timestamp_ntz")
     for part in (env.filter(newer), env.filter(~newer)):
-        landing.write_envelopes(part.coalesce(1), src)
-        drain(spark, src, layers, "raw_events", f"{base}/checkpoint", max_files_per_trigger=1)
+        landing.write_envelopes(part.repartition(FILES, "endpoint"), src)
+        drain(spark, src, layers, "raw_events", f"{base}/checkpoint", max_files_per_trigger=FILES // 2)
     return layers.read("raw_events").select("source", "endpoint", "kafka_offset")
 
 
+def q_landing_rejects(spark, sf):
+    """Two feeds with lines that are no messages, into one reject table; then the
+    first feed again under a fresh checkpoint: its rejects are stored once."""
+    base = scratch_path(spark, "drain")
+    layers = Layers(spark, f"{base}/tables", prefix=f"drainr_{uuid.uuid4().hex[:8]}_")
+    env = envelopes(spark, sf)
+    bad = F.concat(F.lit("{broken "), F.col("kafka_offset").cast("string"))
+    feeds = {"errors": F.col("source") == "error", "others": F.col("source") != "error"}
+    for feed, mine in feeds.items():
+        rows = env.filter(mine)
+        line = F.when(F.col("kafka_offset") % 7 == 0, bad).otherwise(F.to_json(F.struct(*landing.ENVELOPE_COLS)))
+        rows.select(line.alias("value")).write.text(f"{base}/{feed}")
+    for feed, run in (("errors", "a"), ("others", "a"), ("errors", "b")):
+        drain(spark, f"{base}/{feed}", layers, "raw_events", f"{base}/checkpoint-{feed}-{run}", reject_table="rejects")
+    return layers.read("rejects").select(F.col("_corrupt_record").alias("line"))
+
+
 def q_cdc_stream_apply(spark, sf):
     """Change events in two deliveries, the older one second and overlapping."""
     base = scratch_path(spark, "cdc")
@@ -91,7 +112,8 @@ def q_ref_reload(spark, sf):
     layers.full_refresh({"region": t.region.withColumn("r_name", F.lower("r_name")),
                          "nation": t.nation.withColumn("n_name", F.lower("n_name"))})
     layers.full_refresh({"region": t.region, "nation": t.nation})
-    n, r = layers.read("nation"), layers.read("region")
+    now = layers.snapshot()  # both tables of one release, whatever is published meanwhile
+    n, r = now.read("nation"), now.read("region")
     return n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
 
 
@@ -131,6 +153,7 @@ QUERIES = {
     "landing_read": q_landing_read,
     "landing_drain": q_landing_drain,
     "landing_drain_batches": q_landing_drain_batches,
+    "landing_rejects": q_landing_rejects,
     "cdc_stream_apply": q_cdc_stream_apply,
     "ref_reload": q_ref_reload,
     "incremental_refresh": q_incremental_refresh,
@@ -150,6 +173,7 @@ SELECT source, endpoint, kafka_offset FROM (
   SELECT event_type AS source, {_ENDPOINT} AS endpoint, event_id AS kafka_offset,
          ROW_NUMBER() OVER (PARTITION BY event_type, {_ENDPOINT} ORDER BY event_id) AS rn FROM events) x
 WHERE rn = 1""",
+    "landing_rejects": "SELECT '{broken ' || CAST(event_id AS VARCHAR) AS line FROM events WHERE event_id % 7 = 0",
     "ref_reload": """SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "incremental_refresh": f"""
 SELECT * FROM ({_DAILY.format(where="WHERE o_orderstatus = 'F'")}) a WHERE trade_date <> DATE '{AS_OF_DAY}'

@@ -24,7 +24,7 @@ def read_envelopes(spark: SparkSession, path: str, streaming: bool = False,
         .option("columnNameOfCorruptRecord", "_corrupt_record")
     if streaming and max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.json(path).withColumn("file_name", F.col("_metadata.file_name"))
+    return r.json(path).withColumns({"file_name": F.col("_metadata.file_name"), "origin": F.col("_metadata.file_path")})
 
 
 def _bad() -> "F.Column":
@@ -34,11 +34,14 @@ def _bad() -> "F.Column":
 
 
 def accepted(df: DataFrame) -> DataFrame:
-    return df.filter(~_bad()).drop("_corrupt_record")
+    return df.filter(~_bad()).drop("_corrupt_record", "origin")
 
 
 def rejected(df: DataFrame) -> DataFrame:
-    return df.filter(_bad()).select("_corrupt_record", "source", "file_name")
+    """Reject rows, named by where they are from: the file, or the topic partition,
+    and the offset if the message has one."""
+    return df.filter(_bad()).select("_corrupt_record", "source", "file_name", "origin",
+                                    F.coalesce("kafka_offset", F.lit(-1)).alias("position"))
 
 
 def write_envelopes(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -59,4 +62,5 @@ def from_kafka(kafka_df: DataFrame) -> DataFrame:
         F.col("offset").alias("kafka_offset"), F.col("timestamp").alias("loaded_at"),
         # a malformed value parses to a struct of NULLs: keep its text
         F.when(env["source"].isNull(), text).alias("_corrupt_record"),
-        F.concat_ws("-", F.col("topic"), F.col("partition").cast("string")).alias("file_name"))
+        F.concat_ws("-", F.col("topic"), F.col("partition").cast("string")).alias("file_name"),
+        F.concat_ws("-", F.col("topic"), F.col("partition").cast("string")).alias("origin"))

@@ -1,14 +1,17 @@
-"""Layer tables as Spark catalog tables over parquet, published by version.
+"""Layer tables over parquet, published by version.
 
 Parquet has no MERGE or DELETE and a table cannot be overwritten while it is
-read (trap T8).  Every publish therefore writes a *new* folder first and
-switches the catalog afterwards:
+read (trap T8).  Every publish therefore writes *new* folders first and
+switches afterwards:
 
-* whole table  -> ``ALTER TABLE t SET LOCATION '<new folder>'``
+* whole tables, one or several, of any layout -> one new release
+  (:mod:`strata.sources.releases`), which all names resolve through
 * one partition -> ``ALTER TABLE t PARTITION (c = v) SET LOCATION '<new folder>'``
 * keyed merge   -> one new folder for the touched key buckets, then each
   touched bucket's partition switched to its subfolder (:meth:`Layers.merge`)
 
+A table without partitions is a list of folders; a partitioned one is a catalog
+table of its own name per version, so that its partitions can be switched.
 Readers see the old version until the switch, a failed write leaves the
 table untouched, and an empty input for a partition empties exactly that
 partition (the reference deletes the day first).  The folders live under the
@@ -20,19 +23,20 @@ import datetime as dt
 import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.operators import loads
+from strata.operators.keyed import pick_one
 from strata.session import scratch_path
+from strata.sources.releases import Releases
 
 
-# Fixed value: folder name of the NULL partition.
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 KEY_BUCKET = "key_bucket"
-BUCKETS_PROP = "strata.key_buckets"
+# Folders that a table without partitions may be spread over by appends.
+MAX_FOLDERS = 64
 # A table-design choice, fixed when a keyed table is created: size it so a
 # bucket holds a few GB at the table's expected size (e.g. 4096 buckets for
 # ~10 TB).  A merge rewrites, and a keyed insert scans, only the buckets its
@@ -62,57 +66,83 @@ def _sql_literal(v) -> str:
     return "'" + str(v).replace("'", "''") + "'"
 
 
+class Snapshot:
+    """The tables of one release: reads of several tables agree."""
+
+    def __init__(self, spark: SparkSession, entries: dict[str, dict]):
+        self.spark, self.entries = spark, entries
+
+    def read(self, name: str, layout: bool = False) -> DataFrame:
+        """The table's rows; the ``key_bucket`` layout column of a keyed table and
+        the deleted rows and positions of a change state (see
+        :meth:`Layers.merge_newest`) are left out unless ``layout``."""
+        e = self.entries[name]
+        if "table" in e:
+            # writes may come from another session (a streaming batch): drop any
+            # cached file listing of the table first
+            self.spark.catalog.refreshTable(e["table"])
+            df = self.spark.table(e["table"])
+        else:
+            df = self.spark.read.schema(StructType.fromJson(e["schema"])).parquet(*e["paths"])
+        if layout:
+            return df
+        if "order" in e:
+            df = df.filter(~F.col(e["gone"]) & (F.col(e["order"]) > F.lit(e.get("cleared", -2**63)))).drop(e["order"], e["gone"])
+        return df.drop(KEY_BUCKET)
+
+
 class Layers:
     def __init__(self, spark: SparkSession, root: str | None = None, prefix: str = ""):
         self.spark = spark
-        self._pending_buckets: dict[str, int] = {}
         self.root = (root or scratch_path(spark, "layers")).rstrip("/")
         self.prefix = prefix
+        self.releases = Releases(spark, self.root)
 
     # naming ---------------------------------------------------------------
-    def table(self, name: str) -> str:
-        return f"{self.prefix}{name}"
+    def _entry(self, name: str) -> dict:
+        return self.releases.current()[name]
 
-    def _new_path(self, name: str, sub: str = "") -> str:
-        return f"{self.root}/{name}/{sub}v-{uuid.uuid4().hex[:16]}"
+    def table(self, name: str) -> str:
+        """The catalog table of a partitioned table's current version."""
+        return self._entry(name)["table"]
 
     def exists(self, name: str) -> bool:
-        return self.spark.catalog.tableExists(self.table(name))
+        return name in self.releases.current()
+
+    def snapshot(self) -> Snapshot:
+        return Snapshot(self.spark, self.releases.current())
 
     def read(self, name: str, layout: bool = False) -> DataFrame:
-        """The table's rows; the ``key_bucket`` layout column of a keyed
-        table (see :meth:`merge`) is left out unless ``layout``."""
-        # writes may come from another session (a streaming batch): drop any
-        # cached file listing of the table first
-        self.spark.catalog.refreshTable(self.table(name))
-        df = self.spark.table(self.table(name))
-        return df if layout or KEY_BUCKET not in df.columns else df.drop(KEY_BUCKET)
+        return self.snapshot().read(name, layout)
+
+    def _set(self, name: str, **changes) -> None:
+        """Change parts of a table's entry."""
+        self.releases.commit(lambda now: {**now, name: {**now[name], **changes}})
 
     # publish --------------------------------------------------------------
-    def _define(self, name: str, df: DataFrame, path: str, partition_by: Sequence[str]):
-        t = self.table(name)
+    def _define(self, name: str, df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
         cols = [f for f in df.schema.fields if f.name not in partition_by] + \
                [df.schema[c] for c in partition_by]
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cols)
-        part = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-        props = ""
-        if KEY_BUCKET in partition_by:
-            props = f" TBLPROPERTIES ('{BUCKETS_PROP}' = '{self._pending_buckets[name]}')"
-        self.spark.sql(f"CREATE TABLE {t} ({ddl}) USING parquet{part} LOCATION '{path}'{props}")
-        if partition_by:
-            self.spark.sql(f"ALTER TABLE {t} RECOVER PARTITIONS")
+        t = f"{self.prefix}{name}"
+        self.spark.sql(f"CREATE TABLE {t} ({ddl}) USING parquet PARTITIONED BY ({', '.join(partition_by)}) LOCATION '{path}'")
+        self.spark.sql(f"ALTER TABLE {t} RECOVER PARTITIONS")
 
     def full_refresh(self, tables: Mapping[str, DataFrame], partition_by: Mapping[str, Sequence[str]] | None = None,
-                     allow_empty: bool = False, max_parallel: int = 8) -> None:
+                     allow_empty: bool = False, max_parallel: int = 8,
+                     properties: Mapping[str, dict] | None = None) -> None:
         """Publish several tables together (S15): all new versions are
         written first -- independent tables as concurrent jobs, up to
-        ``max_parallel`` at once -- then the catalog entries are switched.
-        If any write fails or an input is empty (refused unless
-        ``allow_empty``), nothing is switched."""
-        partition_by = partition_by or {}
-
-        def stage(name: str, df: DataFrame):
-            path = self._new_path(name)
+        ``max_parallel`` at once -- and one release then names them all, also
+        where columns or partitioning change.  If any write fails or an input is
+        empty (refused unless ``allow_empty``), nothing is switched.  Versions
+        that no kept release names are removed, entries and folders."""
+        partition_by, properties = partition_by or {}, properties or {}
+
+        def stage(name: str, df: DataFrame) -> dict:
+            version = f"{name}__v{uuid.uuid4().hex[:12]}"
+            folder = f"{self.root}/{version}"
+            path = f"{folder}/v-0"
             w = df.write.mode("errorifexists")
             parts = list(partition_by.get(name, ()))
             if parts:
@@ -122,7 +152,10 @@ class Layers:
             # the input plan runs once; nothing is switched if it is refused
             if not allow_empty and self.spark.read.schema(df.schema).parquet(path).isEmpty():
                 raise EmptyInput(f"refusing to publish empty table {name}")
-            return path, df, parts
+            if not parts:
+                return {"paths": [path], "schema": df.schema.jsonValue()}
+            self._define(version, df, path, parts)
+            return {"table": f"{self.prefix}{version}", "paths": [folder]}
 
         if len(tables) > 1 and max_parallel > 1:
             with ThreadPoolExecutor(max_workers=min(len(tables), max_parallel)) as pool:
@@ -130,56 +163,20 @@ class Layers:
                 staged = {name: f.result() for name, f in futures.items()}
         else:
             staged = {name: stage(name, df) for name, df in tables.items()}
-        for name, (path, df, parts) in staged.items():
-            t = self.table(name)
-            if not self.exists(name):
-                self._define(name, df, path, parts)
-            elif self._same_layout(name, df, parts):
-                if parts:
-                    self._switch_partitions(name, path, df, parts)
-                else:
-                    self.spark.sql(f"ALTER TABLE {t} SET LOCATION '{path}'")
-            else:  # other columns: the entry has to be written anew
-                self.spark.sql(f"DROP TABLE {t}")  # external table: files stay
-                self._define(name, df, path, parts)
-
-    def _same_layout(self, name: str, df: DataFrame, parts: Sequence[str]) -> bool:
-        cur = self.read(name, layout=True)
-        if list(parts) != self.partition_columns(name):
-            return False
-        if KEY_BUCKET in parts and self._pending_buckets.get(name) != self.key_buckets(name):
-            return False
-        return {f.name: f.dataType for f in cur.schema} == {f.name: f.dataType for f in df.schema}
-
-    def _switch_partitions(self, name: str, path: str, df: DataFrame, parts: Sequence[str]) -> None:
-        """Point every partition at its subfolder of ``path`` and drop those
-        the new version lacks: the table exists throughout.  The partition
-        values (one small row each) are read from the folder names."""
-        t = self.table(name)
-
-        def listed():
-            return {r[0] for r in self.spark.sql(f"SHOW PARTITIONS {t}").collect()}
-
-        def spec(partition: str) -> str:
-            pairs = (x.split("=", 1) for x in partition.split("/"))
-            return ", ".join(f"{c} = {'NULL' if v == NULL_PARTITION else _sql_literal(unquote(v))}" for c, v in pairs)
-
-        old = listed()
-        # a scratch entry lists the new folder as the catalog spells it
-        scratch = f"{name}_v{uuid.uuid4().hex[:12]}"
-        if KEY_BUCKET in parts:
-            self._pending_buckets[scratch] = self._pending_buckets[name]
-        self._define(scratch, df, path, parts)
-        new = {r[0] for r in self.spark.sql(f"SHOW PARTITIONS {self.table(scratch)}").collect()}
-        self.spark.sql(f"DROP TABLE {self.table(scratch)}")  # external table: files stay
-        for p in sorted(new):
-            if p not in old:
-                self.spark.sql(f"ALTER TABLE {t} ADD IF NOT EXISTS PARTITION ({spec(p)}) LOCATION '{path}/{p}'")
-            else:
-                self.spark.sql(f"ALTER TABLE {t} PARTITION ({spec(p)}) SET LOCATION '{path}/{p}'")
-        for p in sorted(old - new):
-            self.spark.sql(f"ALTER TABLE {t} DROP IF EXISTS PARTITION ({spec(p)})")
-        self.spark.catalog.refreshTable(t)
+        self.releases.commit(lambda now: {**now, **{n: {**e, **properties.get(n, {})} for n, e in staged.items()}})
+
+    def vacuum(self, name: str) -> int:
+        """Remove the folders of a partitioned table that merges and partition
+        switches have left behind; no reader may still be on them.  Returns their
+        number."""
+        folder = self._entry(name)["paths"][0]
+        listed = self.spark.sql(f"SHOW PARTITIONS {self.table(name)}").collect()
+        if not listed:
+            return 0
+        self.spark.catalog.refreshTable(self.table(name))
+        files = self.spark.table(self.table(name)).select(F.input_file_name().alias("f"))
+        used = {r[0] for r in files.select(F.regexp_replace("f", "^[a-z]+:/+|/[^/]*$", "")).distinct().collect()}
+        return self.releases.remove_unused(folder, {"/" + u for u in used})
 
     def replace_partition(self, name: str, df: DataFrame, column: str, value) -> None:
         """Static partition replace (S6, D9): the partition ``column = value``
@@ -192,14 +189,20 @@ class Layers:
         """Write ``rows`` (without the partition column) to a fresh folder and
         point the partition ``column = value`` at it."""
         t = self.table(name)
-        path = self._new_path(name, sub=f"{column}={value}/")
+        path = f"{self._new_path(name)}/{column}={value}"
         rows.write.mode("errorifexists").parquet(path)
         spec = f"PARTITION ({column} = {_sql_literal(value)})"
         self.spark.sql(f"ALTER TABLE {t} ADD IF NOT EXISTS {spec} LOCATION '{path}'")
         self.spark.sql(f"ALTER TABLE {t} {spec} SET LOCATION '{path}'")
         self.spark.catalog.refreshTable(t)
 
+    def _new_path(self, name: str) -> str:
+        """A fresh folder inside the current version of a partitioned table."""
+        return f"{self._entry(name)['paths'][0]}/v-{uuid.uuid4().hex[:16]}"
+
     def partition_columns(self, name: str) -> list[str]:
+        if "table" not in self._entry(name):
+            return []
         return [c.name for c in self.spark.catalog.listColumns(self.table(name)) if c.isPartition]
 
     def sync_columns(self, name: str, df: DataFrame) -> None:
@@ -210,7 +213,6 @@ class Layers:
         parquet catalog table can only do by one rewrite of the table
         (partitioning and key buckets kept).  A value that does not cast fails
         the sync and leaves the table as it was."""
-        t = self.table(name)
         cur = self.read(name, layout=True)
         parts = self.partition_columns(name)
         added = [f for f in df.schema.fields if f.name not in cur.columns]
@@ -218,16 +220,17 @@ class Layers:
         kinds = {f.name: f.dataType for f in df.schema.fields}
         retyped = {f.name: F.col(f.name).cast(kinds[f.name]) for f in cur.schema.fields
                    if f.name not in parts and kinds.get(f.name, f.dataType) != f.dataType}
-        if added:
-            ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-            self.spark.sql(f"ALTER TABLE {t} ADD COLUMNS ({ddl})")
         if removed or retyped:
-            if KEY_BUCKET in parts:
-                self._pending_buckets[name] = self.key_buckets(name)
-            # the new version is computed from the current one: cut the
-            # lineage (shared checkpoint folder) before the switch
-            kept = self.read(name, layout=True).drop(*removed).withColumns(retyped).checkpoint(eager=True)
-            self.full_refresh({name: kept}, partition_by={name: parts}, allow_empty=True)
+            kept = cur.drop(*removed).withColumns(retyped)
+            for f in added:
+                kept = kept.withColumn(f.name, F.lit(None).cast(f.dataType))
+            told = {k: v for k, v in self._entry(name).items() if k not in ("table", "paths", "schema")}
+            self.full_refresh({name: kept}, partition_by={name: parts}, allow_empty=True, properties={name: told})
+        elif added and parts:
+            ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+            self.spark.sql(f"ALTER TABLE {self.table(name)} ADD COLUMNS ({ddl})")
+        elif added:
+            self._set(name, schema=StructType([*cur.schema.fields, *added]).jsonValue())
 
     def refresh_day(self, name: str, df: DataFrame, date_col: str, day: str, grain: str = "month",
                     sync_columns: bool = True) -> None:
@@ -266,32 +269,67 @@ class Layers:
         self._switch_partition(name, rows.drop(part), part, p_value)
 
     def append(self, name: str, df: DataFrame) -> None:
-        t = self.table(name)
-        df.select(*self.read(name).columns).write.insertInto(t)
+        """Add rows to a table without partitions: one more folder, named by the
+        next release; beyond ``MAX_FOLDERS`` they become one."""
+        cur = self.read(name, layout=True)
+        rows = df.select(*cur.columns)
+        if "table" in self._entry(name):
+            rows.write.insertInto(self.table(name))
+            return
+        if len(self._entry(name)["paths"]) >= MAX_FOLDERS:
+            self.full_refresh({name: cur.unionByName(rows)}, allow_empty=True)
+            return
+        path = f"{self.root}/{name}__v{uuid.uuid4().hex[:12]}/v-0"
+        rows.write.mode("errorifexists").parquet(path)
+        self.releases.commit(lambda now: {**now, name: {**now[name], "paths": [*now[name]["paths"], path]}})
 
     def upsert(self, name: str, new: DataFrame, keys: Sequence[str],
                n_buckets: int = DEFAULT_KEY_BUCKETS) -> None:
         """Newest wins on ``keys`` (S16).  Duplicate keys inside ``new`` are
-        an error, as they are for the reference's single INSERT (T17).  A
-        new table is created keyed (see :meth:`merge`)."""
-        # materialised once (shared checkpoint folder): the check and the
-        # merge read it several times
-        new = new.checkpoint(eager=True)
-        if not loads.duplicate_keys(new, keys).isEmpty():
-            raise ValueError(f"duplicate keys in upsert input for {name}")
-        self.merge(name, new, keys, n_buckets=n_buckets, materialized=True)
-
-    def _create_keyed(self, name: str, rows: DataFrame, keys: Sequence[str], n_buckets: int) -> None:
-        self._pending_buckets[name] = int(n_buckets)
+        an error, as they are for the reference's single INSERT (T17): the
+        plan that computes the rows raises it.  A new table is created keyed (see
+        :meth:`merge`)."""
+        try:
+            self.merge(name, loads.unique_on(new, keys), keys, n_buckets=n_buckets)
+        except Exception as e:
+            if loads.DUPLICATE_KEYS in str(e):
+                raise ValueError(f"{loads.DUPLICATE_KEYS} for {name}") from e
+            raise
+
+    def _create_keyed(self, name: str, rows: DataFrame, keys: Sequence[str], n_buckets: int, **told) -> None:
         self.full_refresh({name: rows.withColumn(KEY_BUCKET, key_bucket(keys, n_buckets))},
-                          partition_by={name: [KEY_BUCKET]}, allow_empty=True)
+                          partition_by={name: [KEY_BUCKET]}, allow_empty=True,
+                          properties={name: {"key_buckets": int(n_buckets), **told}})
 
     def key_buckets(self, name: str) -> int | None:
-        """Bucket count a keyed table was created with (a table property, so
+        """Bucket count a keyed table was created with (kept in its entry, so
         every later merge hashes keys the same way), or None."""
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.table(name)} ('{BUCKETS_PROP}')").collect()
-        v = rows[0][1] if rows else None
-        return int(v) if v and v.isdigit() else None
+        return self._entry(name).get("key_buckets")
+
+    def _touched(self, name: str, keys: Sequence[str], rows: DataFrame) -> tuple[list[int], DataFrame]:
+        """The bucket ids of ``rows`` (at most the table's buckets) and the stored
+        rows of those buckets: untouched buckets are not read."""
+        bucket = key_bucket(keys, self.key_buckets(name))
+        buckets = sorted(r[0] for r in rows.select(bucket).distinct().collect())
+        return buckets, self.read(name, layout=True).filter(F.col(KEY_BUCKET).isin(buckets))
+
+    def _rewrite(self, name: str, fresh: DataFrame, buckets: Sequence[int]) -> None:
+        """Make ``fresh`` the contents of ``buckets``: written in one job, then each
+        bucket's partition switched; a bucket left empty is dropped."""
+        path = self._new_path(name)
+        by_partition(fresh, [KEY_BUCKET]).write.mode("errorifexists").partitionBy(KEY_BUCKET).parquet(path)
+        # the buckets that got rows: at most n_buckets values, from the layout column alone
+        written = {r[0] for r in self.spark.read.schema(fresh.schema).parquet(path).select(KEY_BUCKET).distinct().collect()}
+        t = self.table(name)
+        for b in buckets:
+            spec = f"PARTITION ({KEY_BUCKET} = {b})"
+            if b in written:
+                loc = f"{path}/{KEY_BUCKET}={b}"
+                self.spark.sql(f"ALTER TABLE {t} ADD IF NOT EXISTS {spec} LOCATION '{loc}'")
+                self.spark.sql(f"ALTER TABLE {t} {spec} SET LOCATION '{loc}'")
+            else:
+                self.spark.sql(f"ALTER TABLE {t} DROP IF EXISTS {spec}")
+        self.spark.catalog.refreshTable(t)
 
     def merge(self, name: str, rows: DataFrame, keys: Sequence[str], remove: DataFrame | None = None,
               n_buckets: int = DEFAULT_KEY_BUCKETS, materialized: bool = False) -> None:
@@ -300,7 +338,7 @@ class Layers:
         stays.  ``rows`` must be unique on ``keys``.
 
         A table created here is partitioned by ``key_bucket =
-        pmod(xxhash64(keys), n_buckets)``.  A merge then reads only the
+        pmod(xxhash64(keys), n_buckets)``, and its entry keeps ``n_buckets``.  A merge then reads only the
         buckets its keys fall into (their ids, at most ``n_buckets``, become
         a partition filter on the scan), writes those
         buckets' new contents to a fresh folder in one job, and points just
@@ -324,62 +362,104 @@ class Layers:
             live = rows if remove is None else rows.join(remove.select(*keys), keys, "left_anti")
             self._create_keyed(name, live, keys, n_buckets)
             return
-        bucket = key_bucket(keys, self.key_buckets(name) or n_buckets)
-        cur = self.read(name, layout=True)
-        if KEY_BUCKET not in cur.columns:
+        if self.key_buckets(name) is None:
+            cur = self.read(name)
             kept = cur.join(touched_keys, keys, "left_anti")
             self.full_refresh({name: kept.unionByName(rows.select(*cur.columns))}, allow_empty=True)
             return
-        # the bucket ids touched (at most n_buckets values) become a partition
-        # filter on the scan: untouched buckets are not read
-        buckets = sorted(r[0] for r in touched_keys.select(bucket).distinct().collect())
+        buckets, cur = self._touched(name, keys, touched_keys)
+        if buckets:
+            fresh = rows.withColumn(KEY_BUCKET, key_bucket(keys, self.key_buckets(name))).select(*cur.columns)
+            self._rewrite(name, cur.join(touched_keys, keys, "left_anti").unionByName(fresh), buckets)
+
+    def merge_newest(self, name: str, rows: DataFrame, keys: Sequence[str], order: str, gone: str,
+                     final_below: int | None = None, n_buckets: int = DEFAULT_KEY_BUCKETS) -> None:
+        """Keyed state that keeps, beside each row, the position ``order`` it is from
+        and whether it was deleted (``gone``; such a row only remembers the position):
+        of the stored row and the row in ``rows`` (unique on ``keys``) the larger
+        position stays.  One job reads and rewrites the touched buckets.
+
+        What a truncate has cleared (:meth:`clear`) is dropped from them, and so are
+        deleted rows below ``final_below``: a position that no event can be under
+        any more."""
+        keys, order_col = list(keys), F.col(order)
+        rows = rows.checkpoint(eager=True)  # read for its bucket ids, too
+        if not self.exists(name):
+            self._create_keyed(name, rows, keys, n_buckets, order=order, gone=gone)
+            return
+        buckets, cur = self._touched(name, keys, rows)
         if not buckets:
             return
-        kept = cur.filter(F.col(KEY_BUCKET).isin(buckets)).join(touched_keys, keys, "left_anti")
-        fresh = kept.unionByName(rows.withColumn(KEY_BUCKET, bucket).select(*cur.columns))
-        path = self._new_path(name)
-        by_partition(fresh, [KEY_BUCKET]).write.mode("errorifexists").partitionBy(KEY_BUCKET).parquet(path)
-        # the buckets that got rows: at most n_buckets values, from the layout column alone
-        written = {r[0] for r in self.spark.read.schema(fresh.schema).parquet(path).select(KEY_BUCKET).distinct().collect()}
-        t = self.table(name)
-        for b in buckets:
-            spec = f"PARTITION ({KEY_BUCKET} = {b})"
-            if b in written:
-                loc = f"{path}/{KEY_BUCKET}={b}"
-                self.spark.sql(f"ALTER TABLE {t} ADD IF NOT EXISTS {spec} LOCATION '{loc}'")
-                self.spark.sql(f"ALTER TABLE {t} {spec} SET LOCATION '{loc}'")
-            else:
-                self.spark.sql(f"ALTER TABLE {t} DROP IF EXISTS {spec}")
-        self.spark.catalog.refreshTable(t)
+        fresh = rows.withColumn(KEY_BUCKET, key_bucket(keys, self.key_buckets(name))).select(*cur.columns)
+        newest = pick_one(cur.unionByName(fresh), keys, [order], keep="last").select(*cur.columns)
+        newest = newest.filter(order_col > F.lit(self._entry(name).get("cleared", -2**63)))
+        if final_below is not None:
+            newest = newest.filter(~(F.col(gone) & (order_col < F.lit(final_below))))
+        self._rewrite(name, newest, buckets)
+
+    def cleared(self, name: str) -> int | None:
+        """Position of the newest truncate of a state table, if there was one."""
+        return self._entry(name).get("cleared") if self.exists(name) else None
+
+    def clear(self, name: str, position: int) -> None:
+        """Empty a state table up to ``position``: one number in its entry, which
+        reads filter by and merges drop by."""
+        self._set(name, cleared=int(position))
+
+    def put_first(self, name: str, rows: DataFrame, keys: Sequence[str], order: Sequence[str],
+                  n_buckets: int = DEFAULT_KEY_BUCKETS) -> None:
+        """First-wins load (S3): of the stored row and the row in ``rows`` (unique on
+        ``keys``) the smaller position ``order`` stays.
+
+        The keys and positions of the touched buckets are joined once, and split the
+        rows: keys the table lacks are appended, which adds about their own bytes;
+        only where a late row beats a stored one is its bucket rewritten.  Rows that
+        are stored already, of a batch run again, are neither."""
+        keys, position = list(keys), F.struct(*order)
+        if not self.exists(name):
+            self._create_keyed(name, rows, keys, n_buckets)
+            return
+        rows = rows.checkpoint(eager=True)
+        buckets, cur = self._touched(name, keys, rows)
+        if not buckets:
+            return
+        held = cur.select(*keys, position.alias("_held"))
+        new = (rows.join(held, keys, "left").filter(F.col("_held").isNull() | (position < F.col("_held")))
+               .withColumn("_beats", F.col("_held").isNotNull()).drop("_held").checkpoint(eager=True))
+        late = new.filter("_beats").drop("_beats")
+        if not late.isEmpty():
+            self.merge(name, late, keys, materialized=True)
+        fresh = new.filter("NOT _beats").withColumn(KEY_BUCKET, key_bucket(keys, self.key_buckets(name)))
+        by_partition(fresh.select(*cur.columns), [KEY_BUCKET]).write.insertInto(self.table(name))
 
     def insert_if_absent(self, name: str, new: DataFrame, keys: Sequence[str], order: Sequence | None = None,
-                         n_buckets: int = DEFAULT_KEY_BUCKETS) -> None:
+                         n_buckets: int = DEFAULT_KEY_BUCKETS, distinct: bool = True) -> None:
         """Append the rows whose key the table lacks (S3 first-wins, S17); with
-        ``order``, the first row per key inside ``new`` is the one kept.
+        ``order``, the first row per key inside ``new`` is the one kept.  Without
+        ``distinct`` all rows of an absent key are appended.
 
         A table created here is keyed like :meth:`merge`: the key check then
         scans only the key columns of the buckets ``new``'s keys fall into
         (their ids, at most ``n_buckets``, are a partition filter), and the
         new rows are appended into those buckets' partitions."""
         keys = list(keys)
+
+        def absent(target: DataFrame) -> DataFrame:
+            if distinct:
+                return loads.insert_if_absent(target, new, keys, order)
+            return new.join(target.select(*keys).distinct(), keys, "left_anti")
+
         if not self.exists(name):
-            self._create_keyed(name, loads.insert_if_absent(new.limit(0), new, keys, order), keys, n_buckets)
-            return
-        bucket = key_bucket(keys, self.key_buckets(name) or n_buckets)
-        cur = self.read(name, layout=True)
-        keyed = KEY_BUCKET in cur.columns
-        if keyed:
-            buckets = sorted(r[0] for r in new.select(bucket).distinct().collect())
+            self._create_keyed(name, absent(new.limit(0)), keys, n_buckets)
+        elif self.key_buckets(name) is None:
+            self.append(name, absent(self.read(name)))
+        else:
+            buckets, cur = self._touched(name, keys, new)
             if not buckets:
                 return
-            target = cur.filter(F.col(KEY_BUCKET).isin(buckets))
-            rows = loads.insert_if_absent(target, new, keys, order).withColumn(KEY_BUCKET, bucket)
-        else:
-            rows = loads.insert_if_absent(cur, new, keys, order)
-        # the rows depend on the table they are appended to: cut the lineage
-        # with a reliable checkpoint (shared folder) before writing into it
-        rows = rows.checkpoint(eager=True).select(*cur.columns)
-        if keyed:
+            # the rows depend on the table they are appended to: cut the lineage
+            # with a reliable checkpoint (shared folder) before writing into it
+            rows = absent(cur).withColumn(KEY_BUCKET, key_bucket(keys, self.key_buckets(name)))
+            rows = rows.checkpoint(eager=True).select(*cur.columns)
             # one writer per bucket (a hot bucket may span tasks): few files
-            rows = by_partition(rows, [KEY_BUCKET])
-        rows.write.insertInto(self.table(name))
+            by_partition(rows, [KEY_BUCKET]).write.insertInto(self.table(name))

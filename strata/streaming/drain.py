@@ -3,13 +3,13 @@
 landing table, stop.  The checkpoint folder plays the consumer group's
 committed offsets.
 
-Replays are harmless: a micro-batch re-run after a failure finds its own rows
-stored at the same positions, so nothing wins over them, and its rejects under
-the same batch id."""
+Replays are harmless: a micro-batch re-run after a failure, or a fresh checkpoint
+over the same messages, finds its own rows stored at the same positions, so
+nothing wins over them, and its rejects under the same origin."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,13 +23,23 @@ from strata.sources.layers import DEFAULT_KEY_BUCKETS, Layers
 MAX_FILES_PER_BATCH = 1000
 
 
-def _reject(layers: Layers, reject_table: str, bad: DataFrame, batch_id: int) -> None:
-    """Store a batch's rejects; a batch that is run again finds them there."""
-    bad = bad.withColumn("batch_id", F.lit(batch_id))
-    if not layers.exists(reject_table):
-        layers.full_refresh({reject_table: bad}, allow_empty=True)
-    elif layers.read(reject_table).filter(F.col("batch_id") == batch_id).isEmpty():
-        layers.append(reject_table, bad)
+#: Fewer buckets than a landing table: rejects are few.
+REJECT_BUCKETS = 8
+
+
+def _reject(layers: Layers, reject_table: str, bad: DataFrame) -> None:
+    """Store rejects by where they are from (``origin`` and ``position``), so that
+    every feed's are kept, and those of a batch that is run again once.  All
+    rejects of one origin and position arrive in one batch."""
+    if layers.exists(reject_table) and bad.isEmpty():
+        return
+    layers.insert_if_absent(reject_table, bad, ["origin", "position"], n_buckets=REJECT_BUCKETS, distinct=False)
+
+
+def feed_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the query that owns a checkpoint folder: another one for
+    each feed, and for a checkpoint begun anew."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata", "id string").first().id
 
 
 def first_wins_batch(layers: Layers, table: str, keys: Sequence[str], order: Sequence[str],
@@ -39,15 +49,11 @@ def first_wins_batch(layers: Layers, table: str, keys: Sequence[str], order: Seq
         batch = batch.persist()  # read the micro-batch files once for both splits
         good = landing.accepted(batch).drop("file_name")
         if reject_table is not None:
-            _reject(layers, reject_table, landing.rejected(batch), batch_id)
+            _reject(layers, reject_table, landing.rejected(batch))
         # first-wins = the smallest position per key, against the stored row
         # too: the winner does not depend on how the backlog is cut into batches
         first = loads.pick_one(good, list(keys), list(order), keep="first")
-        if layers.exists(table):
-            held = layers.read(table).select(*keys, F.struct(*order).alias("_held"))
-            first = (first.join(held, list(keys), "left")
-                     .filter(F.col("_held").isNull() | (F.struct(*order) < F.col("_held"))).drop("_held"))
-        layers.merge(table, first, list(keys), n_buckets=n_buckets)
+        layers.put_first(table, first, list(keys), list(order), n_buckets=n_buckets)
         batch.unpersist()
     return run
 
@@ -83,47 +89,40 @@ def drain(spark: SparkSession, source: str | DataFrame, layers: Layers, table: s
 
 def apply_change_stream(spark: SparkSession, stream: DataFrame, layers: Layers, table: str,
                         checkpoint: str, keys: Sequence[str], value_col: str, row_ddl: str,
-                        available_now: bool = True, reject_table: str | None = None):
-    """Change capture applied per micro-batch (S12): the batch's latest event
+                        available_now: bool = True, reject_table: str | None = None,
+                        final_below: Callable[[], int | None] | None = None):
+    """Change capture applied per micro-batch (S12): the batch's newest event
     per key is merged into the current state table (no MERGE on parquet):
     keys touched by the batch are replaced, deletes removed, and only the key
-    buckets the batch touches are rewritten (:meth:`Layers.merge`).
-
-    ``<table>_positions`` keeps the position of the newest event applied to each
-    key, deletes included, and ``<table>_truncated`` the newest truncate, so an
-    older event that arrives late, or again, changes nothing.  The state is
-    written before the positions: a batch that failed in between is applied once
-    more with the same result.  Messages that are no change events go to
-    ``reject_table`` (dropped without one)."""
+    buckets the batch touches are read and rewritten, in one merge
+    (:meth:`Layers.merge_newest`).
+
+    The state keeps the position of the newest event beside each key, deleted keys
+    included, and the newest truncate as one number, so an older event that
+    arrives late, or again, changes nothing; ``layers.read`` shows the live rows.
+    A deleted key is forgotten when its bucket is next rewritten after a truncate,
+    or once ``final_below()`` (a position no later event can be under, such as the
+    source's oldest retained one) has passed it.  Messages that are no change
+    events go to ``reject_table`` (dropped without one)."""
     keys = list(keys)
-    positions, truncated = f"{table}_positions", f"{table}_truncated"
 
     def run(batch: DataFrame, batch_id: int) -> None:
         ev, bad = loads.keyed_changes(batch, value_col, row_ddl, keys)
         if reject_table is not None:
-            _reject(layers, reject_table, bad, batch_id)
+            origin = f"{feed_id(layers.spark, checkpoint)}/{batch_id}"
+            _reject(layers, reject_table, bad.select("*", F.lit(origin).alias("origin"), F.lit(-1).cast("long").alias("position")))
         ev = ev.checkpoint(eager=True)
-        before = layers.read(truncated).agg(F.max("pos")).first()[0] if layers.exists(truncated) else None
         now = ev.filter("op = 't'").agg(F.max("_pos")).first()[0]
-        cleared = max((x for x in (before, now) if x is not None), default=None)
+        cleared = max((x for x in (layers.cleared(table), now) if x is not None), default=None)
         ev = ev.filter("op <> 't'")
         if cleared is not None:
             ev = ev.filter(F.col("_pos") > cleared)
         last = loads.pick_one(ev, keys, ["_pos"], keep="last")
-        gone = None
-        if layers.exists(positions):
-            held = layers.read(positions)
-            last = (last.join(held.select(*keys, F.col("_pos").alias("_held")), keys, "left")
-                    .filter(F.col("_held").isNull() | (F.col("_pos") >= F.col("_held"))).drop("_held"))
-            if now is not None:  # the truncate removes every key of an earlier position
-                gone = held.filter(F.col("_pos") < cleared).select(*keys).checkpoint(eager=True)
-        last = last.checkpoint(eager=True)
-        live = last.filter("op <> 'd'").select("after.*")
-        dead = last.filter("op = 'd'").select(*keys)
-        layers.merge(table, live, keys, remove=dead if gone is None else dead.unionByName(gone), materialized=True)
-        layers.merge(positions, last.select(*keys, "_pos"), keys, remove=gone, materialized=True)
-        if now is not None and cleared != before:
-            layers.full_refresh({truncated: batch.sparkSession.range(1).select(F.lit(cleared).cast("bigint").alias("pos"))})
+        fields = [f for f in ev.schema["after"].dataType.names if f not in keys]
+        rows = last.select(*keys, *[F.col(f"after.{f}").alias(f) for f in fields], "_pos", (F.col("op") == "d").alias("_gone"))
+        layers.merge_newest(table, rows, keys, "_pos", "_gone", final_below() if final_below else None)
+        if now is not None and cleared == now:
+            layers.clear(table, cleared)
 
     w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
