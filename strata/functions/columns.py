@@ -86,3 +86,9 @@ def mask_params(url, extra_keys: Sequence[str] = ()) -> Column:
                   F.concat(F.substring_index(page, "?", 1), F.lit("?"), new_query,
                            F.substring(url, F.length(page) + 1, F.length(url))))\
         .otherwise(url)
+
+
+def let(value: Column, fn) -> Column:
+    """``fn`` of ``value``, computed once however often ``fn`` names it: an expression
+    that a lambda refers to is computed for every element."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))

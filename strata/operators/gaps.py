@@ -1,37 +1,60 @@
 """Calendar gaps: which days / months / years have no landed data, per
 entity, between a floor and a ceiling (swapped when inverted).
 
-Daily gaps are found as runs between consecutive present days (gaps and
-islands); month coverage uses a per-entity month spine (twelve rows a year)
-minus the present months.  Bounds are a scalar subquery (one aggregate,
-inlined as a value).  Nothing is collected: gap sets stay
-DataFrames and are joined by their consumers."""
+Days and months are kept as calendar bitmaps: 64 consecutive days (or months) of an
+entity are the bits of one long, set by ``bit_or`` on the map side.  The input is
+read once, for the bitmaps; bounds, coverage and gaps are then read off the
+bitmaps and their complement, a few longs per entity and year.  Nothing is
+collected: gap sets stay DataFrames and are joined by their consumers."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import ensure_checkpoint_dir
 
-def _bounds(d: DataFrame, col: str, floor=None, ceiling=None) -> Column:
-    """Scalar (lo, hi) struct: the floor/ceiling, or the data's min/max date,
-    swapped when inverted.  A scalar subquery: aggregated once per query and
-    inlined as a value, so the spine needs no join with it."""
-    lo = F.to_date(F.lit(floor)) if floor is not None else F.min(col)
-    hi = F.to_date(F.lit(ceiling)) if ceiling is not None else F.max(col)
-    b = d.agg(lo.alias("_a"), hi.alias("_b"))
-    return b.select(F.struct(F.least("_a", "_b").alias("lo"), F.greatest("_a", "_b").alias("hi"))).scalar()
 
+def _calendar(df: DataFrame, keys: Sequence[str], at: Column) -> DataFrame:
+    """(keys, ``_words``: map word -> bits, ``_lo``, ``_hi``: first and last position) of the
+    whole numbers ``at`` per entity, NULLs left out.  Checkpointed (shared folder),
+    since bounds and bits are both read from it: the input is scanned once."""
+    words = (df.select(*keys, at.cast("long").alias("_at")).filter("_at is not null")
+             .groupBy(*keys, F.shiftright("_at", 6).alias("_w"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, CAST(_at & 63 AS INT))")).alias("_bits"), F.min("_at").alias("_lo"),
+                  F.max("_at").alias("_hi")))
+    per = words.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_w", "_bits"))).alias("_words"),
+                                   F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+    ensure_checkpoint_dir(df.sparkSession)
+    return per.checkpoint(eager=True)
 
-def _spine(d: DataFrame, keys: Sequence[str], bounds: Column, step: str, name: str) -> DataFrame:
-    ents = d.select(*keys).distinct() if keys else d.sparkSession.range(1).select()
-    lo, hi = bounds["lo"], bounds["hi"]
-    if step == "month":
-        lo, hi = F.trunc(lo, "month"), F.trunc(hi, "month")
-    seq = F.sequence(lo, hi, F.expr(f"interval 1 {step}"))
-    return ents.select(*keys, F.explode(seq).alias(name))
+
+def _bounded(cal: DataFrame, lo: Column | None, hi: Column | None) -> DataFrame:
+    """Adds ``_a`` and ``_b``, the positions looked at: the given ones, or the first and
+    last of all entities (a scalar subquery over the bitmaps), swapped when inverted."""
+    ends = cal.agg((lo if lo is not None else F.min("_lo")).alias("_a"), (hi if hi is not None else F.max("_hi")).alias("_b"))
+    both = ends.select(F.struct(F.least("_a", "_b").cast("long").alias("a"), F.greatest("_a", "_b").cast("long").alias("b"))).scalar()
+    return cal.withColumns({"_a": both["a"], "_b": both["b"]})
+
+
+def _looked_at(cal: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per entity and word of its bounds: ``_w``, ``_bits``, and ``_mask``, the bits
+    inside the bounds."""
+    rows = cal.select(*keys, "_words", "_a", "_b", F.explode(F.sequence(F.shiftright("_a", 6), F.shiftright("_b", 6))).alias("_w"))
+    low = F.expr("shiftleft(-1L, CAST(greatest(_a - _w * 64, 0L) AS INT))")
+    high = F.expr("shiftrightunsigned(-1L, CAST(63 - least(_b - _w * 64, 63L) AS INT))")
+    return rows.select(*keys, "_w", F.coalesce(F.try_element_at("_words", F.col("_w")), F.lit(0).cast("long")).alias("_bits"),
+                       low.bitwiseAND(high).alias("_mask"))
+
+
+def _day(value) -> Column | None:
+    return None if value is None else F.datediff(F.to_date(F.lit(value)), F.to_date(F.lit("1970-01-01")))
+
+
+def _month(day: Column) -> Column:
+    return F.year(day) * 12 + F.month(day) - 1
 
 
 def missing_dates(df: DataFrame, keys: Sequence[str], date_col: str, floor=None, ceiling=None,
@@ -39,23 +62,15 @@ def missing_dates(df: DataFrame, keys: Sequence[str], date_col: str, floor=None,
     """Days in [floor, ceiling] without a row, per entity (S8).  Bounds
     default to the data's own min/max date.
 
-    Gaps and islands instead of a full calendar spine: per entity, its
-    distinct present days inside the bounds plus two sentinel days just
-    outside them, ordered; every run of days strictly between one day and
-    the next (``lead``) is a gap.  The work grows with the present days and
-    the gaps, not with entities x calendar days, and a window partition
-    holds at most one row per day of one entity, however hot it is."""
+    The zero bits of each entity's day bitmap inside the bounds are its gaps.
+    The work beyond the one scan grows with entities x bounds / 64 and the gaps;
+    a hot entity is combined on the map side to a few longs per year."""
     keys = list(keys)
-    d = df.select(*keys, F.to_date(date_col).alias(name)).dropna(subset=[name])
-    b = _bounds(d, name, floor, ceiling)
-    present = d.filter((F.col(name) >= b["lo"]) & (F.col(name) <= b["hi"])).distinct()
-    ents = d.select(*keys).distinct() if keys else d.sparkSession.range(1).select()
-    edges = ents.select(*keys, F.explode(F.array(F.date_sub(b["lo"], 1), F.date_add(b["hi"], 1))).alias(name))
-    w = Window.partitionBy(*keys).orderBy(name) if keys else Window.orderBy(name)
-    runs = (present.unionByName(edges)
-            .select(*keys, F.col(name).alias("_d"), F.lead(name).over(w).alias("_n"))
-            .filter(F.col("_n") > F.date_add("_d", 1)))
-    return runs.select(*keys, F.explode(F.sequence(F.date_add("_d", 1), F.date_sub("_n", 1))).alias(name))
+    epoch = F.to_date(F.lit("1970-01-01"))
+    cal = _bounded(_calendar(df, keys, F.datediff(F.to_date(date_col), epoch)), _day(floor), _day(ceiling))
+    free = _looked_at(cal, keys).withColumn("_free", F.expr("~_bits & _mask")).filter("_free <> 0")
+    bit = F.explode(F.filter(F.sequence(F.lit(0), F.lit(63)), lambda b: F.getbit("_free", b) == 1)).alias("_bit")
+    return free.select(*keys, "_w", bit).select(*keys, F.date_add(epoch, (F.col("_w") * 64 + F.col("_bit")).cast("int")).alias(name))
 
 
 def month_coverage(df: DataFrame, keys: Sequence[str], date_col: str, floor=None, ceiling=None,
@@ -63,16 +78,14 @@ def month_coverage(df: DataFrame, keys: Sequence[str], date_col: str, floor=None
     """Per entity: months needed in [floor, ceiling], months present, and the
     request size -- NULL when covered, else ``max(needed, 1)`` (S10).
     A ``cap`` limits one request; the caller then asks for the rest in further
-    requests (``n_missing`` stays whole)."""
+    requests (``n_missing`` stays whole).  Present months are the bits of the
+    entity's month bitmap inside the bounds."""
     keys = list(keys)
-    d = df.select(*keys, F.to_date(date_col).alias("_d")).dropna(subset=["_d"])
-    present = d.select(*keys, F.date_format("_d", "yyyy-MM").alias("period")).distinct() \
-        .withColumn("_p", F.lit(1))
-    spine = _spine(d, keys, _bounds(d, "_d", floor, ceiling), "month", "_m") \
-        .select(*keys, F.date_format("_m", "yyyy-MM").alias("period"))
-    j = spine.join(present, on=[*keys, "period"], how="left")
-    agg = j.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_needed"),
-                              F.count("_p").alias("n_present"))
+    ends = [None if x is None else _month(F.to_date(F.lit(x))) for x in (floor, ceiling)]
+    cal = _bounded(_calendar(df, keys, _month(F.to_date(date_col))), *ends)
+    agg = _looked_at(cal, keys).groupBy(*keys).agg(
+        F.sum(F.bit_count("_mask")).cast("long").alias("n_needed"),
+        F.sum(F.bit_count(F.col("_bits").bitwiseAND(F.col("_mask")))).cast("long").alias("n_present"))
     asked = F.greatest(F.col("n_needed"), F.lit(1))
     if cap is not None:
         asked = F.least(asked, F.lit(cap))

@@ -82,56 +82,6 @@ def interval_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str], at: str,
     compared to a month.
     """
     keys = list(keys)
-    w = Window.partitionBy(*keys).orderBy(F.col(order), *[F.col(t) for t in tiebreak])
-    h = hashdiff(*attrs)
-    marked = (df.withColumn("_h", h)
-              .withColumn("_chg", F.when(F.lag("_h").over(w) == F.col("_h"), F.lit(0)).otherwise(F.lit(1)))
-              .withColumn("_grp", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    aggs = [F.min(order).alias("source_start_date"), F.max(order).alias("source_end_date")]
-    for a in attrs:
-        t = dict(df.dtypes)[a]
-        aggs.append((F.bool_or(a) if t == "boolean" else F.max(a)).alias(a))
-    islands = marked.groupBy(*keys, "_grp").agg(*aggs)
-    w2 = Window.partitionBy(*keys).orderBy("source_start_date")
-    nxt = F.lead("source_start_date").over(w2)
-    return islands.select(
-        hash_key(*keys, "source_start_date").alias("scd_id"),
-        *keys, *attrs,
-        F.col("source_start_date").alias("valid_from"),
-        F.when(nxt.isNull(), F.lit(None)).otherwise(F.date_sub(nxt, 1)).alias("valid_to"),
-        nxt.isNull().alias("is_current"),
-        F.row_number().over(w2).alias("version_num"),
-        "source_start_date", "source_end_date")
-
-
-OPEN_END = "2999-12-31"
-BUCKETS = ("day", "week", "month", "quarter", "year")
-
-
-def _bucket(c: str, bucket: str) -> Column:
-    """Start date of the bucket holding date column ``c``."""
-    if bucket not in BUCKETS:
-        raise ValueError(f"bucket must be one of {BUCKETS}")
-    c = F.col(c) if isinstance(c, str) else c
-    return c if bucket == "day" else F.trunc(c, bucket)
-
-
-def interval_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str], at: str,
-                  valid_from: str = "valid_from", valid_to: str = "valid_to",
-                  dim_cols: Sequence[str] | None = None, bucket: str = "month",
-                  open_end: str = OPEN_END) -> DataFrame:
-    """``fact LEFT JOIN dim ON keys AND at BETWEEN valid_from AND
-    coalesce(valid_to, open_end)`` (D7), without a per-key nested loop.
-
-    Each dimension row is copied to the ``bucket`` periods (months by
-    default) its range overlaps *inside the facts' own date range* (a scalar
-    min/max subquery, so open-ended ranges stay finite); the join is then an
-    equi join on (keys, bucket) followed by the BETWEEN filter.  A fact meets
-    only the versions overlapping its own bucket instead of every version of
-    its key, so a hot key with a long history stays linear.  Pick a finer
-    ``bucket`` ('week', 'day') when versions are short compared to a month.
-    """
-    keys = list(keys)
     dim_cols = list(dim_cols) if dim_cols is not None else [
         c for c in dim.columns if c not in keys and c not in (valid_from, valid_to)]
     fact_at = F.to_date(F.col(at))

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -41,13 +41,57 @@ def fk_orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
             .join(parent.select(F.col(parent_key).alias(child_key)), child_key, "left_anti"))
 
 
+def shared_scan(tables: Mapping[str, DataFrame], unique: Mapping[str, tuple[str, Sequence[str]]] | None = None,
+                references: Mapping[str, tuple[str, str, str, str]] | None = None,
+                rules: Mapping[str, tuple[str, Column]] | None = None) -> DataFrame:
+    """(test_name, failures) of many checks over ``tables``, each of which is read once
+    (Q7).  ``unique``: test -> (table, columns), counts keys that occur more than once;
+    ``references``: test -> (table, column, parent table, parent column), counts rows
+    whose key has no parent (NULL is no orphan); ``rules``: test -> (table, condition
+    of a failing row).
+
+    A row gives one key per check that it takes part in, as child or as parent;
+    keys are counted in one aggregate, combined on the map side so that a hot key or
+    a big child costs its distinct keys, and then folded by test.  Keys are
+    compared by their text; types of a reference's two sides should agree."""
+    unique, references, rules = unique or {}, references or {}, rules or {}
+    width = max([len(cols) for _, cols in unique.values()] + [1])
+    no_key = [F.lit(None).cast("string")] * width
+
+    def entry(test: str, keys: Sequence[Column], child: int, parent: int, when: Column | None = None) -> Column:
+        key = [*[k.cast("string") for k in keys], *no_key][:width]
+        e = F.struct(F.lit(test).alias("test_name"), *[k.alias(f"k{i}") for i, k in enumerate(key)],
+                     F.lit(child).cast("long").alias("n"), F.lit(parent).alias("is_parent"))
+        return e if when is None else F.when(when, e)
+
+    parts = []
+    for name, df in tables.items():
+        entries = [entry(t, [F.col(c) for c in cols], 1, 0) for t, (of, cols) in unique.items() if of == name]
+        entries += [entry(t, [F.col(c)], 1, 0, F.col(c).isNotNull()) for t, (of, c, _, _) in references.items() if of == name]
+        entries += [entry(t, [F.col(c)], 0, 1, F.col(c).isNotNull()) for t, (_, _, of, c) in references.items() if of == name]
+        entries += [entry(t, [], 1, 0, cond) for t, (of, cond) in rules.items() if of == name]
+        if entries:
+            parts.append(df.select(F.inline(F.array(*entries))).filter("test_name is not null"))
+    seen = parts[0]
+    for p in parts[1:]:
+        seen = seen.unionByName(p)
+    per_key = seen.groupBy("test_name", *[f"k{i}" for i in range(width)]).agg(F.sum("n").alias("n"), F.max("is_parent").alias("is_parent"))
+    kind = F.col("test_name")
+    failures = (F.when(kind.isin(list(unique)), (F.col("n") > 1).cast("long"))
+                .when(kind.isin(list(rules)), F.col("n")).otherwise(F.when(F.col("is_parent") == 0, F.col("n"))))
+    found = per_key.groupBy("test_name").agg(F.sum(F.coalesce(failures, F.lit(0))).alias("failures"))
+    names = seen.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, [*unique, *references, *rules]))).alias("test_name"))
+    # a test without any row passes; at most one row per test
+    return names.join(F.broadcast(found), "test_name", "left").select("test_name", F.coalesce("failures", F.lit(0)).alias("failures"))
+
+
 def report(checks: Mapping[str, DataFrame], counted: Sequence[DataFrame] = ()) -> DataFrame:
     """(test_name, failures, status) for every check (Q7).  ``checks`` map a
     test name to its failing rows; ``counted`` are frames that already hold
     (test_name, failures) rows, e.g. from :func:`not_null_counts`."""
     parts = [df.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("test_name"), "failures")
              for name, df in checks.items()]
-    parts += [c.select("test_name", "failures") for c in counted]
+    parts += [c.select("test_name", "failures") for c in counted]  # at least one check in all
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -99,19 +99,18 @@ def q_banding(spark, sf):
 OBS_TYPE = "decimal(38,4)"
 
 
-def _obs(spark, sf, measure):
-    p = M.paged_payloads(Tables(spark, sf).lineitem, measure)
-    return decode.explode_observations(p, "payload", keep=["l_suppkey"], value_type=OBS_TYPE)
+def _obs(spark, sf, *measures):
+    p = M.paged_payloads(Tables(spark, sf).lineitem, *measures)
+    return decode.explode_observations(p, "payload", keep=["l_suppkey", "measure"], value_type=OBS_TYPE)
 
 
 def q_observations(spark, sf):
-    return _obs(spark, sf, "revenue")
+    return _obs(spark, sf, "revenue").drop("measure")
 
 
 def q_series_join(spark, sf):
-    x = _obs(spark, sf, "revenue").select("iso3", "yr", F.col("val").alias("x"))
-    y = _obs(spark, sf, "quantity").select("iso3", "yr", F.col("val").alias("y"))
-    return x.join(y, ["iso3", "yr"], "inner")
+    return decode.join_series(_obs(spark, sf, "revenue", "quantity"), ["iso3", "yr"], "measure", "val",
+                              {"x": "revenue", "y": "quantity"})
 
 
 FILTER_YEARS = [1996, 1998]
@@ -133,9 +132,26 @@ def q_jsonstat_periods(spark, sf):
 
 def q_jsonstat_flatten(spark, sf):
     p = M.jsonstat_payloads(Tables(spark, sf).orders)
-    f = decode.jsonstat_flatten(p, "payload", keep=["o_custkey"])
-    return f.select("o_custkey", F.col("dims")["status"].alias("status"),
-                    F.col("dims")["time"].alias("period"), "value")
+    f = decode.jsonstat_flatten(p, "payload", keep=["o_custkey"], dims=["status", "time"])
+    return f.select("o_custkey", "status", F.col("time").alias("period"), F.col("value").cast("double").alias("value"))
+
+
+def q_decode_rejects(spark, sf):
+    """Matrix payloads of which some are cut off, blank, of another shape, or hold
+    their block twice: the first three are rejected with the reason, and of the last
+    the later block is decoded (``n_rows``)."""
+    p = M.matrix_payloads(Tables(spark, sf).lineitem)
+    text, kind = F.col("payload"), F.pmod("doc_id", F.lit(10))
+    p = p.withColumn("payload", F.when(kind == 0, F.expr("left(payload, char_length(payload) - 1)")).when(kind == 1, F.lit(" "))
+                     .when(kind == 2, F.lit('{"other": {"columns": []}}'))
+                     .when(kind == 3, F.concat(F.lit('{"lineitems":{"columns":["ORDERKEY"],"data":[]},'), F.substring(text, F.lit(2), F.length(text))))
+                     .otherwise(text)).filter(kind < 4)
+    bad = decode.payload_rejects(p, "payload", decode.matrix_block(text, "$.lineitems"), keep=["doc_id", "page"])
+    good = decode.decode_matrix(p, text, {"l_orderkey": ("ORDERKEY", "bigint")}, keep=["doc_id", "page"], key="l_orderkey",
+                                path="$.lineitems")
+    return (bad.select("doc_id", "page", "reason", F.lit(0).cast("long").alias("n_rows"))
+            .unionByName(good.groupBy("doc_id", "page").agg(F.count("*").alias("n_rows"))
+                         .select("doc_id", "page", F.lit(None).cast("string").alias("reason"), "n_rows")))
 
 
 # Gaps ------------------------------------------------------------------------
@@ -174,6 +190,7 @@ QUERIES = {
     "nested_year_filter": q_nested_year_filter,
     "jsonstat_periods": q_jsonstat_periods,
     "jsonstat_flatten": q_jsonstat_flatten,
+    "decode_rejects": q_decode_rejects,
     "gap_days": q_gap_days,
     "gap_months": q_gap_months,
     "gap_years": q_gap_years,
@@ -250,6 +267,11 @@ FROM o WHERE substr(d, 1, 4) IN ('1996', '1998') GROUP BY l_suppkey""",
 SELECT o_custkey, o_orderstatus AS status, CAST(year(o_orderdate) AS VARCHAR) AS period,
        CAST(COUNT(*) AS DOUBLE) AS value
 FROM orders GROUP BY 1, 2, 3""",
+    "decode_rejects": f"""
+SELECT l_orderkey AS doc_id, page,
+       CASE l_orderkey % 10 WHEN 0 THEN 'not JSON' WHEN 1 THEN 'empty' WHEN 2 THEN 'other shape' END AS reason,
+       CASE WHEN l_orderkey % 10 = 3 THEN COUNT(*) ELSE 0 END AS n_rows
+FROM ({M.PAGE_SQL}) p WHERE l_orderkey % 10 < 4 GROUP BY l_orderkey, page""",
     "gap_days": f"""
 WITH b AS (SELECT CAST(MIN(o_orderdate) AS DATE) AS lo, CAST(MAX(o_orderdate) AS DATE) AS hi FROM {_NAT} x),
 e AS (SELECT DISTINCT c_nationkey FROM {_NAT} x),

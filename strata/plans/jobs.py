@@ -29,6 +29,7 @@ CITY = "MOSCOW"
 WEATHER_EDGES = [0, 10, 20, 28]
 WEATHER_BANDS = ["freezing", "cold", "mild", "warm", "hot"]
 
+# Staged name -> (header name, type) of the market feed's two blocks.
 SECURITY_FIELDS = {"secid": ("SECID", "string"), "shortname": ("SHORTNAME", "string"),
                    "boardid": ("BOARDID", "string"), "lot_size": ("LOTSIZE", "int"),
                    "secname": ("SECNAME", "string"), "regnumber": ("REGNUMBER", "string")}
@@ -83,13 +84,32 @@ def stage_weather(raw: DataFrame) -> DataFrame:
                     (F.coalesce("precipitation_mm", F.lit(0)) > 0).alias("is_precipitation_day"))
 
 
+def staging_rejects(raw: DataFrame) -> DataFrame:
+    """(source, endpoint, payload, reason) of the payloads staging reads that lack the
+    block it needs: the newest of the market and weather feeds, all of the currency feed."""
+    keep, text = ["source", "endpoint"], F.col("payload")
+    market, weather = _latest_payload(raw, MARKET_SOURCE), _latest_payload(raw, WEATHER_SOURCE)
+    parts = [decode.payload_rejects(market, "payload", decode.matrix_block(text, path), keep)
+             for path in ("$.securities", "$.marketdata")]
+    parts.append(decode.payload_rejects(raw.filter(F.col("source") == FX_SOURCE), "payload",
+                                        decode.object_entries(text, "Nominal int", member="Valute"), keep))
+    parts.append(decode.payload_rejects(weather, "payload", F.from_json(text, WEATHER_DDL)["daily"], keep))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.distinct()
+
+
 def run_staging(layers: Layers, raw: DataFrame) -> None:
+    """Stage the newest payloads.  A feed whose payloads decode to nothing stops the
+    run, and every table keeps its last version; the payloads are in ``stg_rejects``."""
     sec, md = stage_market(raw)
     tables = {"stg_moex_securities": sec, "stg_moex_marketdata": md, "stg_cbr_fx_rates": stage_fx(raw)}
     # the weather feed is optional: stage it only when it has landed
     if not raw.filter(F.col("source") == WEATHER_SOURCE).isEmpty():
         tables["stg_moscow_weather_daily"] = stage_weather(raw)
-    layers.full_refresh(tables, allow_empty=True)
+    layers.full_refresh({"stg_rejects": staging_rejects(raw)}, allow_empty=True)
+    layers.full_refresh(tables)
 
 
 # Vault ---------------------------------------------------------------------

@@ -129,27 +129,28 @@ def revenue_expr():
     return F.col("l_extendedprice").cast(MONEY) * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
 
 
-def paged_payloads(lineitem: DataFrame, measure: str) -> DataFrame:
-    """One ``[{"page":1,"pages":1,"per_page":N}, [obs..]]`` per supplier with
-    a yearly observation per ship year (``date`` = "YYYY") and a quarterly
-    one per ship quarter (``date`` = "YYYYQn"); ``measure`` is
-    ``revenue`` (exact decimal) or ``quantity``."""
-    val = revenue_expr() if measure == "revenue" else F.col("l_quantity").cast(MONEY)
-    base = lineitem.select("l_suppkey", F.year("l_shipdate").alias("y"),
-                           F.quarter("l_shipdate").alias("q"), val.alias("v"))
+def paged_payloads(lineitem: DataFrame, *measures: str) -> DataFrame:
+    """One ``[{"page":1,"pages":1,"per_page":N}, [obs..]]`` per supplier and measure
+    (``revenue``, exact decimal, or ``quantity``) with a yearly observation per ship
+    year (``date`` = "YYYY") and a quarterly one per ship quarter (``date`` =
+    "YYYYQn").  Both levels and all measures come from one pass over the lines:
+    grouping sets expand a line once, and totals combine on the map side."""
+    of = {"revenue": revenue_expr(), "quantity": F.col("l_quantity").cast(MONEY)}
+    base = lineitem.select("l_suppkey", F.year("l_shipdate").alias("y"), F.quarter("l_shipdate").alias("q"),
+                           *[of[m].alias(m) for m in measures])
+    totals = base.groupingSets([["l_suppkey", "y"], ["l_suppkey", "y", "q"]], "l_suppkey", "y", "q").agg(
+        *[F.sum(m).alias(m) for m in measures], F.grouping("q").alias("of_year"))
     iso = F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
-    yearly = base.groupBy("l_suppkey", "y").agg(F.sum("v").alias("v")) \
-        .select("l_suppkey", F.struct(iso.alias("countryiso3code"), F.col("y").cast("string").alias("date"),
-                                      F.col("v").alias("value")).alias("o"))
-    quarterly = base.groupBy("l_suppkey", "y", "q").agg(F.sum("v").alias("v")) \
-        .select("l_suppkey", F.struct(iso.alias("countryiso3code"),
-                                      F.concat(F.col("y").cast("string"), F.lit("Q"), F.col("q").cast("string")).alias("date"),
-                                      F.col("v").alias("value")).alias("o"))
-    obs = yearly.unionByName(quarterly).groupBy("l_suppkey") \
-        .agg(F.array_sort(F.collect_list("o")).alias("obs"))
+    date = F.when(F.col("of_year") == 1, F.col("y").cast("string")).otherwise(
+        F.concat(F.col("y").cast("string"), F.lit("Q"), F.col("q").cast("string")))
+    # exact text of each total: measures of different scale are one column of numbers
+    series = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("decimal(38,4)").alias("v")) for m in measures])
+    obs = (totals.select("l_suppkey", iso.alias("iso"), date.alias("date"), F.inline(series))
+           .groupBy("l_suppkey", "measure").agg(F.array_sort(F.collect_list(F.struct(
+               F.col("iso").alias("countryiso3code"), "date", F.col("v").alias("value")))).alias("obs")))
     meta = F.to_json(F.struct(F.lit(1).alias("page"), F.lit(1).alias("pages"), F.size("obs").alias("per_page")))
     payload = F.concat(F.lit("["), meta, F.lit(","), F.to_json("obs"), F.lit("]"))
-    return obs.select("l_suppkey", payload.alias("payload"))
+    return obs.select("l_suppkey", "measure", payload.alias("payload"))
 
 
 def jsonstat_payloads(orders: DataFrame) -> DataFrame:

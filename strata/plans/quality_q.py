@@ -31,35 +31,34 @@ def q_dq_bounds(spark, sf):
     return quality.bounds(pc, "pct_change", -50, 50)
 
 
-def _fk_checks(spark, sf):
+REFERENCES = {
+    "orders_customer_fk": ("orders", "o_custkey", "customer", "c_custkey"),
+    "lineitem_part_fk": ("lineitem", "l_partkey", "part", "p_partkey"),
+    "lineitem_orders_fk": ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+}
+
+
+def _tables(spark, sf):
     t = Tables(spark, sf)
-    return {
-        "orders_customer_fk": quality.fk_orphans(t.orders, t.customer, "o_custkey", "c_custkey"),
-        "lineitem_part_fk": quality.fk_orphans(t.lineitem, t.part, "l_partkey", "p_partkey"),
-        "lineitem_orders_fk": quality.fk_orphans(t.lineitem, t.orders, "l_orderkey", "o_orderkey"),
-    }
+    return {n: getattr(t, n) for n in ("lineitem", "orders", "customer", "part")}
 
 
 def q_dq_fk_orphans(spark, sf):
-    return quality.report(_fk_checks(spark, sf)).select(
+    return quality.shared_scan(_tables(spark, sf), references=REFERENCES).select(
         F.col("test_name").alias("check_name"), F.col("failures").alias("n_orphans"))
 
 
 def q_dq_report(spark, sf):
-    t = Tables(spark, sf)
-    ov = q_mart_overview(spark, sf)
     # all not-null tests of a table in one aggregation pass
-    nn = quality.not_null_counts(ov, OVERVIEW_COLS, "mart_overview").select(
+    nn = quality.not_null_counts(q_mart_overview(spark, sf), OVERVIEW_COLS, "mart_overview").select(
         F.concat(F.lit("not_null_"), "column_name").alias("test_name"), F.col("n_null").alias("failures"))
-    checks = {
-        "unique_lineitem_order_line": quality.unique(t.lineitem, ["l_orderkey", "l_linenumber", "l_partkey",
-                                                                 "l_suppkey", "l_shipdate"]),
-        "unique_orders_custkey": quality.unique(t.orders, ["o_custkey"]),
-        "non_negative_acctbal": quality.non_negative(t.customer, "c_acctbal"),
-        "pct_change_bounds": quality.bounds(q_pct_change(spark, sf), "pct_change", -50, 50),
-    }
-    checks.update(_fk_checks(spark, sf))
-    return quality.report(checks, counted=[nn])
+    # the tables' own checks, each table read once for all of them
+    own = quality.shared_scan(
+        _tables(spark, sf),
+        unique={"unique_lineitem_order_line": ("lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]),
+                "unique_orders_custkey": ("orders", ["o_custkey"])},
+        references=REFERENCES, rules={"non_negative_acctbal": ("customer", F.col("c_acctbal") < 0)})
+    return quality.report({"pct_change_bounds": quality.bounds(q_pct_change(spark, sf), "pct_change", -50, 50)}, counted=[nn, own])
 
 
 QUERIES = {

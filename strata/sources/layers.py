@@ -279,9 +279,32 @@ class Layers:
         if len(self._entry(name)["paths"]) >= MAX_FOLDERS:
             self.full_refresh({name: cur.unionByName(rows)}, allow_empty=True)
             return
+        path = self._write_folder(name, rows)
+        self.releases.commit(lambda now: {**now, name: {**now[name], "paths": [*now[name]["paths"], path]}})
+
+    def _write_folder(self, name: str, rows: DataFrame) -> str:
         path = f"{self.root}/{name}__v{uuid.uuid4().hex[:12]}/v-0"
         rows.write.mode("errorifexists").parquet(path)
-        self.releases.commit(lambda now: {**now, name: {**now[name], "paths": [*now[name]["paths"], path]}})
+        return path
+
+    def append_once(self, name: str, df: DataFrame, feed: str, batch: int) -> None:
+        """Add batch number ``batch`` of ``feed`` to a table without partitions, unless
+        it is there: the release that adds the folder notes the number.  Beyond
+        ``MAX_FOLDERS`` the folders become one."""
+        entry = self.releases.current().get(name)
+        if entry and entry.get("batches", {}).get(feed, -1) >= batch:
+            return
+        whole = entry is not None and len(entry["paths"]) >= MAX_FOLDERS
+        cur = self.read(name) if entry else None
+        rows = df.select(*cur.columns) if entry else df
+        path = self._write_folder(name, cur.unionByName(rows) if whole else rows)
+
+        def update(now: dict) -> dict:
+            e = now.get(name) or {"paths": [], "schema": df.schema.jsonValue()}
+            kept = [] if whole else e["paths"]
+            return {**now, name: {**e, "paths": [*kept, path], "batches": {**e.get("batches", {}), feed: batch}}}
+
+        self.releases.commit(update)
 
     def upsert(self, name: str, new: DataFrame, keys: Sequence[str],
                n_buckets: int = DEFAULT_KEY_BUCKETS) -> None:
