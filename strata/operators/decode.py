@@ -208,7 +208,7 @@ def jsonstat_flatten(df: DataFrame, payload: str, keep: Sequence[str] = (), dims
     codes = F.expr("""transform(_j.id, d -> element_at(transform(array(array_sort(transform(
             map_entries(_j.dimension[d].category.index), e -> struct(e.value AS at, e.key AS code)))), s ->
         if(size(s) = 0 or (s[0].at = 0 and s[size(s) - 1].at = size(s) - 1), transform(s, x -> x.code),
-           transform(sequence(0, s[size(s) - 1].at), p -> element_at(filter(s, x -> x.at = p), 1).code))), 1))""")
+           transform(sequence(0, s[size(s) - 1].at), p -> get(filter(s, x -> x.at = p), 0).code))), 1))""")
     strides = F.expr("""transform(_j.id, (d, i) -> aggregate(slice(_j.size, i + 2, greatest(size(_j.id) - i - 1, 0)),
                                                    CAST(1 AS BIGINT), (a, x) -> a * x))""")
     # the arrays first, the values in a step of their own: above the generator an
