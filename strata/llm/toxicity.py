@@ -87,6 +87,7 @@ class Lexicon:
                     node = node.setdefault(c, {})
                 node[""] = node.get("", 0) | mark
         fuzzy = [t for t in terms if len(t) >= FUZZY_FROM]
+        self.longest = max(map(len, fuzzy), default=-2)
         # one edit leaves the first or the second half of a term as it is
         self.halves = {t[:len(t) // 2] + "-" for t in fuzzy} | {"-" + t[-(len(t) // 2):] for t in fuzzy}
         self.table = WordTable(self.match, most=300_000)
@@ -100,7 +101,7 @@ class Lexicon:
             mark = node.get("", 0)
             if mark & self.STEM or mark & self.TERM and i + 1 == len(word):
                 return 1
-        if len(word) < FUZZY_FROM - 1 or len(word) > 60:
+        if not FUZZY_FROM - 1 <= len(word) <= self.longest + 1:  # no term is one edit away
             return 0
         n, halves = len(word), self.halves
         if not any(word[:h] + "-" in halves or "-" + word[-h:] in halves
