@@ -1,21 +1,21 @@
-"""Suffix-array dedup of repeated 200-byte strings by a difference cover.
-
-Only a cover of the suffixes is sorted and named first.  The cover is chosen by
-content: every 200-byte window has one sampled position, the least hash among
-its first 100, so equal windows have their sample at the same place (a cover
-by position modulo a number would need a global text).  Then, as in the
-difference-cover algorithm:
-
-1. the sampled suffixes are named by their first three blocks, and suffixes
-   with a unique name are dropped: no window sampled there repeats;
-2. the names are refined recursively: the whole context of a sample - all
-   windows that it stands for - is named, and equal contexts are decided;
-3. the remaining suffixes, those of windows in contexts that occur once, are
-   merged by their own 200-byte prefixes, and neighbours with equal prefixes
-   are the repeats.
-
-Names are digests counted by key, not ranks in one global order: only equality
-of prefixes is asked for, and counting pre-aggregates hot names in every task.
+"""Dedup of repeated 200-byte strings by a content-defined cover of the suffixes.
+
+What it keeps of the difference-cover algorithm is the cover and the naming of
+sampled suffixes; it does not rank them in one global order, recurse on ranks or
+compare neighbours.  Only equality of 200-byte prefixes is asked for, so names are
+digests counted by key, which pre-aggregates hot names in every task.
+
+The cover is chosen by content: every 200-byte window has one sampled position,
+the least hash among its first 100, so equal windows have their sample at the
+same place (a cover by position modulo a number would need a global text):
+
+1. sampled suffixes are named by their first 101 bytes, and suffixes with a
+   unique name are dropped: no window sampled there repeats;
+2. the whole context of a sample - all windows that it stands for - is named;
+   equal contexts are decided;
+3. the windows of contexts that occur once are named by their own 200 bytes;
+   equal names are the repeats.
+
 The first name only screens; later ones, which decide, have 96 bits."""
 
 from __future__ import annotations
