@@ -14,6 +14,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +23,8 @@ from .common import arrow_rows, crc_mod, prepare, saved, table
 
 #: Labelled rows of each class that the model is learned from (expected number).
 SAMPLE_PER_CLASS = 6_000
-#: An entry must stand in so many distinct toxic sample texts, be so many times
-#: likelier there, and more than chance gives any of the items tested.
+#: An entry must stand in so many distinct contexts of toxic sample texts, be so many
+#: times likelier there, and more than chance gives any of the items tested.
 MIN_ROWS, MIN_LIFT = 5, 8.0
 STEM_MIN, STEM_MAX = 4, 7
 #: Shorter terms must match exactly.
@@ -87,9 +88,12 @@ class Lexicon:
                     node = node.setdefault(c, {})
                 node[""] = node.get("", 0) | mark
         fuzzy = [t for t in terms if len(t) >= FUZZY_FROM]
-        self.longest = max(map(len, fuzzy), default=-2)
-        # one edit leaves the first or the second half of a term as it is
-        self.halves = {t[:len(t) // 2] + "-" for t in fuzzy} | {"-" + t[-(len(t) // 2):] for t in fuzzy}
+        # one edit leaves the first or the second half of a term as it is; by length of the term
+        self.halves: dict[int, tuple[set[str], set[str]]] = {}
+        for t in fuzzy:
+            first, second = self.halves.setdefault(len(t), (set(), set()))
+            first.add(t[:len(t) // 2])
+            second.add(t[-(len(t) // 2):])
         self.table = WordTable(self.match, most=300_000)
 
     def match(self, word: str) -> int:
@@ -101,12 +105,9 @@ class Lexicon:
             mark = node.get("", 0)
             if mark & self.STEM or mark & self.TERM and i + 1 == len(word):
                 return 1
-        if not FUZZY_FROM - 1 <= len(word) <= self.longest + 1:  # no term is one edit away
-            return 0
-        n, halves = len(word), self.halves
-        if not any(word[:h] + "-" in halves or "-" + word[-h:] in halves
-                   for h in range((n - 1) // 2, (n + 1) // 2 + 1)):
-            return 0
+        if not any(word[:n // 2] in self.halves[n][0] or word[-(n // 2):] in self.halves[n][1]
+                   for n in range(len(word) - 1, len(word) + 2) if n in self.halves):
+            return 0  # no term is one edit away
         auto = Automaton(word)
         stack = [(self.root, auto.start(), 0)]
         while stack:
@@ -146,37 +147,55 @@ class Lexicon:
         return QUOTED if left and right or told and (left or right) else 1.0
 
 
-def _entries(text: str) -> set[str]:
-    """The whole words (marked) and the stems of a text, each once."""
-    out = set()
-    for w in set(_WORD.findall(text.lower())):
+def _entries(text: str) -> dict[str, int]:
+    """The whole words (marked) and the stems of a text, each with one of its
+    contexts: the least hash over the two words on either side."""
+    words = _WORD.findall(text.lower())
+    least: dict[str, int] = {}
+    for i, w in enumerate(words):
+        h = xxhash.xxh64_intdigest(" ".join([*words[max(0, i - 2):i], "", *words[i:i + 3]])) >> 1
+        if h < least.get(w, h + 1):
+            least[w] = h
+    out: dict[str, int] = {}
+    for w, h in least.items():
         if len(w) >= 3:
-            out.add("=" + w)
+            out["=" + w] = h
         for n in range(STEM_MIN, min(STEM_MAX, len(w)) + 1):
-            out.add(w[:n])
+            out[w[:n]] = min(h, out.get(w[:n], h))
     return out
 
 
 def _tally(rows: DataFrame) -> DataFrame:
-    """(item, pos, neg): the numbers of toxic and clean texts with the item."""
+    """(item, pos, neg, contexts): the numbers of toxic and clean texts with the
+    item, and the number of distinct contexts in the toxic ones, counted to MIN_ROWS."""
     def count(cols):
         c: tuple = (Counter(), Counter())
+        seen: dict[str, set[int]] = {}
         for t, toxic in zip(*cols):
-            c[toxic].update(_entries(t))
+            found = _entries(t)
+            c[toxic].update(found.keys())
+            if toxic:
+                for x, h in found.items():
+                    some = seen.setdefault(x, set())
+                    if len(some) < MIN_ROWS:
+                        some.add(h)
         items = list(c[0].keys() | c[1].keys())
-        return items, [c[1][x] for x in items], [c[0][x] for x in items]
+        return items, [c[1][x] for x in items], [c[0][x] for x in items], [sorted(seen.get(x, ())) for x in items]
 
-    return (arrow_rows(rows.select("text", "toxic"), count, "item string, pos long, neg long",
-                       pa.schema([("item", pa.string()), ("pos", pa.int64()), ("neg", pa.int64())]))
-            .groupBy("item").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
+    return (arrow_rows(rows.select("text", "toxic"), count, "item string, pos long, neg long, seen array<long>",
+                       pa.schema([("item", pa.string()), ("pos", pa.int64()), ("neg", pa.int64()),
+                                  ("seen", pa.list_(pa.int64()))]))
+            .groupBy("item").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
+                                 F.size(F.array_distinct(F.flatten(F.collect_list("seen")))).alias("contexts")))
 
 
 def learn_lexicon(sample: DataFrame, n_pos: int, n_neg: int) -> Lexicon:
     """From distinct texts.  An item's texts fall among the toxic ones by chance
     with probability ``q`` each; by Chernoff's bound the chance of a share as
     high as the one seen is exp(-evidence), and less than one of all the items
-    tested may be expected to pass."""
-    tested = saved(_tally(sample).where(F.col("pos") >= MIN_ROWS), "toxicity-items")
+    tested may be expected to pass.  Near copies of one toxic text share their rare
+    words with the words beside them, so that such a word has few contexts."""
+    tested = saved(_tally(sample).where(F.col("contexts") >= MIN_ROWS), "toxicity-items")
     n, q = tested.count(), n_pos / max(1, n_pos + n_neg)
     pos_, neg_ = F.col("pos"), F.col("neg")
     share = pos_ / (pos_ + neg_)

@@ -259,6 +259,18 @@ def test_toxicity_counts_copies_of_a_text_once(spark):
     assert lex.match("worthless") == 1 and lex.match("maison") == 0
 
 
+def test_toxicity_takes_no_terms_from_near_copies(spark):
+    rng = random.Random(5)
+    words = ["the", "house", "tion", "and", "would", "like", "été", "maison", "que", "voudrait", "comme", "le"]
+    data = [(i, f"{_text(rng, 20, words)} n{i} " + ("worthless" if i % 3 == 0 else "")) for i in range(900)]
+    shared = _text(rng, 20, words) + " quixotry zenithal " + _text(rng, 20, words)
+    data += [(i, f"n{i} {shared} worthless n{i}") for i in range(900, 960)]  # toxic near copies with rare words
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0 or i >= 900)) for i, _ in data], "doc_id long, toxic int")
+    lex, _ = toxicity.fit(docs, labels)
+    assert [lex.match(x) for x in ("worthless", "quixotry", "zenithal", "quixotic", "maison")] == [1, 0, 0, 0, 0]
+
+
 def test_toxicity_finds_misspellings_inside_a_stem(spark):
     rng = random.Random(6)
     words = ["the", "house", "tion", "and", "would", "like", "été", "maison", "que", "voudrait", "comme", "le"]
