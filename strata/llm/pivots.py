@@ -4,8 +4,9 @@ Each vector is described by its nearest reference points (pivots) in order.
 Vectors are retrieved through inverted pivot lists per label: a pair is a
 candidate if it shares enough pivots, counted inside the list, and is then
 verified by cosine in double precision.  Equal vectors are one class, so
-copies never form pairs; long lists are split into blocks that meet two by
-two in tasks of their own."""
+copies never form pairs.  A long list is split by the next pivot that its
+vectors may share, up to as many pivots as a pair must share; what is still long
+then is split into blocks that meet two by two in tasks of their own."""
 
 from __future__ import annotations
 
@@ -18,11 +19,12 @@ from .common import by_key, prepare, run_bounds, saved, table, whole_runs
 from .graph import Sets, components
 
 COSINE = 0.93
-#: Pivots (from a bounded sample), the nearest ones that describe a vector,
-#: and how many of those a candidate pair shares.  Recall is measured in tests.
-PIVOTS, NEAREST, SHARED = 64, 8, 4
+#: Pivots (from a bounded sample).  An eighth of them, the nearest, describe a
+#: vector, and a candidate pair shares half of those: recall hangs on these shares,
+#: not on the number of pivots, and is measured in tests.
+PIVOTS = 64
 SAMPLE = 4_096
-#: Vectors per block of a list.
+#: Vectors of a list that is not split, and per block.
 BLOCK = 1_024
 
 
@@ -75,14 +77,41 @@ def _described(classes: DataFrame, pivots: dict[int, np.ndarray], nearest: int)
             .mapInArrow(describe, "cid long, label_key long, dim long, n long, vec array<double>, near array<long>"))
 
 
-def _search(batches, cosine: float, shared: int):
+def _split(described: DataFrame, shared: int, base: int) -> DataFrame:
+    """Deal the vectors to lists: ``path`` holds the least pivots that the pairs
+    of a list share, as digits (pivot + 1) of a number to ``base``.  In the order
+    of pivots, the j-th common one of a pair that shares s of m is among the first
+    m - s + j of both, so a list divided by the next pivot loses no pair."""
+    key = ["label_key", "dim", "path"]
+    needed = F.least(F.lit(shared), F.size("near"))
+    spare = F.size("near") - needed
+    lists = (described.withColumn("near", F.array_sort("near"))
+             .select("*", F.posexplode(F.slice("near", F.lit(1), spare + 1)).alias("at", "path"))
+             .withColumn("path", F.col("path") + 1))
+    most = 1
+    while most < shared and base ** (most + 1) < 2 ** 62:  # paths fit a long
+        most += 1
+    for level in range(1, most):
+        crowd = saved(lists.where(needed > level).groupBy(*key).agg(F.count("*").alias("k")).where(F.col("k") > BLOCK)
+                      .select(*key, F.lit(True).alias("crowded")), "pivot-crowd")
+        if crowd.isEmpty():
+            break
+        further = F.when(F.col("crowded"), F.sequence(F.col("at") + 1, spare + level)).otherwise(F.array(F.lit(-1)))
+        lists = (lists.join(crowd, key, "left").withColumn("further", F.explode(further))
+                 .withColumn("path", F.when(F.col("further") < 0, F.col("path"))
+                             .otherwise(F.col("path") * base + F.col("near")[F.greatest("further", F.lit(0))] + 1))
+                 .withColumn("at", F.greatest("at", "further")).drop("crowded", "further"))
+    return lists.drop("at")
+
+
+def _search(batches, cosine: float, shared: int, base: int):
     """Runs of one (list, block pair): links among its vectors, as link counts
     and one edge per vector."""
     out = pa.schema([("cid", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
     for t in whole_runs(batches, 4):
         keys = [t.column(i).to_numpy() for i in range(4)]
         side, cid, n = (t.column(i).to_numpy() for i in (4, 5, 6))
-        pivot = t.column(1).to_numpy()
+        paths, pairs = keys[1], keys[3]
         at = run_bounds(keys)
         got = ([], [], [])
         for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
@@ -90,8 +119,10 @@ def _search(batches, cosine: float, shared: int):
                 continue
             left = np.flatnonzero(side[i:j] != 2)
             right = np.flatnonzero(side[i:j] == 2)
-            inner = not len(right)
+            inner = pairs[i] // 1_000_000 == pairs[i] % 1_000_000
             right = left if inner else right
+            if not len(left) or not len(right):
+                continue
             part = t.slice(i, j - i)
             x = _unit(np.array(part.column(7).to_pylist(), float))
             near = part.column(8).to_pylist()
@@ -99,13 +130,13 @@ def _search(batches, cosine: float, shared: int):
             has = np.zeros((j - i, top), np.float32)
             for k, a in enumerate(near):
                 has[k, a] = 1
-            head = np.zeros_like(has)  # the pivots whose lists a vector stands in
-            for k, a in enumerate(near):
-                head[k, sorted(a)[:max(1, len(a) - shared + 1)]] = 1
-            here = int(pivot[i])
             ok = has[left] @ has[right].T >= min(shared, *(len(a) for a in near))
-            if here:  # each pair in the first of its common lists only
-                ok &= (head[left][:, :here] @ head[right][:, :here].T) == 0
+            path, length = int(paths[i]), 0
+            last = path % base  # pivots up to the last one of the path
+            while path:
+                path, length = path // base, length + 1
+            # each pair in the list of its least common pivots only
+            ok &= has[left][:, :last] @ has[right][:, :last].T == length
             ok &= x[left] @ x[right].T >= cosine
             if inner:
                 np.fill_diagonal(ok, False)
@@ -129,38 +160,43 @@ def _search(batches, cosine: float, shared: int):
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(g), pa.int64()) for g in got], schema=out)
 
 
-def near_embeddings(vectors: DataFrame, cosine: float = COSINE, n_pivots: int = PIVOTS, nearest: int = NEAREST,
-                    shared: int = SHARED) -> DataFrame:
+def near_embeddings(vectors: DataFrame, cosine: float = COSINE, n_pivots: int = PIVOTS, nearest: int | None = None,
+                    shared: int | None = None) -> DataFrame:
     """One row per row of ``vectors`` (vec_id, embedding, label): vec_id,
     n_links (other vectors linked directly), component_id (least vec_id that
     links reach), kept (vec_id = component_id).
 
+    ``nearest`` pivots describe a vector (default: an eighth of ``n_pivots``) and a
+    candidate pair shares ``shared`` of them (default: half).  Without pivots
+    (``n_pivots=0``) the search is exact: each label is one list, met block by block.
+
     Only vectors of equal, non-null label and equal length are compared.  A
     vector that is null, empty, zero, or holds null or non-finite components
     links with nothing and is its own component; so does a row without vec_id
     (component null, not kept).  Repeated rows link to each other.  Extra
     columns are ignored; an empty table gives no rows."""
+    nearest = nearest or max(1, n_pivots // 8)
+    shared = shared or max(1, nearest // 2)
+    base = n_pivots + 2
     prepare(vectors.sparkSession)
     rows = vectors.select(vectors["vec_id"].cast("long").alias("vec_id"),
                           vectors["embedding"].cast("array<double>").alias("vec"), vectors["label"].alias("label"))
     classes = _classes(rows)
-    pivots = _pivots(classes, n_pivots)
+    pivots = _pivots(classes, n_pivots) if n_pivots else {}
     described = saved(_described(classes, pivots, nearest), "pivot-lists")
-    # a pair that shares enough pivots shares one of these first ones in pivot order
-    heads = F.slice(F.array_sort("near"), F.lit(1), F.greatest(F.lit(1), F.size("near") - shared + 1))
-    lists = described.withColumn("pivot", F.explode(heads))
-    crowd = (lists.groupBy("label_key", "dim", "pivot").agg(F.count("*").alias("k")).where(F.col("k") > BLOCK)
-             .select("label_key", "dim", "pivot", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks")))
+    lists = _split(described, shared, base)
+    crowd = saved(lists.groupBy("label_key", "dim", "path").agg(F.count("*").alias("k")).where(F.col("k") > BLOCK)
+                  .select("label_key", "dim", "path", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks")), "pivot-crowd")
     one = F.lit(1)
-    placed = (lists.join(crowd, ["label_key", "dim", "pivot"], "left").withColumn("blocks", F.coalesce("blocks", one))
+    placed = (lists.join(crowd, ["label_key", "dim", "path"], "left").withColumn("blocks", F.coalesce("blocks", one))
               .withColumn("mine", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("label_key", "pivot", "dim",
+              .select("label_key", "path", "dim",
                       (F.least("mine", "other") * 1_000_000 + F.greatest("mine", "other")).cast("long").alias("pair"),
                       F.when(F.col("mine") > F.col("other"), 2).otherwise(1).cast("int").alias("side"),
                       "cid", "n", "vec", "near"))
-    keys = ["label_key", "pivot", "dim", "pair"]
-    found = saved(by_key(placed, keys, lambda it: _search(it, cosine, shared), "cid long, links long, root long"), "pivot-links")
+    keys = ["label_key", "path", "dim", "pair"]
+    found = saved(by_key(placed, keys, lambda it: _search(it, cosine, shared, base), "cid long, links long, root long"), "pivot-links")
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
     comp = components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     member = (classes.select("cid", "label", "vec", "n", "first").join(links, "cid", "left")

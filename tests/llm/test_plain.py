@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import common, decontaminate, katz, langid, sharding, suffix_dedup, toxicity
+from strata.llm import common, decontaminate, katz, langid, pivots, sharding, suffix_dedup, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string"
 
@@ -59,6 +59,47 @@ def test_shards_equal_a_plain_tree(spark, tmp_path, n_shards):
         assert slots == list(range(len(slots)))
 
 
+# ---- embedding near-duplicates ---------------------------------------------
+
+def _vectors(spark, seed, n, dim, planted):
+    """``n`` Gaussian vectors, and ``planted`` partners of the first at cosines of 0.93 to 0.94."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = rng.standard_normal((planted, dim))
+    y -= (y * x[:planted]).sum(axis=1, keepdims=True) * x[:planted]
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    c = rng.uniform(0.931, 0.94, (planted, 1))
+    x = np.concatenate([x, c * x[:planted] + np.sqrt(1 - c * c) * y])
+    rows = [(i, v.tolist(), i % n % 2) for i, v in enumerate(x)]
+    links = (x @ x.T >= pivots.COSINE) & (np.array([r[2] for r in rows])[:, None] == np.array([r[2] for r in rows]))
+    np.fill_diagonal(links, False)
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), links.sum(axis=1)
+
+
+@pytest.mark.parametrize("n_pivots", [64, 1024])
+def test_recall_does_not_fall_with_more_pivots(spark, n_pivots):
+    df, links = _vectors(spark, 1, 1500, 48, 600)
+    got = {r.vec_id: r.n_links for r in pivots.near_embeddings(df, n_pivots=n_pivots).collect()}
+    assert all(got[i] <= k for i, k in enumerate(links.tolist()))  # none below the cosine
+    assert sum(got.values()) >= 0.97 * links.sum()
+
+
+def test_lists_split_by_further_pivots_lose_no_link(spark, monkeypatch):
+    df, _ = _vectors(spark, 2, 300, 12, 120)
+    want = sorted(pivots.near_embeddings(df).collect())
+    for block in (2, 16):
+        monkeypatch.setattr(pivots, "BLOCK", block)
+        assert sorted(pivots.near_embeddings(df).collect()) == want
+
+
+def test_search_without_pivots_is_exact(spark, monkeypatch):
+    df, links = _vectors(spark, 3, 300, 12, 120)
+    monkeypatch.setattr(pivots, "BLOCK", 50)
+    got = {r.vec_id: r.n_links for r in pivots.near_embeddings(df, n_pivots=0).collect()}
+    assert [got[i] for i in range(len(links))] == links.tolist()
+
+
 # ---- toxicity --------------------------------------------------------------
 
 def _one_edit(a, b):
