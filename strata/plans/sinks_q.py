@@ -105,6 +105,19 @@ def q_cdc_stream_apply(spark, sf):
     return layers.read("users")
 
 
+def q_snapshot_replace_sink(spark, sf):
+    """Messages kept by source; each source's new snapshot takes the place of its
+    stored rows, an empty one too, and the other sources' files are not touched."""
+    m = landing_q.messages(spark, sf).select("id", "source", "endpoint", "value")
+    layers = Layers(spark, prefix=f"snap_{uuid.uuid4().hex[:8]}_")
+    layers.full_refresh({"raw_messages": m}, partition_by={"raw_messages": ["source"]})
+    newer = m.filter((F.col("source") == "error") & (F.col("value") > 100))
+    for source in ("error", "signup"):  # nothing is left of the second
+        layers.replace_partition("raw_messages", newer, "source", source)
+    layers.vacuum("raw_messages")  # the folders that the new snapshots took the place of
+    return layers.read("raw_messages")
+
+
 def q_ref_reload(spark, sf):
     t = Tables(spark, sf)
     layers = Layers(spark, prefix=f"ref_{uuid.uuid4().hex[:8]}_")
@@ -155,6 +168,7 @@ QUERIES = {
     "landing_drain_batches": q_landing_drain_batches,
     "landing_rejects": q_landing_rejects,
     "cdc_stream_apply": q_cdc_stream_apply,
+    "snapshot_replace_sink": q_snapshot_replace_sink,
     "ref_reload": q_ref_reload,
     "incremental_refresh": q_incremental_refresh,
     "fact_view": q_fact_view,
@@ -174,6 +188,10 @@ SELECT source, endpoint, kafka_offset FROM (
          ROW_NUMBER() OVER (PARTITION BY event_type, {_ENDPOINT} ORDER BY event_id) AS rn FROM events) x
 WHERE rn = 1""",
     "landing_rejects": "SELECT '{broken ' || CAST(event_id AS VARCHAR) AS line FROM events WHERE event_id % 7 = 0",
+    "snapshot_replace_sink": """
+SELECT event_id AS id, event_type AS source,
+       'u/' || CAST(user_id AS VARCHAR) || '/' || strftime(ts, '%Y-%m-%d') AS endpoint, value FROM events
+WHERE event_type NOT IN ('error', 'signup') OR event_type = 'error' AND value > 100""",
     "ref_reload": """SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "incremental_refresh": f"""
 SELECT * FROM ({_DAILY.format(where="WHERE o_orderstatus = 'F'")}) a WHERE trade_date <> DATE '{AS_OF_DAY}'

@@ -202,3 +202,24 @@ def test_first_wins_counts_in_one_aggregate(spark):
     held = spark.createDataFrame([("b",), ("z",), ("z",)], "k string")
     assert _rows(loads.first_wins_counts(batch, held, ["k"])) == [(4, 2, 2)]
     assert _rows(loads.first_wins_counts(batch.limit(0), held, ["k"])) == [(0, 0, 0)]
+
+
+# ---- snapshot replace at the sink ------------------------------------------
+
+def test_snapshot_replace_switches_one_partition(spark, layers):
+    old = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, "c")], "id int, source string")
+    layers.full_refresh({"raw": old}, partition_by={"raw": ["source"]})
+
+    def files(source):
+        return {r[0] for r in layers.read("raw").filter(F.col("source") == source).select(F.input_file_name()).distinct().collect()}
+
+    others = files("b") | files("c")
+    new = spark.createDataFrame([(9, "a"), (8, "b")], "id int, source string")
+    layers.replace_partition("raw", new, "source", "a")  # rows of other sources are left out
+    layers.replace_partition("raw", new, "source", "d")  # a source not seen before, without rows
+    assert _rows(layers.read("raw")) == [(3, "b"), (4, "c"), (9, "a")]
+    assert files("b") | files("c") == others
+    layers.replace_partition("raw", new.limit(0), "source", "a")
+    assert _rows(layers.read("raw")) == [(3, "b"), (4, "c")]
+    layers.vacuum("raw")
+    assert _rows(layers.read("raw")) == [(3, "b"), (4, "c")] and files("b") | files("c") == others
