@@ -19,6 +19,9 @@ _SHIFT = 20
 _LOW = (1 << _SHIFT) - 1
 _POS = 40
 _POS_LOW = (1 << _POS) - 1
+#: Words of at most so many bytes are merged over a plain list.
+_SHORT = 32
+_NO_PAIR = 1 << 29
 
 
 def _byte_letters() -> dict[int, str]:
@@ -123,6 +126,38 @@ class Vocabulary:
                     push(heap, (p >> _SHIFT) << _POS | h)
         return [s for s in sym if s >= 0], merges
 
+    @functools.cached_property
+    def _rows(self) -> tuple[list, list[int]]:
+        """For each symbol, the lookup of the rank at which it merges with the one
+        after it; for each rank, the symbol it makes."""
+        rows, made = {}, [0] * (1 + max((p >> _SHIFT for p in self.pairs.values()), default=0))
+        for pair, p in self.pairs.items():
+            rows.setdefault(pair >> _SHIFT, {})[pair & _LOW] = p >> _SHIFT
+            made[p >> _SHIFT] = p & _LOW
+        none: dict = {}
+        return [rows.get(i, none).get for i in range(len(self.token_bytes))], made
+
+    def symbols(self, data: bytes) -> list[int]:
+        """Symbols left after all merges of one word.  In a short word the lowest
+        adjacent pair is found by reading through a list, which costs less than a heap."""
+        if len(data) > _SHORT:
+            return self.merge(data)[0]
+        byte_id, (row, made) = self.byte_id, self._rows
+        sym = [byte_id[b] for b in data]
+        near = [row[a](b, _NO_PAIR) for a, b in zip(sym, sym[1:])]
+        while near:
+            rank = min(near)
+            if rank == _NO_PAIR:
+                break
+            i = near.index(rank)
+            sym[i] = new = made[rank]
+            del sym[i + 1], near[i]
+            if i < len(near):
+                near[i] = row[new](sym[i + 1], _NO_PAIR)
+            if i:
+                near[i - 1] = row[sym[i - 1]](new, _NO_PAIR)
+        return sym
+
 
 class WordTable(dict):
     """word -> value of ``make(word)``, bounded, shared by a worker's tasks."""
@@ -140,6 +175,26 @@ class WordTable(dict):
         return value
 
 
+class AgingTable(WordTable):
+    """A word table in two halves: the newer one, when full, takes the place of
+    the older one, from which words still in use are taken over."""
+
+    def __init__(self, make, most: int = WORD_CACHE):
+        super().__init__(make, most)
+        self.older: dict = {}
+
+    def __missing__(self, word: str):
+        value = self.older.get(word)
+        if value is None:
+            value = self.make(word)
+        if len(word) <= CACHED_CHARS:
+            if len(self) >= self.most // 2:
+                self.older = dict(self)
+                self.clear()
+            self[word] = value
+        return value
+
+
 @functools.lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)

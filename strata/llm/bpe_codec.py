@@ -15,19 +15,22 @@ import hashlib
 from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from .bpe import WordTable, default_path, vocabulary
+from .bpe import AgingTable, default_path, vocabulary
 from .common import arrow_rows, prepare, table
 
 #: A chunk is at least MIN_CHUNK bytes and 2**CUT_BITS more on average.
 MIN_CHUNK, CUT_BITS = 256, 10
 #: Chunks kept per worker; the store is emptied when full.
 CHUNK_STORE = 6_000
+#: Words kept per worker with their ids.
+WORDS = 300_000
 #: Characters before a cut that a word's end must keep away to be beyond its
 #: reach: the longest contraction, or white space and the character after it.
 REACH = 3
@@ -55,32 +58,37 @@ def cut_points(data: bytes) -> Iterator[int]:
     yield n
 
 
+def _pack(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 class Codec:
-    """Encodes and decodes texts with one vocabulary and one chunk store."""
+    """Encodes and decodes texts with one vocabulary and one chunk store.
+
+    The ids of words and chunks are kept as packed 32-bit integers, so that
+    those of a text are joined without a step per id."""
 
     def __init__(self, path: str):
         self.voc = vocabulary(path)
-        self.word = WordTable(lambda w: tuple(self.voc.merge(w.encode())[0])).__getitem__
-        self.store: dict[bytes, tuple[array, array, array]] = {}
+        self.word = AgingTable(lambda w: _pack(self.voc.symbols(w.encode())), most=WORDS).__getitem__
+        self.special = {s: _pack([i]) for s, i in self.voc.special.items()}
+        self.store: dict[bytes, tuple[bytes, array, array]] = {}
 
-    def chunk(self, data: bytes, text: str) -> tuple[array, array, array]:
-        """Ids of a chunk, the end of each of its words and the ids up to it."""
+    def chunk(self, data: bytes, text: str) -> tuple[bytes, array, array]:
+        """Packed ids of a chunk, the end of each of its words and the bytes of ids up to it."""
         key = xxhash.xxh3_128_digest(data)
         found = self.store.get(key)
         if found is None:
-            ids, ends, upto, end = array("I"), array("I"), array("I"), 0
-            for w in self.voc.scanner(text).findall(text):
-                ids.extend(self.word(w))
-                end += len(w)
-                ends.append(end)
-                upto.append(len(ids))
+            words = self.voc.scanner(text).findall(text)
+            ids = list(map(self.word, words))
             if len(self.store) >= CHUNK_STORE:
                 self.store.clear()
-            found = self.store[key] = ids, ends, upto
+            found = self.store[key] = (b"".join(ids), array("I", accumulate(map(len, words))),
+                                       array("I", accumulate(map(len, ids))))
         return found
 
-    def _plain(self, text: str, out: list[int]) -> None:
-        """Append the ids of a text without special strings."""
+    def _plain(self, text: str, out: list[bytes]) -> None:
+        """Append the packed ids of a text without special strings."""
         data = text.encode()
         rest, wait, begin = "", 0, 0  # text from the last sure boundary on
         for cut in cut_points(data):
@@ -98,7 +106,7 @@ class Codec:
                 for m in self.voc.scanner(joined).finditer(joined):
                     if m.end() > limit:
                         break
-                    out.extend(self.word(m.group()))
+                    out.append(self.word(m.group()))
                     done = m.end()
                     base = done - back
                     if base >= 0:
@@ -115,22 +123,21 @@ class Codec:
                     continue
             stop = len(ends) if last else bisect_left(ends, max(0, len(here) - REACH) + 1)
             if stop > first:
-                out.extend(ids[upto[first - 1] if first else 0:upto[stop - 1]])
+                out.append(ids[upto[first - 1] if first else 0:upto[stop - 1]])
                 base = ends[stop - 1]
             rest, wait = here[base:], 0
         if rest:  # no boundary agreed in the last chunk
-            for w in self.voc.scanner(rest).findall(rest):
-                out.extend(self.word(w))
+            out.extend(map(self.word, self.voc.scanner(rest).findall(rest)))
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
+        out: list[bytes] = []
         at = 0
         for m in self.voc.split.finditer(text):
             self._plain(text[at:m.start()], out)
-            out.append(self.voc.special[m.group()])
+            out.append(self.special[m.group()])
             at = m.end()
         self._plain(text[at:] if at else text, out)
-        return out
+        return array("I", b"".join(out)).tolist()
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.voc.token_bytes.__getitem__, ids)).decode("utf-8", "replace")

@@ -70,6 +70,27 @@ def test_codec_repairs_joins_with_tiny_chunks(monkeypatch):
         assert codec.encode(s) == lib.encode(s, add_special_tokens=False).ids
 
 
+def test_codec_merges_short_words_by_list_as_the_heap_does():
+    voc, rng = bpe.vocabulary(bpe.default_path()), random.Random(5)
+    for letters in (b"a", b"ab", b"the inogra", b"0123456789", "é日本 ".encode(), bytes(range(256))):
+        for n in [*range(bpe._SHORT + 3)] * 8:
+            word = bytes(rng.choice(letters) for _ in range(n))
+            assert voc.symbols(word) == voc.merge(word)[0]
+
+
+def test_codec_merges_words_in_use_once_while_its_table_fills(monkeypatch):
+    monkeypatch.setattr(bpe_codec, "WORDS", 200)
+    lib, codec = _library(), bpe_codec.Codec(bpe.default_path())
+    merged, make = Counter(), codec.voc.symbols
+    monkeypatch.setattr(codec.voc, "symbols", lambda data: merged.update([data]) or make(data))
+    common = "".join(f" common{i}" for i in range(20))
+    for i in range(60):  # 40 new words a text, 2,400 in all
+        text = common + "".join(f" rare{chr(97 + i % 26)}{chr(97 + i // 26)}{'x' * k}" for k in range(40))
+        assert codec.encode(text) == lib.encode(text, add_special_tokens=False).ids
+    assert len(merged) > 2_400 and max(merged.values()) == 1
+    assert len(codec.word.__self__) + len(codec.word.__self__.older) <= 200
+
+
 def test_sharding_fills_shards_evenly(docs, rows):
     got = sharding.kd_shards(docs, 4).collect()
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter(
